@@ -143,10 +143,10 @@ def q_filter_cities(spark, sf_dir):
 
 @register("filter_options_addresses",
           "select distinct endereco from fx_geodata where endereco is not null "
-          "and cidade = 'BRAZIL' order by 1")
+          "and cidade = 'NATION_3' order by 1")
 def q_filter_addresses(spark, sf_dir):
     _, star = _ctx(spark, sf_dir)
-    return D.filter_options(star.geodata, GeoFilters(cidade=("BRAZIL",)))["enderecos"]
+    return D.filter_options(star.geodata, GeoFilters(cidade=("NATION_3",)))["enderecos"]
 
 
 @register("coverage_metadata", """
@@ -165,3 +165,130 @@ def entry_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 __all__ = ["QUERIES", "entry_query", "snowflake", "F"]
+
+
+# ---------------------------------------------------------------- A7 / W1 / L2 / W2 / Q4
+from passante.operators import campaign as C  # noqa: E402
+from passante.schemas import COUNT_COLUMNS  # noqa: E402
+
+
+def _round_doubles(df: DataFrame, cols: list[str], n: int = R6) -> DataFrame:
+    return df.withColumns({c: F.round(c, n) for c in cols})
+
+
+_CAMPAIGN_OUT = ["latitude", "longitude", "total_flow", "affinity", "target_audience"]
+
+
+def _campaign_sql_parts(spec: C.CampaignSpec, city: bool = True):
+    gnum, anum, cnum = "uniques", "uniques", "uniques"
+    g = (spec.gender or "").lower()
+    if g == "female":
+        gnum = "feminine_count"
+    elif g == "male":
+        gnum = "masculine_count"
+    if spec.age_min is not None and spec.age_max is not None:
+        cols = C.overlapping_age_columns(spec.age_min, spec.age_max)
+        if cols:
+            anum = " + ".join(cols)
+    if spec.classes:
+        cols = C.class_columns(spec.classes)
+        if cols:
+            cnum = " + ".join(cols)
+    where = []
+    if spec.latitude is not None and spec.longitude is not None:
+        where += [O.haversine_sql("latitude", "longitude", repr(spec.latitude), repr(spec.longitude))
+                  + f" <= {spec.radius_m!r}",
+                  "latitude is not null", "latitude between -90 and 90", "longitude between -180 and 180"]
+    if city and spec.city:
+        where.append(f"lower(cidade) = lower('{spec.city}')")
+    if spec.endereco:
+        where.append(f"lower(endereco) like concat('%', lower('{spec.endereco}'), '%')")
+    return gnum, anum, cnum, where
+
+
+def _campaign_sql(spec: C.CampaignSpec) -> str:
+    gnum, anum, cnum, where = _campaign_sql_parts(spec)
+    w = ("where " + " and ".join(where)) if where else ""
+    return f"""
+, grp as (
+  select location_id, concat(trim(endereco), ', ', cast(numero as varchar), ' — ', cidade) as endereco_ref,
+    cidade, min(latitude) as latitude, min(longitude) as longitude, sum(uniques) as total_flow,
+    sum({gnum}) as g, sum({anum}) as a, sum({cnum}) as c
+  from enriched {w} group by location_id, endereco, numero, cidade
+), sc as (
+  select *, (g / nullif(total_flow, 0)) * (a / nullif(total_flow, 0)) * (c / nullif(total_flow, 0)) * 100 as aff_raw,
+    total_flow * (g / nullif(total_flow, 0)) * (a / nullif(total_flow, 0)) * (c / nullif(total_flow, 0)) as tgt_raw
+  from grp
+)
+select location_id, endereco_ref, cidade, round(latitude, 6) as latitude, round(longitude, 6) as longitude,
+  round(total_flow, 6) as total_flow, round(aff_raw, 6) as affinity, round(tgt_raw, 6) as target_audience,
+  row_number() over (order by aff_raw desc nulls last, location_id, endereco_ref nulls first) as rank
+from sc order by aff_raw desc nulls last, location_id, endereco_ref nulls first limit {spec.k}
+"""
+
+
+def _register_campaign(name: str, spec: C.CampaignSpec):
+    # The oracle body continues the fixture WITH list, so it starts with ", grp as".
+    body = _campaign_sql(spec)
+
+    def fn(spark, sf_dir):
+        _, star = _ctx(spark, sf_dir)
+        return _round_doubles(C.analyze_campaign(enriched(star), spec), _CAMPAIGN_OUT)
+
+    QUERIES[name] = (fn, "WITH " + O.FIXTURE_CTES.strip() + body)
+
+
+CENTER = (-23.5505, -46.6333)
+CAMPAIGNS = {
+    "campaign_affinity": C.CampaignSpec(gender="female", age_min=18, age_max=29,
+                                        classes=("A", "b1", "xx"), campaign_id="young_women_ab"),
+    "campaign_radius": C.CampaignSpec(gender="male", age_min=50, age_max=120, latitude=CENTER[0],
+                                      longitude=CENTER[1], radius_km=3.0, limit=20,
+                                      campaign_id="senior_men_3km"),
+    "campaign_city_street": C.CampaignSpec(classes=("C1", "C2"), city="nation_7",
+                                           endereco="customer#0000000_", limit=5,
+                                           campaign_id="popular_city_street"),
+    "campaign_defaults": C.CampaignSpec(campaign_id="no_filters"),
+}
+for _n, _s in CAMPAIGNS.items():
+    _register_campaign(_n, _s)
+
+MULTI_SPECS = list(CAMPAIGNS.values()) + [
+    C.CampaignSpec(gender="female", city="atlantis", limit=3, campaign_id="unknown_city_fallback"),
+]
+
+
+def _multi_sql(specs: list[C.CampaignSpec]) -> str:
+    """Oracle for W2 + Q4: one ranked block per spec, UNION ALL."""
+    blocks = []
+    for s in specs:
+        gnum, anum, cnum, where = _campaign_sql_parts(s, city=False)
+        if s.city:
+            city_ok = f"exists (select 1 from enriched e2 where lower(e2.cidade) = lower('{s.city}'))"
+            where.append(f"((not {city_ok}) or lower(cidade) = lower('{s.city}'))")
+            found = city_ok
+        else:
+            found = "true"
+        w = ("where " + " and ".join(where)) if where else ""
+        blocks.append(f"""
+select * from (
+  select '{s.campaign_id}' as campaign_id, {found} as city_found, location_id, endereco_ref, cidade,
+    round(latitude, 6) as latitude, round(longitude, 6) as longitude, round(total_flow, 6) as total_flow,
+    round(aff_raw, 6) as affinity, round(tgt_raw, 6) as target_audience,
+    row_number() over (order by aff_raw desc nulls last, location_id, endereco_ref nulls first) as rank
+  from (
+    select *, (g / nullif(total_flow, 0)) * (a / nullif(total_flow, 0)) * (c / nullif(total_flow, 0)) * 100 as aff_raw,
+      total_flow * (g / nullif(total_flow, 0)) * (a / nullif(total_flow, 0)) * (c / nullif(total_flow, 0)) as tgt_raw
+    from (
+      select location_id, concat(trim(endereco), ', ', cast(numero as varchar), ' — ', cidade) as endereco_ref,
+        cidade, min(latitude) as latitude, min(longitude) as longitude, sum(uniques) as total_flow,
+        sum({gnum}) as g, sum({anum}) as a, sum({cnum}) as c
+      from enriched {w} group by location_id, endereco, numero, cidade) g0) s0) r0
+where rank <= {s.k}""")
+    return "\nunion all\n".join(blocks)
+
+
+@register("campaign_topk_multi", _multi_sql(MULTI_SPECS))
+def q_campaign_multi(spark, sf_dir):
+    _, star = _ctx(spark, sf_dir)
+    return _round_doubles(C.multi_campaign(enriched(star), MULTI_SPECS), _CAMPAIGN_OUT)
