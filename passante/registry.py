@@ -292,3 +292,249 @@ where rank <= {s.k}""")
 def q_campaign_multi(spark, sf_dir):
     _, star = _ctx(spark, sf_dir)
     return _round_doubles(C.multi_campaign(enriched(star), MULTI_SPECS), _CAMPAIGN_OUT)
+
+
+# ---------------------------------------------------------------- geo: H1 H3 H4 J4 J5 J6 J7 H5 A5 A6
+from passante.operators import geo as G  # noqa: E402
+from passante.operators import segments as SG  # noqa: E402
+from passante.schemas import SCREEN_SHARE_COLUMNS, SHARE_COLUMNS, SHARE_TO_COUNT  # noqa: E402
+from passante.sources.fixtures import fx_screens  # noqa: E402
+
+HEX_R = G.hex_radius_m(5.0)
+
+
+def _hex_cte(src: str, r: float, extra: str = "") -> str:
+    """SQL of the axial hex cell (q, s) of rows of ``src`` (lat, lon, value)."""
+    import math
+    c0 = repr(math.cos(math.radians(G.HEX_REFERENCE_LAT)))
+    s3 = repr(math.sqrt(3.0) / 3)
+    ex = (extra + ", ") if extra else ""
+    return f"""
+, hx_ax as (
+  select {ex}value, ({s3} * x - y / 3) / {r!r} as qf, ((2.0 / 3.0) * y) / {r!r} as sf
+  from (select {ex}value, 6371010.0 * radians(lon) * {c0} as x, 6371010.0 * radians(lat) as y from {src}) p0
+), hx_rd as (
+  select *, -qf - sf as cf, floor(qf + 0.5) as rq, floor(sf + 0.5) as rs, floor(-qf - sf + 0.5) as rc from hx_ax
+), hx_cell as (
+  select {ex}value,
+    cast(case when abs(rq - qf) > abs(rs - sf) and abs(rq - qf) > abs(rc - cf) then -rs - rc else rq end as bigint) as q,
+    cast(case when not (abs(rq - qf) > abs(rs - sf) and abs(rq - qf) > abs(rc - cf)) and abs(rs - sf) > abs(rc - cf)
+              then -rq - rc else rs end as bigint) as s
+  from hx_rd
+)"""
+
+
+def _hex_center_sql(r: float) -> str:
+    import math
+    c0 = 6371010.0 * math.cos(math.radians(G.HEX_REFERENCE_LAT))
+    return (f"round(degrees({r!r} * ({math.sqrt(3.0)!r} * q + {math.sqrt(3.0) / 2!r} * s) / {c0!r}), 6) as center_lon, "
+            f"round(degrees({r!r} * 1.5 * s / 6371010.0), 6) as center_lat")
+
+
+_PTS_CTE = """
+, pts as (select location_id, try_cast(latitude as double) as lat, try_cast(longitude as double) as lon,
+            uniques as value from j1
+          where try_cast(latitude as double) is not null and try_cast(longitude as double) is not null)
+"""
+
+_HEXBIN_SQL = (_PTS_CTE + _hex_cte("pts", HEX_R) +
+               f"\nselect q, s, {_hex_center_sql(HEX_R)}, count(*) as n, round(sum(value), 6) as sum_value "
+               "from hx_cell group by q, s")
+
+
+def _fixture_sql(body: str) -> str:
+    return "WITH " + O.FIXTURE_CTES.strip() + body
+
+
+def _hexbin_df(spark, sf_dir):
+    _, star = _ctx(spark, sf_dir)
+    pts = D.point_rows(star)
+    return G.hexbin(pts, HEX_R)
+
+
+def q_hexbin(spark, sf_dir):
+    return _round_doubles(_hexbin_df(spark, sf_dir), ["center_lon", "center_lat", "sum_value"])
+
+
+QUERIES["hexbin"] = (q_hexbin, _fixture_sql(_HEXBIN_SQL))
+
+
+def q_hex_colors(spark, sf_dir):
+    bins = _hexbin_df(spark, sf_dir)
+    dom = G.density_domain(bins)
+    return G.color_class(bins, dom).select("q", "s", "n", "domain_min", "domain_max", "color_class")
+
+
+QUERIES["hex_color_classes"] = (q_hex_colors, _fixture_sql(
+    _PTS_CTE + _hex_cte("pts", HEX_R) + """
+, bins as (select q, s, count(*) as n from hx_cell group by q, s)
+, dom as (select cast(min(n) as double) as domain_min, cast(max(n) as double) as domain_max from bins)
+select q, s, n, domain_min, domain_max,
+  cast(case when domain_max - domain_min <= 0 then 0
+       else greatest(least(floor((n - domain_min) / (domain_max - domain_min) * 6), 5), 0) end as integer) as color_class
+from bins, dom"""))
+
+
+def _hex_locations(spark, sf_dir):
+    _, star = _ctx(spark, sf_dir)
+    j = snowflake(star).where(F.col("latitude").try_cast("double").isNotNull())
+    pts = j.select("location_id", F.col("latitude").try_cast("double").alias("latitude"),
+                   F.col("longitude").try_cast("double").alias("longitude"))
+    return G.hex_locations(pts, HEX_R)
+
+
+QUERIES["hex_locations"] = (_hex_locations, _fixture_sql(
+    _PTS_CTE + _hex_cte("pts", HEX_R, "location_id") + "\nselect distinct q, s, location_id from hx_cell"))
+
+
+def _loc_sql() -> str:
+    sums = ", ".join(f"sum({SHARE_TO_COUNT[c]}) as {SHARE_TO_COUNT[c]}" for c in SHARE_COLUMNS)
+    shares = ", ".join(f"{SHARE_TO_COUNT[c]} / nullif(uniques, 0) as {c}" for c in SHARE_COLUMNS)
+    return f"""
+, loc0 as (select location_id, sum(uniques) as uniques, min(latitude) as latitude, min(longitude) as longitude, {sums}
+           from enriched group by location_id)
+, loc as (select location_id, latitude, longitude, uniques, {shares} from loc0)
+"""
+
+
+def q_location_profile(spark, sf_dir):
+    _, star = _ctx(spark, sf_dir)
+    df = G.location_profile(enriched(star))
+    return _round_doubles(df, ["latitude", "longitude", "uniques"] + SHARE_COLUMNS)
+
+
+QUERIES["location_profile"] = (q_location_profile, _fixture_sql(
+    _loc_sql() + "select location_id, round(latitude, 6) as latitude, round(longitude, 6) as longitude, "
+    "round(uniques, 6) as uniques, " + ", ".join(f"round({c}, 6) as {c}" for c in SHARE_COLUMNS) + " from loc"))
+
+
+def q_radius_join(spark, sf_dir):
+    t, star = _ctx(spark, sf_dir)
+    loc = G.location_profile(enriched(star)).select(
+        "location_id", F.col("latitude").alias("loc_lat"), F.col("longitude").alias("loc_lon"))
+    pairs = G.radius_join(fx_screens(t), loc, 1000.0, "latitude", "longitude", "loc_lat", "loc_lon")
+    return _round_doubles(pairs.select("screen_id", "location_id", "distance_m"), ["distance_m"])
+
+
+QUERIES["radius_join"] = (q_radius_join, _fixture_sql(_loc_sql() + f"""
+select s.screen_id, l.location_id, round({O.haversine_sql('s.latitude', 's.longitude', 'l.latitude', 'l.longitude')}, 6) as distance_m
+from fx_screens s join loc l on l.latitude is not null and l.longitude is not null
+  and {O.haversine_sql('s.latitude', 's.longitude', 'l.latitude', 'l.longitude')} <= 1000.0"""))
+
+
+def _enrich_sql() -> str:
+    hv = O.haversine_sql("s.latitude", "s.longitude", "l.latitude", "l.longitude")
+    per = ", ".join(f"sum(case when d <= 500.0 then u * {c} end) as e_{c}, "
+                    f"sum(case when d > 500.0 then (u / d) * {c} end) as f_{c}" for c in SHARE_COLUMNS)
+    glob = ", ".join(f"sum({SHARE_TO_COUNT[c]}) / nullif(sum(uniques), 0) as g_{c}" for c in SHARE_COLUMNS)
+    outs = ", ".join(
+        f"round(case when coalesce(n_exact, 0) > 0 then e_{c} / nullif(we, 0) "
+        f"when coalesce(n_pairs, 0) > 0 then f_{c} / nullif(wf, 0) else g_{c} end, 6) as {p}"
+        for c, p in zip(SHARE_COLUMNS, SCREEN_SHARE_COLUMNS))
+    return _loc_sql() + f"""
+, pairs as (select s.screen_id, l.uniques as u, {", ".join("l." + c for c in SHARE_COLUMNS)}, {hv} as d
+            from fx_screens s join loc l on l.latitude is not null and l.longitude is not null and {hv} <= 5000.0)
+, per as (select screen_id, count(case when d <= 500.0 then 1 end) as n_exact, count(*) as n_pairs,
+            sum(case when d <= 500.0 then u end) as we, sum(case when d > 500.0 then u / d end) as wf, {per}
+          from pairs group by screen_id)
+, gavg as (select {glob} from enriched)
+select s.screen_id, round(s.latitude, 6) as latitude, round(s.longitude, 6) as longitude,
+  case when coalesce(n_exact, 0) > 0 then 'exact' when coalesce(n_pairs, 0) > 0 then 'fallback' else 'global_avg' end as match_type,
+  {outs}
+from fx_screens s left join per on s.screen_id = per.screen_id cross join gavg"""
+
+
+def q_screen_enrichment(spark, sf_dir):
+    t, star = _ctx(spark, sf_dir)
+    df = G.enrich_screens(fx_screens(t), enriched(star))
+    return _round_doubles(df, ["latitude", "longitude"] + SCREEN_SHARE_COLUMNS)
+
+
+QUERIES["screen_enrichment"] = (q_screen_enrichment, _fixture_sql(_enrich_sql()))
+
+_GAZ_CTE = """
+, locs as (select distinct cidade, location_id, latitude, longitude from enriched
+           where latitude is not null and longitude is not null)
+, gaz as (select cidade, avg(latitude) as lat, avg(longitude) as lon, min(latitude) as lat_min, max(latitude) as lat_max,
+            min(longitude) as lon_min, max(longitude) as lon_max, count(*) as n_locations from locs group by cidade)
+"""
+
+
+def q_gazetteer(spark, sf_dir):
+    _, star = _ctx(spark, sf_dir)
+    return _round_doubles(G.gazetteer(enriched(star)), ["lat", "lon", "lat_min", "lat_max", "lon_min", "lon_max"])
+
+
+QUERIES["gazetteer_cities"] = (q_gazetteer, _fixture_sql(
+    _GAZ_CTE + "select cidade, round(lat, 6) as lat, round(lon, 6) as lon, round(lat_min, 6) as lat_min, "
+    "round(lat_max, 6) as lat_max, round(lon_min, 6) as lon_min, round(lon_max, 6) as lon_max, n_locations from gaz"))
+
+
+def q_place_reach(spark, sf_dir):
+    _, star = _ctx(spark, sf_dir)
+    en = enriched(star)
+    places = G.gazetteer(en).select(F.col("cidade").alias("place"), "lat", "lon")
+    return _round_doubles(G.place_reach(places, en, 2000.0), ["flow"])
+
+
+QUERIES["place_reach"] = (q_place_reach, _fixture_sql(_GAZ_CTE + _loc_sql() + f"""
+, pr as (select g.cidade as place, count(*) as n_locations, sum(l.uniques) as flow
+         from gaz g join loc l on l.latitude is not null and l.longitude is not null
+           and {O.haversine_sql('g.lat', 'g.lon', 'l.latitude', 'l.longitude')} <= 2000.0 group by g.cidade)
+select g.cidade as place, coalesce(pr.n_locations, 0) as n_locations, round(coalesce(pr.flow, 0.0), 6) as flow
+from gaz g left join pr on g.cidade = pr.place"""))
+
+
+def q_centre_ranking(spark, sf_dir):
+    _, star = _ctx(spark, sf_dir)
+    return _round_doubles(G.centre_ranking(enriched(star)), ["flow", "distance_m", "score"])
+
+
+QUERIES["centre_ranking"] = (q_centre_ranking, _fixture_sql(_GAZ_CTE + f"""
+, lf as (select cidade, location_id, sum(uniques) as flow, min(latitude) as latitude, min(longitude) as longitude
+         from enriched where latitude is not null and longitude is not null group by cidade, location_id)
+, j as (select lf.*, {O.haversine_sql('lf.latitude', 'lf.longitude', 'gaz.lat', 'gaz.lon')} as distance_m
+        from lf join gaz on lf.cidade = gaz.cidade)
+, r as (select *, flow / greatest(distance_m, 1.0) as score,
+          row_number() over (partition by cidade order by flow / greatest(distance_m, 1.0) desc, location_id) as rank
+        from j where distance_m <= 5000.0)
+select cidade, rank, location_id, round(flow, 6) as flow, round(distance_m, 6) as distance_m, round(score, 6) as score
+from r where rank <= 10"""))
+
+
+_AGE_PRED = {
+    "18-19": "x18_19", "20-29": "x20_29", "30-39": "x30_39", "40-49": "x40_49",
+    "50-59": "x50_59", "60-69": "x60_69", "70-79": "x70_79", "80+": "x80_plus",
+}
+
+
+def _segment_sql(limit: int = SG.CARD_LIMIT) -> str:
+    blocks = [f"select '{v}' as segment, id, try_cast(latitude as double) as latitude, "
+              f"try_cast(longitude as double) as longitude, uniques as value, location_id from j1 "
+              f"where try_cast(latitude as double) is not null and try_cast(longitude as double) is not null "
+              f"and {col} > 0.15" for v, col in _AGE_PRED.items()]
+    return ("\n, seg_all as (" + "\nunion all\n".join(blocks) + ")\n"
+            f", seg as (select * from (select *, row_number() over (partition by segment order by id) as rn "
+            f"from seg_all) z where rn <= {limit})\n")
+
+
+def _segments_df(spark, sf_dir):
+    _, star = _ctx(spark, sf_dir)
+    return SG.segment_points(snowflake(star), "age")
+
+
+QUERIES["segment_grid"] = (_segments_df, _fixture_sql(
+    _segment_sql() + "select segment, id, latitude, longitude, value, location_id from seg"))
+
+
+def q_segment_domain(spark, sf_dir):
+    pts = _segments_df(spark, sf_dir)
+    return SG.shared_domain(SG.segment_hexbins(pts, HEX_R))
+
+
+QUERIES["segment_density_domain"] = (q_segment_domain, _fixture_sql(
+    _segment_sql() + ", pts as (select segment, latitude as lat, longitude as lon, value from seg)"
+    + _hex_cte("pts", HEX_R, "segment") + """
+, bins as (select segment, q, s, count(*) as n from hx_cell group by segment, q, s)
+, per as (select segment, cast(min(n) as double) as lo, cast(max(n) as double) as hi from bins group by segment)
+select min(lo) as domain_min, max(hi) as domain_max, count(*) as n_segments from per where hi >= lo"""))
