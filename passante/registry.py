@@ -538,3 +538,369 @@ QUERIES["segment_density_domain"] = (q_segment_domain, _fixture_sql(
 , bins as (select segment, q, s, count(*) as n from hx_cell group by segment, q, s)
 , per as (select segment, cast(min(n) as double) as lo, cast(max(n) as double) as hi from bins group by segment)
 select min(lo) as domain_min, max(hi) as domain_max, count(*) as n_segments from per where hi >= lo"""))
+
+
+# ---------------------------------------------------------------- BI: R1 R2 U1 A10-A17 N7 N10
+from passante.operators import bi as B  # noqa: E402
+from passante.schemas import (  # noqa: E402
+    AGE_COUNT_COLUMNS, CLASS_COUNT_COLUMNS, GENDER_COUNT_COLUMNS, JOINT_AGE_LABELS, JOINT_CLASS_LABELS,
+    JOINT_GENDER_LABELS,
+)
+
+
+def _en(spark, sf_dir):
+    _, star = _ctx(spark, sf_dir)
+    return enriched(star)
+
+
+def _values_cte(name: str, col: str, labels: list[str]) -> str:
+    vals = ", ".join(f"('{v}')" for v in labels)
+    return f", {name} as (select * from (values {vals}) t({col}))\n"
+
+
+def _case(col: str, mapping: dict[str, str]) -> str:
+    return "(case " + col + " " + " ".join(f"when '{k}' then {v}" for k, v in mapping.items()) + " end)"
+
+
+def _joint_sql(classes=None, genders=None, ages=None, by="cl, gl, al",
+               names="cl as class_label, gl as gender_label, al as age_label") -> str:
+    cl = B._pick(JOINT_CLASS_LABELS, classes)
+    gl = B._pick(JOINT_GENDER_LABELS, genders)
+    al = B._pick(JOINT_AGE_LABELS, ages)
+    jc = (f"uniques * {_case('cl', {k: B.JOINT_CLASS_COL[k] for k in cl})} * "
+          f"{_case('gl', {k: B.JOINT_GENDER_COL[k] for k in gl})} * {_case('al', {k: B.JOINT_AGE_COL[k] for k in al})}")
+    return (_values_cte("lc", "cl", cl) + _values_cte("lg", "gl", gl) + _values_cte("la", "al", al)
+            + f"select {names}, round(sum({jc}), 6) as joint_count, count(*) as n_rows "
+              f"from enriched, lc, lg, la group by {by}")
+
+
+def q_joint(spark, sf_dir):
+    return _round_doubles(B.joint_totals(B.joint_distribution(_en(spark, sf_dir))), ["joint_count"])
+
+
+QUERIES["joint_distribution"] = (q_joint, _fixture_sql(_joint_sql()))
+
+_JF = dict(classes=("A", "B1"), genders=("Feminine",), ages=("20-29", "30-39"))
+
+
+def q_joint_filtered(spark, sf_dir):
+    j = B.joint_distribution(_en(spark, sf_dir), **_JF)
+    return _round_doubles(B.joint_totals(j, ["impression_hour", "class_label"]), ["joint_count"])
+
+
+QUERIES["joint_by_hour_filtered"] = (q_joint_filtered, _fixture_sql(
+    _joint_sql(by="impression_hour, cl", names="impression_hour, cl as class_label", **_JF)))
+
+
+def q_joint_invariant(spark, sf_dir):
+    """Σ joint_count over the 96 rows of each event vs its uniques."""
+    j = B.joint_distribution(_en(spark, sf_dir), keep=["id", "uniques"])
+    per = j.groupBy("id", "uniques").agg(F.sum("joint_count").alias("s"), F.count(F.lit(1)).alias("k"))
+    return per.agg(F.count(F.lit(1)).alias("events"), F.min("k").alias("min_rows"), F.max("k").alias("max_rows"),
+                   F.round(F.max(F.abs(F.col("s") - F.col("uniques"))), 6).alias("max_abs_diff"))
+
+
+def _joint_invariant_sql() -> str:
+    cl, gl, al = JOINT_CLASS_LABELS, JOINT_GENDER_LABELS, JOINT_AGE_LABELS
+    jc = (f"uniques * {_case('cl', B.JOINT_CLASS_COL)} * "
+          f"{_case('gl', B.JOINT_GENDER_COL)} * {_case('al', B.JOINT_AGE_COL)}")
+    return (_values_cte("lc", "cl", cl) + _values_cte("lg", "gl", gl) + _values_cte("la", "al", al)
+            + f", per as (select id, uniques, sum({jc}) as s, count(*) as k from enriched, lc, lg, la group by id, uniques)\n"
+              "select count(*) as events, min(k) as min_rows, max(k) as max_rows, "
+              "round(max(abs(s - uniques)), 6) as max_abs_diff from per")
+
+
+QUERIES["joint_sum_invariant"] = (q_joint_invariant, _fixture_sql(_joint_invariant_sql()))
+
+
+def _dim_pairs(dim):
+    return [(lab, col) for d, lab, col in B.LONG_FORM if d == dim]
+
+
+def q_unpivot_class(spark, sf_dir):
+    u = B.unpivot_dimension(_en(spark, sf_dir), "class")
+    return _round_doubles(u.groupBy("tipo").agg(F.sum("valor").alias("valor"), F.count(F.lit(1)).alias("n")),
+                          ["valor"])
+
+
+QUERIES["unpivot_class"] = (q_unpivot_class, _fixture_sql(
+    "\n, u as (" + " union all ".join(f"select '{lab}' as tipo, {col} as valor from enriched"
+                                       for lab, col in _dim_pairs("class")) + ")\n"
+    "select tipo, round(sum(valor), 6) as valor, count(*) as n from u group by tipo"))
+
+
+def q_long_form(spark, sf_dir):
+    u = B.long_form(_en(spark, sf_dir))
+    return _round_doubles(u.groupBy("tipo", "label").agg(F.sum("valor").alias("valor"), F.count(F.lit(1)).alias("n")),
+                          ["valor"])
+
+
+QUERIES["long_form_union"] = (q_long_form, _fixture_sql(
+    "\n, u as (" + " union all ".join(f"select '{d}' as tipo, '{lab}' as label, {col} as valor from enriched"
+                                       for d, lab, col in B.LONG_FORM) + ")\n"
+    "select tipo, label, round(sum(valor), 6) as valor, count(*) as n from u group by tipo, label"))
+
+
+@register("peak_hour", "select impression_hour, round(sum(uniques), 6) as flow from enriched "
+                       "group by 1 order by sum(uniques) desc, impression_hour limit 1")
+def q_peak_hour(spark, sf_dir):
+    return _round_doubles(B.peak_hour(_en(spark, sf_dir)), ["flow"])
+
+
+@register("top_address", "select endereco, round(sum(uniques), 6) as flow from enriched where endereco is not null "
+                         "group by 1 order by sum(uniques) desc, endereco limit 1")
+def q_top_address(spark, sf_dir):
+    return _round_doubles(B.top_address(_en(spark, sf_dir)), ["flow"])
+
+
+@register("people_by_hour", "select impression_hour, round(sum(uniques), 6) as flow from enriched group by 1")
+def q_people_by_hour(spark, sf_dir):
+    return _round_doubles(B.people_by_hour(_en(spark, sf_dir)), ["flow"])
+
+
+@register("gender_by_hour", "select impression_hour, 'Feminine' as gender_label, round(sum(feminine_count), 6) as value "
+                            "from enriched group by 1 union all "
+                            "select impression_hour, 'Masculine', round(sum(masculine_count), 6) from enriched group by 1")
+def q_gender_by_hour(spark, sf_dir):
+    return _round_doubles(B.gender_by_hour(_en(spark, sf_dir)), ["value"])
+
+
+def _composition_sql(dim: str) -> str:
+    pairs = _dim_pairs(dim)
+    u = " union all ".join(f"select '{lab}' as label, sum({col}) as value from enriched" for lab, col in pairs)
+    return (f"\n, u as ({u})\n, t as (select sum(coalesce(value, 0.0)) as total from u)\n"
+            "select label, round(value, 6) as value, round(value / nullif(total, 0), 6) as share from u, t")
+
+
+def q_class_share(spark, sf_dir):
+    return _round_doubles(B.composition(_en(spark, sf_dir), "class"), ["value", "share"])
+
+
+def q_age_share(spark, sf_dir):
+    return _round_doubles(B.composition(_en(spark, sf_dir), "age"), ["value", "share"])
+
+
+QUERIES["class_share"] = (q_class_share, _fixture_sql(_composition_sql("class")))
+QUERIES["age_share"] = (q_age_share, _fixture_sql(_composition_sql("age")))
+
+
+@register("flow_by_state_hour", "select uf_estado, impression_hour, round(sum(uniques), 6) as sum, "
+                                "round(avg(uniques), 6) as mean, max(uniques) as peak, count(*) as n "
+                                "from enriched group by 1, 2")
+def q_group_measures(spark, sf_dir):
+    return _round_doubles(B.group_measures(_en(spark, sf_dir), ["uf_estado", "impression_hour"]), ["sum", "mean"])
+
+
+AREA_A = (-23.5505, -46.6333, 3000.0)
+AREA_B = (-23.48, -46.57, 4000.0)
+
+
+def q_area_compare(spark, sf_dir):
+    return _round_doubles(B.area_compare(_en(spark, sf_dir), AREA_A, AREA_B), ["share_a", "share_b", "pct_diff"])
+
+
+def _area_sql() -> str:
+    pairs = _dim_pairs("class")
+    ins = lambda a: O.haversine_sql("latitude", "longitude", repr(a[0]), repr(a[1])) + f" <= {a[2]!r}"
+    sums = ", ".join(f"sum({col}) as s_{i}" for i, (_, col) in enumerate(pairs))
+    tag = (f"select 'A' as area, * from enriched where latitude is not null and longitude is not null and {ins(AREA_A)} "
+           f"union all select 'B' as area, * from enriched where latitude is not null and longitude is not null and {ins(AREA_B)}")
+    rows = " union all ".join(f"select area, '{lab}' as label, s_{i} / nullif(flow, 0) as share from agg"
+                              for i, (lab, _) in enumerate(pairs))
+    return (f"\n, tg as ({tag})\n, agg as (select area, sum(uniques) as flow, {sums} from tg group by area)\n"
+            f", lr as ({rows})\n"
+            "select l.label, round(max(case when area = 'A' then share end), 6) as share_a, "
+            "round(max(case when area = 'B' then share end), 6) as share_b, "
+            "round((max(case when area = 'B' then share end) - max(case when area = 'A' then share end)) / "
+            "nullif(max(case when area = 'A' then share end), 0) * 100, 6) as pct_diff "
+            "from (select distinct label from lr) l left join lr on l.label = lr.label group by l.label")
+
+
+QUERIES["area_compare"] = (q_area_compare, _fixture_sql(_area_sql()))
+
+
+def q_result_facets(spark, sf_dir):
+    _, star = _ctx(spark, sf_dir)
+    return B.result_facets(SAMPLE_FILTERS.apply(snowflake(star)))
+
+
+QUERIES["result_facets"] = (q_result_facets, _fixture_sql(f"""
+, r as (select * from j1 where {SAMPLE_WHERE})
+, u as (select 'faixa_etaria' as facet, {_AGE_CASE} as value from r
+        union all select 'classe_social', {_CLASS_CASE} from r
+        union all select 'genero', {_GENDER_CASE} from r
+        union all select 'endereco', endereco from r)
+select facet, value, count(*) as n from u where value is not null group by 1, 2"""))
+
+
+@register("address_labels", "select distinct location_id, concat(trim(endereco), ', ', cast(numero as varchar), "
+                            "' — ', cidade) as endereco_ref from enriched")
+def q_address_labels(spark, sf_dir):
+    return B.address_labels(_en(spark, sf_dir))
+
+
+@register("wide_counts_by_state", "select uf_estado, round(sum(uniques), 6) as uniques, "
+          + ", ".join(f"round(sum({c}), 6) as {c}" for c in COUNT_COLUMNS) + " from enriched group by 1")
+def q_wide_counts(spark, sf_dir):
+    df = _en(spark, sf_dir).groupBy("uf_estado").agg(F.sum("uniques").alias("uniques"),
+                                                     *[F.sum(c).alias(c) for c in COUNT_COLUMNS])
+    return _round_doubles(df, ["uniques"] + COUNT_COLUMNS)
+
+
+# ---------------------------------------------------------------- archive records: A12, A20-A22
+from passante.operators import telemetry as TM  # noqa: E402
+from passante.sources.fixtures import fx_envelope, fx_geodata  # noqa: E402
+
+
+def _records(spark, sf_dir):
+    """Archived messages: envelope + the geodata event they carry."""
+    t, _ = _ctx(spark, sf_dir)
+    env = fx_envelope(t)
+    g = fx_geodata(t)
+    return env.join(g, g.id == F.concat(F.lit("g"), env.event_id.cast("string")))
+
+
+_REC_CTE = "\n, rec as (select e.*, g.* from fx_envelope e join fx_geodata g on g.id = concat('g', cast(e.event_id as varchar)))\n"
+
+
+def q_people_per_day(spark, sf_dir):
+    df = B.people_per_day(_records(spark, sf_dir))
+    return _round_doubles(df.withColumn("day", F.date_format("day", "yyyy-MM-dd")), ["flow"])
+
+
+QUERIES["people_per_day"] = (q_people_per_day, _fixture_sql(
+    _REC_CTE + "select strftime(cast(kafka_timestamp as date), '%Y-%m-%d') as day, round(sum(uniques), 6) as flow "
+               "from rec group by 1"))
+
+
+def q_avg_per_day(spark, sf_dir):
+    return _round_doubles(B.avg_people_per_day(_records(spark, sf_dir)), ["total_flow", "avg_per_day"])
+
+
+QUERIES["avg_people_per_day"] = (q_avg_per_day, _fixture_sql(
+    _REC_CTE + ", d as (select cast(kafka_timestamp as date) as day, sum(uniques) as flow from rec group by 1)\n"
+               "select count(*) as n_days, round(sum(flow), 6) as total_flow, round(avg(flow), 6) as avg_per_day from d"))
+
+
+@register("partition_lag", "select topic, kafka_partition, max(kafka_offset) as last_offset, "
+                           "arg_max(high_watermark, kafka_offset) as high_watermark, count(*) as messages, "
+                           "arg_max(high_watermark, kafka_offset) - max(kafka_offset) as lag "
+                           "from fx_envelope group by 1, 2")
+def q_partition_lag(spark, sf_dir):
+    t, _ = _ctx(spark, sf_dir)
+    return TM.partition_lag(fx_envelope(t))
+
+
+def q_lag_histogram(spark, sf_dir):
+    t, _ = _ctx(spark, sf_dir)
+    return TM.lag_histogram(fx_envelope(t))
+
+
+def _hist_sql() -> str:
+    from passante.schemas import PARTITION_LAG_BUCKETS
+    rows = " union all ".join(
+        f"select cast({float(b)!r} as double) as le, cast(count(case when high_watermark - kafka_offset <= {b} then 1 end) as bigint) as count from fx_envelope"
+        for b in PARTITION_LAG_BUCKETS)
+    return (f"\n{rows} union all select cast('inf' as double) as le, "
+            "cast(count(high_watermark - kafka_offset) as bigint) as count from fx_envelope")
+
+
+QUERIES["lag_histogram"] = (q_lag_histogram, _fixture_sql(_hist_sql()))
+
+
+@register("lag_percentiles", "select round(quantile_cont(high_watermark - kafka_offset, 0.5), 6) as p50, "
+                             "round(quantile_cont(high_watermark - kafka_offset, 0.95), 6) as p95, "
+                             "round(quantile_cont(high_watermark - kafka_offset, 0.99), 6) as p99, "
+                             "count(*) as messages from fx_envelope")
+def q_lag_percentiles(spark, sf_dir):
+    t, _ = _ctx(spark, sf_dir)
+    return _round_doubles(TM.lag_percentiles(fx_envelope(t)), ["p50", "p95", "p99"])
+
+
+def q_rate_panel(spark, sf_dir):
+    rec = _records(spark, sf_dir).withColumn("is_error", F.col("target_id").isNull())
+    df = TM.rate_panel(rec)
+    return _round_doubles(df.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss")),
+                          ["rate_per_s", "error_ratio"])
+
+
+QUERIES["ingest_rate_5min"] = (q_rate_panel, _fixture_sql(
+    _REC_CTE + "select strftime(time_bucket(interval '5 minutes', kafka_timestamp), '%Y-%m-%d %H:%M:%S') as window_start, "
+               "count(*) as messages, round(count(*) / 300.0, 6) as rate_per_s, "
+               "round(sum(case when target_id is null then 1 else 0 end) / count(*), 6) as error_ratio "
+               "from rec group by 1"))
+
+
+# ---------------------------------------------------------------- W3 conversation budget
+from passante.operators.conversation import conversation_budget  # noqa: E402
+
+BUDGET_CONTEXT = 800
+
+
+def q_conversation_budget(spark, sf_dir):
+    t, _ = _ctx(spark, sf_dir)
+    return conversation_budget(t.conversations, context=BUDGET_CONTEXT)
+
+
+def _budget_sql() -> str:
+    thr = int(BUDGET_CONTEXT * 0.75)
+    kept = ", ".join(f"sum(case when turn >= {k} then tokens end) as kept_{k}, "
+                     f"count(case when turn < {k} then 1 end) as before_{k}" for k in ("u1", "u2", "u3"))
+    fits = {k: f"({k} is not null and coalesce(kept_{k}, 0) <= {thr})" for k in ("u3", "u2", "u1")}
+
+    def pick(fmt, default="null"):
+        return ("case when total_tokens <= " + str(thr) + f" then {default} "
+                + " ".join(f"when {fits[k]} then {fmt.format(k=k)}" for k in ("u3", "u2", "u1"))
+                + f" else {default} end")
+    before = pick("before_{k}", "0")
+    return f"""
+, m as (select conv_id, turn, role, cast(floor(coalesce(length(text), 0) / 4) as bigint) as tokens from conversations)
+, u as (select conv_id, turn, row_number() over (partition by conv_id order by turn desc) as k from m where role = 'user')
+, mk as (select conv_id, max(case when k = 1 then turn end) as u1, max(case when k = 2 then turn end) as u2,
+           max(case when k = 3 then turn end) as u3 from u group by conv_id)
+, a as (select m.conv_id, count(*) as n_messages, sum(tokens) as total_tokens, max(u1) as u1, max(u2) as u2, max(u3) as u3,
+          {kept} from m left join mk on m.conv_id = mk.conv_id group by m.conv_id)
+select conv_id, n_messages, total_tokens, cast({thr} as bigint) as threshold, total_tokens > {thr} as triggered,
+  cast(case when ({before}) > 0 then ({pick('{k}')}) end as bigint) as split_turn,
+  cast(case when ({before}) > 0 then ({pick('kept_{k}')}) end as bigint) as kept_tokens,
+  cast({before} as bigint) as n_marked
+from a"""
+
+
+QUERIES["conversation_budget"] = (q_conversation_budget, _fixture_sql(_budget_sql()))
+
+
+# ---------------------------------------------------------------- Q1 ad-hoc SQL
+from passante.plans.sqlguard import run_readonly  # noqa: E402
+
+ADHOC_SQL = ("SELECT cidade, COUNT(*) AS n_events, ROUND(SUM(uniques), 6) AS flow "
+             "FROM geodata GROUP BY cidade;")
+
+
+def q_adhoc_sql(spark, sf_dir):
+    _, star = _ctx(spark, sf_dir)
+    return run_readonly(spark, ADHOC_SQL, star.as_dict())
+
+
+QUERIES["adhoc_sql_city_flow"] = (q_adhoc_sql, _fixture_sql(
+    "\n, geodata as (select * from fx_geodata)\n" + ADHOC_SQL.rstrip(";")))
+
+
+# ---------------------------------------------------------------- ingest round trip: N1 N3 N4 F14 S1 semantics
+from passante.plans import ingest as I  # noqa: E402
+from passante.sources.testdata import Star  # noqa: E402
+
+
+def q_ingest_shred(spark, sf_dir):
+    """J1 rows -> flow CSV text (python-dict profile) -> quote fix + parse ->
+    completeness check -> five tables with deterministic keys -> J1 -> A1."""
+    _, star = _ctx(spark, sf_dir)
+    rows = I.to_flow_rows(snowflake(star))
+    typed = I.typed_flow(rows.withColumns({"_source_file": F.lit("flow.csv"),
+                                           "_row_key": F.monotonically_increasing_id().cast("string")}))
+    sh = I.shred(typed, I.bulk_keys(), strict=True)
+    back = Star(**sh.tables())
+    return D.demographics(back, round_to=R6)
+
+
+QUERIES["ingest_csv_shred"] = (q_ingest_shred, _fixture_sql(f"select count(*) as count, {O.avg_list()} from j1"))
