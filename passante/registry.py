@@ -904,3 +904,43 @@ def q_ingest_shred(spark, sf_dir):
 
 
 QUERIES["ingest_csv_shred"] = (q_ingest_shred, _fixture_sql(f"select count(*) as count, {O.avg_list()} from j1"))
+
+
+# ---------------------------------------------------------------- streams: T3/K1 and T4/K3/S4 over the test tables
+from passante.session import scratch_path  # noqa: E402
+from passante.sources.fixtures import fx_messages  # noqa: E402
+from passante.sources.topic import read_envelope_files  # noqa: E402
+from passante.streaming import archive as AR  # noqa: E402
+from passante.streaming import warehouse as WH  # noqa: E402
+
+
+def q_stream_warehouse(spark, sf_dir):
+    """Messages -> JSON files -> file stream (4 files per trigger) ->
+    foreachBatch five-table writes -> warehouse read back -> J1 -> A1."""
+    t, _ = _ctx(spark, sf_dir)
+    root = scratch_path(spark, "stream-warehouse")
+    fx_messages(t).repartition(16).write.mode("overwrite").json(f"{root}/in")
+    q = WH.start_warehouse_stream(read_envelope_files(spark, f"{root}/in", max_files_per_trigger=4),
+                                  f"{root}/wh", f"{root}/ck", trigger={"availableNow": True})
+    q.awaitTermination()
+    return D.demographics(WH.read_warehouse(spark, f"{root}/wh"), round_to=R6)
+
+
+QUERIES["stream_warehouse_ingest"] = (q_stream_warehouse, _fixture_sql(f"select count(*) as count, {O.avg_list()} from j1"))
+
+
+def q_archive_daily_flow(spark, sf_dir):
+    """Messages -> enriched NDJSON archive (K3) -> partitioned scan (S4) ->
+    Σuniques per day folder."""
+    t, _ = _ctx(spark, sf_dir)
+    root = scratch_path(spark, "archive")
+    AR.write_archive_batch(fx_messages(t), 0, root)
+    lines = AR.read_archive(spark, root)
+    rec = lines.select("year", "month", "day",
+                       F.from_json("value", "struct<uniques double, _kafka_offset bigint>").alias("r"))
+    return _round_doubles(
+        rec.groupBy(F.format_string("%04d-%02d-%02d", "year", "month", "day").alias("day"))
+        .agg(F.sum("r.uniques").alias("flow")), ["flow"])
+
+
+QUERIES["archive_daily_flow"] = (q_archive_daily_flow, QUERIES["people_per_day"][1])
