@@ -63,6 +63,28 @@ def joint_totals(joint: DataFrame, by: list[str] | None = None) -> DataFrame:
                                   F.count(F.lit(1)).alias("n_rows"))
 
 
+def joint_aggregate(df: DataFrame, keys: list[str] | None = None, classes=None, genders=None,
+                    ages=None) -> DataFrame:
+    """Σ joint_count per (keys, class, gender, age) without materialising the
+    ×96 rows: one grouped aggregation with one accumulator per label
+    combination (map-side partial sums), then an unpivot of the few result
+    rows.  Same numbers as ``joint_totals(joint_distribution(df), ...)``."""
+    keys = list(keys or [])
+    combos = [(c, g, a) for c in _pick(JOINT_CLASS_LABELS, classes)
+              for g in _pick(JOINT_GENDER_LABELS, genders) for a in _pick(JOINT_AGE_LABELS, ages)]
+    if not combos:
+        raise ValueError("label filters leave no combination")
+    aggs = [F.count(F.lit(1)).alias("__n")]
+    for i, (c, g, a) in enumerate(combos):
+        jc = F.col("uniques") * F.col(JOINT_CLASS_COL[c]) * F.col(JOINT_GENDER_COL[g]) * F.col(JOINT_AGE_COL[a])
+        aggs.append(F.sum(jc).alias(f"__j{i}"))
+    g = df.groupBy(*keys).agg(*aggs) if keys else df.agg(*aggs)
+    arr = F.array(*[F.struct(F.lit(c).alias("class_label"), F.lit(gg).alias("gender_label"),
+                             F.lit(a).alias("age_label"), F.col(f"__j{i}").alias("joint_count"))
+                    for i, (c, gg, a) in enumerate(combos)])
+    return g.select(*keys, F.inline(arr), F.col("__n").alias("n_rows"))
+
+
 # --- fixed values: long-form dimension names and labels ---
 LONG_FORM = (
     [("class", lab, col) for lab, col in zip(JOINT_CLASS_LABELS, CLASS_COUNT_COLUMNS)]

@@ -71,23 +71,31 @@ def radius_join(probe: DataFrame, build: DataFrame, radius_m: float,
 # ----------------------------------------------------------------------------- J5
 
 
-def location_profile(enriched_df: DataFrame) -> DataFrame:
-    """One row per location -- Σuniques and the 16 shares averaged with
-    weight ``uniques`` (Σ share*uniques / Σuniques), coordinates via min."""
+def location_sums(enriched_df: DataFrame) -> DataFrame:
+    """Σuniques, Σ(share x uniques) and coordinates (min) per location."""
     aggs = [F.sum("uniques").alias("uniques"), F.min("latitude").alias("latitude"),
             F.min("longitude").alias("longitude")]
     aggs += [F.sum(SHARE_TO_COUNT[c]).alias(SHARE_TO_COUNT[c]) for c in SHARE_COLUMNS]
-    g = enriched_df.groupBy("location_id").agg(*aggs)
+    return enriched_df.groupBy("location_id").agg(*aggs)
+
+
+def _shares_of(sums: DataFrame, keep: list[str]) -> DataFrame:
     denom = F.when(F.col("uniques") != 0, F.col("uniques"))
-    return g.select("location_id", "latitude", "longitude", "uniques",
-                    *[(F.col(SHARE_TO_COUNT[c]) / denom).alias(c) for c in SHARE_COLUMNS])
+    return sums.select(*keep, *[(F.col(SHARE_TO_COUNT[c]) / denom).alias(c) for c in SHARE_COLUMNS])
 
 
-def global_profile(enriched_df: DataFrame) -> DataFrame:
-    """Global weighted mean of the 16 shares (one row)."""
-    g = enriched_df.agg(F.sum("uniques").alias("__u"), *[F.sum(c).alias(c) for c in COUNT_COLUMNS])
-    denom = F.when(F.col("__u") != 0, F.col("__u"))
-    return g.select(*[(F.col(SHARE_TO_COUNT[c]) / denom).alias(c) for c in SHARE_COLUMNS])
+def location_profile(enriched_df: DataFrame) -> DataFrame:
+    """One row per location -- Σuniques and the 16 shares averaged with
+    weight ``uniques`` (Σ share*uniques / Σuniques), coordinates via min."""
+    return _shares_of(location_sums(enriched_df), ["location_id", "latitude", "longitude", "uniques"])
+
+
+def global_profile(enriched_df: DataFrame, sums: DataFrame | None = None) -> DataFrame:
+    """Global weighted mean of the 16 shares (one row).  Given the per-location
+    sums it is a second-level sum of those (the shuffle is shared)."""
+    src = sums if sums is not None else enriched_df
+    g = src.agg(F.sum("uniques").alias("uniques"), *[F.sum(c).alias(c) for c in COUNT_COLUMNS])
+    return _shares_of(g, [])
 
 
 # ----------------------------------------------------------------------------- J6
@@ -108,7 +116,8 @@ def enrich_screens(screens: DataFrame, enriched_df: DataFrame, radius_m: float =
     per location, not per event); both tiers are decided in one grouped
     aggregation per screen; every screen is kept by a left join.
     """
-    loc = location_profile(enriched_df).select(
+    sums = location_sums(enriched_df)
+    loc = _shares_of(sums, ["location_id", "latitude", "longitude", "uniques"]).select(
         F.col("location_id").alias("__loc"), F.col("latitude").alias("__lat"),
         F.col("longitude").alias("__lon"), F.col("uniques").alias("__u"),
         *[F.col(c).alias("__" + c) for c in SHARE_COLUMNS])
@@ -123,7 +132,7 @@ def enrich_screens(screens: DataFrame, enriched_df: DataFrame, radius_m: float =
         aggs += [F.sum(w_exact * F.col("__" + c)).alias("__e_" + c),
                  F.sum(w_fb * F.col("__" + c)).alias("__f_" + c)]
     per = pairs.groupBy("screen_id").agg(*aggs)
-    glob = global_profile(enriched_df).select(*[F.col(c).alias("__g_" + c) for c in SHARE_COLUMNS])
+    glob = global_profile(enriched_df, sums).select(*[F.col(c).alias("__g_" + c) for c in SHARE_COLUMNS])
     out = (screens.join(per, "screen_id", "left")
            .withColumn("__one", F.lit(1))
            .join(F.broadcast(glob.withColumn("__one", F.lit(1))), "__one")  # one row: bounded

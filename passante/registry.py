@@ -18,7 +18,7 @@ from passante.operators import demographics as D
 from passante.operators.filters import GeoFilters
 from passante.plans.model import enriched, snowflake
 from passante.schemas import AGE_COLUMNS, AGE_FILTER_LABELS, CLASS_COLUMNS, CLASS_FILTER_LABELS
-from passante.session import apply_runtime_conf
+from passante.session import apply_runtime_conf, checkpoint_dir
 from passante.sources.fixtures import fixture_star
 from passante.sources.testdata import Tables
 
@@ -575,7 +575,7 @@ def _joint_sql(classes=None, genders=None, ages=None, by="cl, gl, al",
 
 
 def q_joint(spark, sf_dir):
-    return _round_doubles(B.joint_totals(B.joint_distribution(_en(spark, sf_dir))), ["joint_count"])
+    return _round_doubles(B.joint_aggregate(_en(spark, sf_dir)), ["joint_count"])
 
 
 QUERIES["joint_distribution"] = (q_joint, _fixture_sql(_joint_sql()))
@@ -584,8 +584,10 @@ _JF = dict(classes=("A", "B1"), genders=("Feminine",), ages=("20-29", "30-39"))
 
 
 def q_joint_filtered(spark, sf_dir):
-    j = B.joint_distribution(_en(spark, sf_dir), **_JF)
-    return _round_doubles(B.joint_totals(j, ["impression_hour", "class_label"]), ["joint_count"])
+    j = B.joint_aggregate(_en(spark, sf_dir), ["impression_hour"], **_JF)
+    t = j.groupBy("impression_hour", "class_label").agg(F.sum("joint_count").alias("joint_count"),
+                                                       F.sum("n_rows").alias("n_rows"))
+    return _round_doubles(t, ["joint_count"])
 
 
 QUERIES["joint_by_hour_filtered"] = (q_joint_filtered, _fixture_sql(
@@ -898,6 +900,10 @@ def q_ingest_shred(spark, sf_dir):
     rows = I.to_flow_rows(snowflake(star))
     typed = I.typed_flow(rows.withColumns({"_source_file": F.lit("flow.csv"),
                                            "_row_key": F.monotonically_increasing_id().cast("string")}))
+    # parse once; the five tables are then projections of the checkpointed
+    # frame (reliable checkpoint in spark.checkpoint.dir, lineage cut)
+    checkpoint_dir(spark)
+    typed = typed.checkpoint(eager=True)
     sh = I.shred(typed, I.bulk_keys(), strict=True)
     back = Star(**sh.tables())
     return D.demographics(back, round_to=R6)
