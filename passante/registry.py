@@ -915,7 +915,7 @@ QUERIES["ingest_csv_shred"] = (q_ingest_shred, _fixture_sql(f"select count(*) as
 # ---------------------------------------------------------------- streams: T3/K1 and T4/K3/S4 over the test tables
 from passante.session import scratch_path  # noqa: E402
 from passante.sources.fixtures import fx_messages  # noqa: E402
-from passante.sources.topic import read_envelope_files  # noqa: E402
+from passante.sources.topic import read_envelope_files, write_envelope_files  # noqa: E402
 from passante.streaming import archive as AR  # noqa: E402
 from passante.streaming import warehouse as WH  # noqa: E402
 
@@ -925,7 +925,7 @@ def q_stream_warehouse(spark, sf_dir):
     foreachBatch five-table writes -> warehouse read back -> J1 -> A1."""
     t, _ = _ctx(spark, sf_dir)
     root = scratch_path(spark, "stream-warehouse")
-    fx_messages(t).repartition(16).write.mode("overwrite").json(f"{root}/in")
+    write_envelope_files(fx_messages(t), f"{root}/in", 16)
     q = WH.start_warehouse_stream(read_envelope_files(spark, f"{root}/in", max_files_per_trigger=4),
                                   f"{root}/wh", f"{root}/ck", trigger={"availableNow": True})
     q.awaitTermination()
@@ -950,3 +950,100 @@ def q_archive_daily_flow(spark, sf_dir):
 
 
 QUERIES["archive_daily_flow"] = (q_archive_daily_flow, QUERIES["people_per_day"][1])
+
+
+# ---------------------------------------------------------------- F15 / F10 / F11 / J8 / T9 / T10
+from passante.operators import embeddings as EM  # noqa: E402
+from passante.operators.filters import bounding_box  # noqa: E402
+from passante.plans.datasets import ingest_summary  # noqa: E402
+from passante.streaming import live as LV  # noqa: E402
+
+
+@register("ingest_contract_summary", """
+select count(*) as records, min(impression_hour) as min_hour, max(impression_hour) as max_hour,
+  count(distinct location_id) as locations,
+  count(case when impression_hour is null or impression_hour not between 0 and 23 then 1 end) as bad_hours,
+  count(case when try_cast(latitude as double) is null or try_cast(longitude as double) is null
+              or try_cast(latitude as double) not between -90 and 90
+              or try_cast(longitude as double) not between -180 and 180 then 1 end) as bad_coordinates
+from fx_geodata""")
+def q_ingest_summary(spark, sf_dir):
+    _, star = _ctx(spark, sf_dir)
+    return ingest_summary(star.geodata)
+
+
+BBOX = (-23.60, -23.50, -46.70, -46.60)
+
+
+@register("bbox_night_points", f"""
+select id, location_id, impression_hour, round(uniques, 6) as uniques from enriched
+where latitude between {BBOX[0]} and {BBOX[1]} and longitude between {BBOX[2]} and {BBOX[3]}
+  and (impression_hour >= 22 or impression_hour <= 5)""")
+def q_bbox_night(spark, sf_dir):
+    _, star = _ctx(spark, sf_dir)
+    f = GeoFilters(hour_range=(22, 5))
+    df = f.apply(enriched(star)).where(bounding_box(*BBOX))
+    return _round_doubles(df.select("id", "location_id", "impression_hour", "uniques"), ["uniques"])
+
+
+def q_nested_summary(spark, sf_dir):
+    _, star = _ctx(spark, sf_dir)
+    return D.nested_summary(D.compare(star, "genero", round_to=R6))
+
+
+QUERIES["compare_gender_nested"] = (q_nested_summary, None)  # struct output: rows-only check
+
+
+def q_embedding_topk(spark, sf_dir):
+    t, _ = _ctx(spark, sf_dir)
+    return _round_doubles(EM.centroid_topk(t.embeddings, 5), ["score"])
+
+
+QUERIES["embedding_centroid_topk"] = (q_embedding_topk, _fixture_sql("""
+, e as (select vec_id, label, cast(embedding as double[]) as v from embeddings)
+, x as (select label, i, v[i] as xi from e, range(1, 65) r(i))
+, c as (select label, i, avg(xi) as m from x group by label, i)
+, cv as (select label, list(m order by i) as cen from c group by label)
+, s as (select e.vec_id, e.label,
+          list_dot_product(e.v, cv.cen) / (sqrt(list_dot_product(e.v, e.v)) * sqrt(list_dot_product(cv.cen, cv.cen))) as score
+        from e join cv on e.label = cv.label)
+select label, vec_id, round(score, 6) as score, rank from (
+  select *, row_number() over (partition by label order by score desc, vec_id) as rank from s) z where rank <= 5"""))
+
+
+def _live(spark, sf_dir, which):
+    t, _ = _ctx(spark, sf_dir)
+    root = scratch_path(spark, f"live-{which}")
+    write_envelope_files(fx_messages(t), f"{root}/in", 8)
+    q = LV.start_live(read_envelope_files(spark, f"{root}/in", max_files_per_trigger=4), f"{root}/out",
+                      which, f"{root}/ck", trigger={"availableNow": True})
+    q.awaitTermination()
+    keys = ["location_id", "impression_hour"] if which == "flow" else ["location_id"]
+    return LV.read_current(spark, f"{root}/out", keys)
+
+
+def q_live_flow(spark, sf_dir):
+    return _round_doubles(_live(spark, sf_dir, "flow"), ["flow"])
+
+
+QUERIES["live_location_hour_flow"] = (q_live_flow, _fixture_sql(
+    "select location_id, impression_hour, round(sum(uniques), 6) as flow, count(*) as events "
+    "from fx_geodata group by 1, 2"))
+
+
+def q_live_latest(spark, sf_dir):
+    df = _live(spark, sf_dir, "latest")
+    return _round_doubles(df.withColumn("timestamp", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS")),
+                          ["uniques"])
+
+
+QUERIES["live_latest_per_location"] = (q_live_latest, _fixture_sql(_REC_CTE + """
+select location_id, strftime(arg_max(kafka_timestamp, (kafka_timestamp, kafka_offset, kafka_partition)), '%Y-%m-%d %H:%M:%S.%f') as timestamp,
+  cast(arg_max(kafka_partition, (kafka_timestamp, kafka_offset, kafka_partition)) as integer) as partition,
+  arg_max(kafka_offset, (kafka_timestamp, kafka_offset, kafka_partition)) as offset,
+  arg_max(impression_hour, (kafka_timestamp, kafka_offset, kafka_partition)) as impression_hour,
+  round(arg_max(uniques, (kafka_timestamp, kafka_offset, kafka_partition)), 6) as uniques,
+  arg_max(latitude, (kafka_timestamp, kafka_offset, kafka_partition)) as latitude,
+  arg_max(longitude, (kafka_timestamp, kafka_offset, kafka_partition)) as longitude,
+  arg_max(endereco, (kafka_timestamp, kafka_offset, kafka_partition)) as endereco
+from rec group by location_id"""))

@@ -108,9 +108,10 @@ def test_stream_batch_quarantine_dedup_replay(spark, tmp_dir):
 def test_file_stream_batches(spark, tmp_dir):
     from passante.sources.topic import read_envelope_files
     ts = dt.datetime(2025, 6, 15, 10, 30)
+    from passante.sources.topic import write_envelope_files
     for i in range(3):
-        _env(spark, [("geodata", i, j, ts, _event(location_id=j), j + 1) for j in range(5)]) \
-            .coalesce(1).write.mode("append").json(f"{tmp_dir}/in")
+        write_envelope_files(_env(spark, [("geodata", i, j, ts, _event(location_id=j), j + 1) for j in range(5)]),
+                             f"{tmp_dir}/in", files=1, mode="append")
     q = WH.start_warehouse_stream(read_envelope_files(spark, f"{tmp_dir}/in", 1), f"{tmp_dir}/wh",
                                   f"{tmp_dir}/ck", trigger={"availableNow": True})
     q.awaitTermination()
