@@ -123,9 +123,13 @@ def compact_day(spark: SparkSession, base: str, out: str, day: dt.date | None =
     (never one task for a whole day).  Returns files and bytes read; an empty
     day is a no-op."""
     d = day or yesterday_utc()
-    listing = list_objects(spark, f"{base.rstrip('/')}/topics")
-    frag = listing.where(F.col("path").contains(f"/year={d.year:04d}/") & F.col("path").contains(f"/month={d.month:02d}/")
-                         & F.col("path").contains(f"/day={d.day:02d}/"))
+    day_glob = f"{base.rstrip('/')}/topics/topic=*/year={d.year:04d}/month={d.month:02d}/day={d.day:02d}"
+    try:  # list only that day's folders, not the whole archive
+        frag = list_objects(spark, day_glob)
+    except Exception as e:  # noqa: BLE001 - no folder for that day
+        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
+            return {"day": str(d), "files": 0, "bytes": 0, "written": False}
+        raise
     stats = frag.agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")).first()
     files, nbytes = int(stats["files"]), int(stats["bytes"])
     if files == 0:
