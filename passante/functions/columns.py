@@ -78,17 +78,14 @@ def uuid5(seed: Column) -> Column:
     sha1(namespace bytes || seed bytes), first 16 bytes, version nibble 5 and
     variant bits 10.  Pure SQL, deterministic under task retries.
     """
-    digest = F.sha1(F.concat(F.unhex(F.lit(UUID_NAMESPACE_HEX)), seed.cast("binary")))
-    h = F.lower(digest)
-    # byte 6 high nibble -> 5; byte 8 top two bits -> 10
-    b8 = F.conv(F.substring(h, 17, 2), 16, 10).cast("int")
-    b8v = F.lpad(F.lower(F.conv(((b8 % 64) + 128).cast("string"), 10, 16)), 2, "0")
-    return F.concat_ws(
-        "-",
-        F.substring(h, 1, 8),
-        F.substring(h, 9, 4),
-        F.concat(F.lit("5"), F.substring(h, 14, 3)),
-        F.concat(b8v, F.substring(h, 19, 2)),
+    h = F.sha1(F.concat(F.unhex(F.lit(UUID_NAMESPACE_HEX)), seed.cast("binary")))  # lower-case hex
+    # byte 6 high nibble -> 5; byte 8 top two bits -> 10: (x & 3) | 8 on that hex digit
+    variant = F.translate(F.substring(h, 17, 1), "0123456789abcdef", "89ab89ab89ab89ab")
+    return F.concat(
+        F.substring(h, 1, 8), F.lit("-"),
+        F.substring(h, 9, 4), F.lit("-"),
+        F.lit("5"), F.substring(h, 14, 3), F.lit("-"),
+        variant, F.substring(h, 18, 3), F.lit("-"),
         F.substring(h, 21, 12),
     )
 

@@ -132,6 +132,13 @@ def bulk_keys(row_key: str = "_row_key", source: str = "_source_file"):
     return lambda table: uuid5(F.concat_ws(":", F.col(source), F.col(row_key), F.lit(table)))
 
 
+def with_keys(events: DataFrame, key_of) -> DataFrame:
+    """Add the five per-table keys as ``__{table}_id`` (kept if already there,
+    e.g. computed once in a cached micro-batch)."""
+    missing = {f"__{t}_id": key_of(t) for t in TABLES if f"__{t}_id" not in events.columns}
+    return events.withColumns(missing) if missing else events
+
+
 def shred(events: DataFrame, key_of, strict: bool = True) -> Shredded:
     """One event -> age, gender, social_class, target and geodata rows.
 
@@ -140,10 +147,10 @@ def shred(events: DataFrame, key_of, strict: bool = True) -> Shredded:
     profile is rejected; absent buckets become 0.0.
     """
     ok = profile_complete(F.col("target")) if strict else F.col("target").isNotNull()
-    ids = {t: key_of(t) for t in TABLES}
-    base = events.withColumns({f"__{t}_id": ids[t] for t in TABLES})
+    base = with_keys(events, key_of)
     good = base.where(ok)
-    bad = events.where(~ok).withColumn("reason", missing_key_reason(F.col("target")))
+    bad = events.where(~ok).withColumn("reason", missing_key_reason(F.col("target"))) \
+        .drop(*[f"__{t}_id" for t in TABLES])
 
     def bucket(dim, key):
         v = F.col("target").getItem(dim).getItem(key)
