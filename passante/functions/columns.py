@@ -15,6 +15,12 @@ from pyspark.sql import functions as F
 from passante.schemas import EARTH_RADIUS_M, UUID_NAMESPACE_HEX
 
 
+def scalar_struct(df) -> Column:
+    """A one-row DataFrame (a global aggregate) as a scalar-subquery struct
+    Column: it is evaluated once and attached to every row without a join."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("v")).scalar()
+
+
 def col_(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from passante.functions.columns import address_label, dominant_label, gender_label, haversine_m
+from passante.functions.columns import address_label, dominant_label, gender_label, haversine_m, scalar_struct
 from passante.schemas import (
     AGE_COLUMNS, AGE_COUNT_COLUMNS, AGE_FILTER_LABELS, CLASS_COLUMNS, CLASS_COUNT_COLUMNS,
     CLASS_FILTER_LABELS, GENDER_COLUMNS, GENDER_COUNT_COLUMNS, JOINT_AGE_LABELS, JOINT_CLASS_LABELS,
@@ -147,9 +147,9 @@ def composition(df: DataFrame, dimension: str = "class") -> DataFrame:
     pairs = [(lab, col) for dim, lab, col in LONG_FORM if dim == dimension]
     sums = df.agg(*[F.sum(col).alias(lab) for lab, col in pairs])
     rows = sums.unpivot([], [lab for lab, _ in pairs], "label", "value")
-    tot = sums.select(sum((F.coalesce(F.col(f"`{lab}`"), F.lit(0.0)) for lab, _ in pairs), F.lit(0.0)).alias("total"))
-    k = "__one"
-    j = rows.withColumn(k, F.lit(1)).join(F.broadcast(tot.withColumn(k, F.lit(1))), k).drop(k)
+    tot = scalar_struct(sums.select(
+        sum((F.coalesce(F.col(f"`{lab}`"), F.lit(0.0)) for lab, _ in pairs), F.lit(0.0)).alias("total")))
+    j = rows.withColumn("total", tot["total"])  # one-row total, no join
     return j.select("label", "value", (F.col("value") / F.when(F.col("total") != 0, F.col("total"))).alias("share"))
 
 

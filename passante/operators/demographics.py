@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from passante.functions.columns import dominant_label, gender_label, try_double
+from passante.functions.columns import dominant_label, gender_label, scalar_struct, try_double
 from passante.operators.filters import GeoFilters, clamp_limit, valid_coordinates
 from passante.plans.model import snowflake
 from passante.schemas import (
@@ -140,13 +140,7 @@ def coverage_metadata(enriched_df: DataFrame, max_cities: int = 500) -> DataFram
     total = enriched_df.agg(F.countDistinct("location_id").alias("total_points"))
     first = (enriched_df.select("cidade").where(F.col("cidade").isNotNull()).distinct()
              .orderBy("cidade").limit(max_cities))
-    cities = first.agg(F.count(F.lit(1)).alias("n_cities"),
-                       F.array_join(F.sort_array(F.collect_list("cidade")), "|").alias("cities"))
-    return _one_row_join(total, cities)
-
-
-def _one_row_join(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Join two single-row aggregates on a constant key (an equi-join, not a
-    cartesian product)."""
-    k = "__one"
-    return a.withColumn(k, F.lit(1)).join(F.broadcast(b.withColumn(k, F.lit(1))), k).drop(k)
+    cities = scalar_struct(first.agg(F.count(F.lit(1)).alias("n_cities"),
+                                     F.array_join(F.sort_array(F.collect_list("cidade")), "|").alias("cities")))
+    return (total.withColumn("__c", cities)
+            .select("total_points", F.col("__c.n_cities").alias("n_cities"), F.col("__c.cities").alias("cities")))

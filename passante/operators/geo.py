@@ -22,7 +22,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from passante.functions.columns import haversine_m
+from passante.functions.columns import haversine_m, scalar_struct
 from passante.schemas import (
     COUNT_COLUMNS, EARTH_RADIUS_M, SCREEN_SHARE_COLUMNS, SHARE_COLUMNS, SHARE_TO_COUNT,
 )
@@ -132,11 +132,9 @@ def enrich_screens(screens: DataFrame, enriched_df: DataFrame, radius_m: float =
         aggs += [F.sum(w_exact * F.col("__" + c)).alias("__e_" + c),
                  F.sum(w_fb * F.col("__" + c)).alias("__f_" + c)]
     per = pairs.groupBy("screen_id").agg(*aggs)
-    glob = global_profile(enriched_df, sums).select(*[F.col(c).alias("__g_" + c) for c in SHARE_COLUMNS])
-    out = (screens.join(per, "screen_id", "left")
-           .withColumn("__one", F.lit(1))
-           .join(F.broadcast(glob.withColumn("__one", F.lit(1))), "__one")  # one row: bounded
-           .drop("__one"))
+    glob = scalar_struct(global_profile(enriched_df, sums))  # one row, no join
+    out = (screens.join(per, "screen_id", "left").withColumn("__g", glob)
+           .withColumns({"__g_" + c: F.col("__g")[c] for c in SHARE_COLUMNS}).drop("__g"))
     is_exact = F.coalesce(F.col("__n_exact"), F.lit(0)) > 0
     is_fb = ~is_exact & (F.coalesce(F.col("__n_pairs"), F.lit(0)) > 0)
     cols = {}
@@ -287,8 +285,10 @@ def density_domain(bins: DataFrame, group_cols: list[str] | None = None, measure
 def color_class(bins: DataFrame, domain: DataFrame, measure: str = "n", classes: int = 6) -> DataFrame:
     """H4: equal-interval colour class 0..classes-1 over a (one-row) domain;
     a zero-width domain puts every bin in class 0."""
-    k = "__one"
-    j = bins.withColumn(k, F.lit(1)).join(F.broadcast(domain.withColumn(k, F.lit(1))), k).drop(k)
+    dom = scalar_struct(domain.select("domain_min", "domain_max"))  # one row, no join
+    j = (bins.withColumn("__d", dom)
+         .withColumns({"domain_min": F.col("__d.domain_min"), "domain_max": F.col("__d.domain_max")})
+         .drop("__d"))
     width = F.col("domain_max") - F.col("domain_min")
     cls = F.when(width <= 0, F.lit(0)).otherwise(
         F.least(F.floor((F.col(measure) - F.col("domain_min")) / width * classes), F.lit(classes - 1)))
