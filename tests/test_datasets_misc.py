@@ -92,3 +92,11 @@ def test_fan_out_two_streams(spark, tmp_dir):
     assert cur == {0: 2 * (1 + 4), 1: 2 * (2 + 5), 2: 2 * (3 + 6)}
     lat = {r.location_id: r.offset for r in LV.read_current(spark, f"{tmp_dir}/latest", ["location_id"]).collect()}
     assert lat == {0: 3, 1: 4, 2: 5}
+    from passante.streaming.monitor import flush_histogram, progress_frame, source_lag
+    pf = progress_frame(spark, q1).collect()
+    assert len(pf) == 3 and sum(r.rows for r in pf) == 12
+    hist = {r.le: r["count"] for r in flush_histogram(spark.read.parquet(f"{tmp_dir}/wh/_telemetry")).collect()}
+    assert hist[1.0] == 0 and hist[10.0] == 3 and hist[float("inf")] == 3
+    fake = [{"batchId": 4, "sources": [{"endOffset": '{"geodata": {"0": 10, "1": 7}}',
+                                        "latestOffset": '{"geodata": {"0": 15, "1": 7}}'}]}]
+    assert sorted(source_lag(fake)) == [(4, "geodata", 0, 10, 15, 5), (4, "geodata", 1, 7, 7, 0)]
