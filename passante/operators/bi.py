@@ -66,23 +66,27 @@ def joint_totals(joint: DataFrame, by: list[str] | None = None) -> DataFrame:
 def joint_aggregate(df: DataFrame, keys: list[str] | None = None, classes=None, genders=None,
                     ages=None) -> DataFrame:
     """Σ joint_count per (keys, class, gender, age) without materialising the
-    ×96 rows: one grouped aggregation with one accumulator per label
-    combination (map-side partial sums), then an unpivot of the few result
-    rows.  Same numbers as ``joint_totals(joint_distribution(df), ...)``."""
+    ×96 rows.  Each event is expanded only over the (class, gender) pairs
+    (12 at most) carrying ``uniques * P(class) * P(gender)``; one grouped
+    aggregation then keeps one accumulator per age band (map-side partial
+    sums), and the few result rows are unpivoted over the age bands.  Same
+    products, in the same order, as ``joint_distribution``."""
     keys = list(keys or [])
-    combos = [(c, g, a) for c in _pick(JOINT_CLASS_LABELS, classes)
-              for g in _pick(JOINT_GENDER_LABELS, genders) for a in _pick(JOINT_AGE_LABELS, ages)]
-    if not combos:
+    cg = [(c, g) for c in _pick(JOINT_CLASS_LABELS, classes) for g in _pick(JOINT_GENDER_LABELS, genders)]
+    age_labels = _pick(JOINT_AGE_LABELS, ages)
+    if not cg or not age_labels:
         raise ValueError("label filters leave no combination")
-    aggs = [F.count(F.lit(1)).alias("__n")]
-    for i, (c, g, a) in enumerate(combos):
-        jc = F.col("uniques") * F.col(JOINT_CLASS_COL[c]) * F.col(JOINT_GENDER_COL[g]) * F.col(JOINT_AGE_COL[a])
-        aggs.append(F.sum(jc).alias(f"__j{i}"))
-    g = df.groupBy(*keys).agg(*aggs) if keys else df.agg(*aggs)
-    arr = F.array(*[F.struct(F.lit(c).alias("class_label"), F.lit(gg).alias("gender_label"),
-                             F.lit(a).alias("age_label"), F.col(f"__j{i}").alias("joint_count"))
-                    for i, (c, gg, a) in enumerate(combos)])
-    return g.select(*keys, F.inline(arr), F.col("__n").alias("n_rows"))
+    pairs = F.array(*[F.struct(F.lit(c).alias("class_label"), F.lit(g).alias("gender_label"),
+                               (F.col("uniques") * F.col(JOINT_CLASS_COL[c]) * F.col(JOINT_GENDER_COL[g])).alias("w"))
+                      for c, g in cg])
+    x = df.select(*keys, *[F.col(JOINT_AGE_COL[a]).alias(f"__a{i}") for i, a in enumerate(age_labels)],
+                  F.inline(pairs))
+    g = x.groupBy(*keys, "class_label", "gender_label").agg(
+        F.count(F.lit(1)).alias("__n"),
+        *[F.sum(F.col("w") * F.col(f"__a{i}")).alias(f"__j{i}") for i in range(len(age_labels))])
+    arr = F.array(*[F.struct(F.lit(a).alias("age_label"), F.col(f"__j{i}").alias("joint_count"))
+                    for i, a in enumerate(age_labels)])
+    return g.select(*keys, "class_label", "gender_label", F.inline(arr), F.col("__n").alias("n_rows"))
 
 
 # --- fixed values: long-form dimension names and labels ---

@@ -33,10 +33,32 @@ def register(name: str, sql: str | None):
     return deco
 
 
+_MEMO: dict[tuple[str, str, str], object] = {}
+
+
+def _memo(spark: SparkSession, sf_dir: str, what: str, build):
+    """Resolved (lazy) plans per (application, folder): later queries start
+    from an analysed DataFrame instead of re-analysing the same joins."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), what)
+    if key not in _MEMO:
+        _MEMO[key] = build()
+    return _MEMO[key]
+
+
 def _ctx(spark: SparkSession, sf_dir: str):
     apply_runtime_conf(spark)
     t = Tables(spark, sf_dir)
-    return t, fixture_star(t)
+    return t, _memo(spark, sf_dir, "star", lambda: fixture_star(t))
+
+
+def _j1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, star = _ctx(spark, sf_dir)
+    return _memo(spark, sf_dir, "j1", lambda: snowflake(star))
+
+
+def _en(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, star = _ctx(spark, sf_dir)
+    return _memo(spark, sf_dir, "enriched", lambda: enriched(star))
 
 
 # A representative filter set used by the *_filtered queries.
@@ -60,14 +82,14 @@ SAMPLE_WHERE = """
 @register("demographics", f"select count(*) as count, {O.avg_list()} from j1")
 def q_demographics(spark, sf_dir):
     _, star = _ctx(spark, sf_dir)
-    return D.demographics(star, round_to=R6)
+    return D.demographics(_j1(spark, sf_dir), round_to=R6)
 
 
 @register("demographics_filtered",
           f"select count(*) as count, {O.avg_list()} from j1 where {SAMPLE_WHERE}")
 def q_demographics_filtered(spark, sf_dir):
     _, star = _ctx(spark, sf_dir)
-    return D.demographics(star, SAMPLE_FILTERS, round_to=R6)
+    return D.demographics(_j1(spark, sf_dir), SAMPLE_FILTERS, round_to=R6)
 
 
 _AGE_CASE = O.dominant_sql(AGE_COLUMNS, AGE_FILTER_LABELS)
@@ -84,25 +106,25 @@ def _compare_sql(case: str, where: str = "") -> str:
 @register("compare_age", _compare_sql(_AGE_CASE))
 def q_compare_age(spark, sf_dir):
     _, star = _ctx(spark, sf_dir)
-    return D.compare(star, "faixa_etaria", round_to=R6)
+    return D.compare(_j1(spark, sf_dir), "faixa_etaria", round_to=R6)
 
 
 @register("compare_gender", _compare_sql(_GENDER_CASE))
 def q_compare_gender(spark, sf_dir):
     _, star = _ctx(spark, sf_dir)
-    return D.compare(star, "genero", round_to=R6)
+    return D.compare(_j1(spark, sf_dir), "genero", round_to=R6)
 
 
 @register("compare_class", _compare_sql(_CLASS_CASE))
 def q_compare_class(spark, sf_dir):
     _, star = _ctx(spark, sf_dir)
-    return D.compare(star, "classe_social", round_to=R6)
+    return D.compare(_j1(spark, sf_dir), "classe_social", round_to=R6)
 
 
 @register("compare_class_filtered", _compare_sql(_CLASS_CASE, SAMPLE_WHERE))
 def q_compare_class_filtered(spark, sf_dir):
     _, star = _ctx(spark, sf_dir)
-    return D.compare(star, "classe_social", SAMPLE_FILTERS, round_to=R6)
+    return D.compare(_j1(spark, sf_dir), "classe_social", SAMPLE_FILTERS, round_to=R6)
 
 
 # ---------------------------------------------------------------- N6 / L1
@@ -116,13 +138,13 @@ from j1 where try_cast(latitude as double) is not null and try_cast(longitude as
 @register("geo_points", _POINTS_SQL + " order by id limit 5000")
 def q_geo_points(spark, sf_dir):
     _, star = _ctx(spark, sf_dir)
-    return D.geo_points(star)
+    return D.geo_points(_j1(spark, sf_dir))
 
 
 @register("geo_points_filtered", _POINTS_SQL + f" and {SAMPLE_WHERE} order by id limit 5000")
 def q_geo_points_filtered(spark, sf_dir):
     _, star = _ctx(spark, sf_dir)
-    return D.geo_points(star, SAMPLE_FILTERS)
+    return D.geo_points(_j1(spark, sf_dir), SAMPLE_FILTERS)
 
 
 # ---------------------------------------------------------------- A8 / A9
@@ -157,7 +179,7 @@ select (select count(distinct location_id) from enriched) as total_points,
 """)
 def q_coverage(spark, sf_dir):
     _, star = _ctx(spark, sf_dir)
-    return D.coverage_metadata(enriched(star))
+    return D.coverage_metadata(_en(spark, sf_dir))
 
 
 def entry_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -233,7 +255,7 @@ def _register_campaign(name: str, spec: C.CampaignSpec):
 
     def fn(spark, sf_dir):
         _, star = _ctx(spark, sf_dir)
-        return _round_doubles(C.analyze_campaign(enriched(star), spec), _CAMPAIGN_OUT)
+        return _round_doubles(C.analyze_campaign(_en(spark, sf_dir), spec), _CAMPAIGN_OUT)
 
     QUERIES[name] = (fn, "WITH " + O.FIXTURE_CTES.strip() + body)
 
@@ -291,7 +313,7 @@ where rank <= {s.k}""")
 @register("campaign_topk_multi", _multi_sql(MULTI_SPECS))
 def q_campaign_multi(spark, sf_dir):
     _, star = _ctx(spark, sf_dir)
-    return _round_doubles(C.multi_campaign(enriched(star), MULTI_SPECS), _CAMPAIGN_OUT)
+    return _round_doubles(C.multi_campaign(_en(spark, sf_dir), MULTI_SPECS), _CAMPAIGN_OUT)
 
 
 # ---------------------------------------------------------------- geo: H1 H3 H4 J4 J5 J6 J7 H5 A5 A6
@@ -348,7 +370,7 @@ def _fixture_sql(body: str) -> str:
 
 def _hexbin_df(spark, sf_dir):
     _, star = _ctx(spark, sf_dir)
-    pts = D.point_rows(star)
+    pts = D.point_rows(_j1(spark, sf_dir))
     return G.hexbin(pts, HEX_R)
 
 
@@ -377,7 +399,7 @@ from bins, dom"""))
 
 def _hex_locations(spark, sf_dir):
     _, star = _ctx(spark, sf_dir)
-    j = snowflake(star).where(F.col("latitude").try_cast("double").isNotNull())
+    j = _j1(spark, sf_dir).where(F.col("latitude").try_cast("double").isNotNull())
     pts = j.select("location_id", F.col("latitude").try_cast("double").alias("latitude"),
                    F.col("longitude").try_cast("double").alias("longitude"))
     return G.hex_locations(pts, HEX_R)
@@ -399,7 +421,7 @@ def _loc_sql() -> str:
 
 def q_location_profile(spark, sf_dir):
     _, star = _ctx(spark, sf_dir)
-    df = G.location_profile(enriched(star))
+    df = G.location_profile(_en(spark, sf_dir))
     return _round_doubles(df, ["latitude", "longitude", "uniques"] + SHARE_COLUMNS)
 
 
@@ -410,7 +432,7 @@ QUERIES["location_profile"] = (q_location_profile, _fixture_sql(
 
 def q_radius_join(spark, sf_dir):
     t, star = _ctx(spark, sf_dir)
-    loc = G.location_profile(enriched(star)).select(
+    loc = G.location_profile(_en(spark, sf_dir)).select(
         "location_id", F.col("latitude").alias("loc_lat"), F.col("longitude").alias("loc_lon"))
     pairs = G.radius_join(fx_screens(t), loc, 1000.0, "latitude", "longitude", "loc_lat", "loc_lon")
     return _round_doubles(pairs.select("screen_id", "location_id", "distance_m"), ["distance_m"])
@@ -446,7 +468,7 @@ from fx_screens s left join per on s.screen_id = per.screen_id cross join gavg""
 
 def q_screen_enrichment(spark, sf_dir):
     t, star = _ctx(spark, sf_dir)
-    df = G.enrich_screens(fx_screens(t), enriched(star))
+    df = G.enrich_screens(fx_screens(t), _en(spark, sf_dir))
     return _round_doubles(df, ["latitude", "longitude"] + SCREEN_SHARE_COLUMNS)
 
 
@@ -462,7 +484,7 @@ _GAZ_CTE = """
 
 def q_gazetteer(spark, sf_dir):
     _, star = _ctx(spark, sf_dir)
-    return _round_doubles(G.gazetteer(enriched(star)), ["lat", "lon", "lat_min", "lat_max", "lon_min", "lon_max"])
+    return _round_doubles(G.gazetteer(_en(spark, sf_dir)), ["lat", "lon", "lat_min", "lat_max", "lon_min", "lon_max"])
 
 
 QUERIES["gazetteer_cities"] = (q_gazetteer, _fixture_sql(
@@ -472,7 +494,7 @@ QUERIES["gazetteer_cities"] = (q_gazetteer, _fixture_sql(
 
 def q_place_reach(spark, sf_dir):
     _, star = _ctx(spark, sf_dir)
-    en = enriched(star)
+    en = _en(spark, sf_dir)
     places = G.gazetteer(en).select(F.col("cidade").alias("place"), "lat", "lon")
     return _round_doubles(G.place_reach(places, en, 2000.0), ["flow"])
 
@@ -487,7 +509,7 @@ from gaz g left join pr on g.cidade = pr.place"""))
 
 def q_centre_ranking(spark, sf_dir):
     _, star = _ctx(spark, sf_dir)
-    return _round_doubles(G.centre_ranking(enriched(star)), ["flow", "distance_m", "score"])
+    return _round_doubles(G.centre_ranking(_en(spark, sf_dir)), ["flow", "distance_m", "score"])
 
 
 QUERIES["centre_ranking"] = (q_centre_ranking, _fixture_sql(_GAZ_CTE + f"""
@@ -520,7 +542,7 @@ def _segment_sql(limit: int = SG.CARD_LIMIT) -> str:
 
 def _segments_df(spark, sf_dir):
     _, star = _ctx(spark, sf_dir)
-    return SG.segment_points(snowflake(star), "age")
+    return SG.segment_points(_j1(spark, sf_dir), "age")
 
 
 QUERIES["segment_grid"] = (_segments_df, _fixture_sql(
@@ -548,11 +570,6 @@ from passante.schemas import (  # noqa: E402
 )
 
 
-def _en(spark, sf_dir):
-    _, star = _ctx(spark, sf_dir)
-    return enriched(star)
-
-
 def _values_cte(name: str, col: str, labels: list[str]) -> str:
     vals = ", ".join(f"('{v}')" for v in labels)
     return f", {name} as (select * from (values {vals}) t({col}))\n"
@@ -723,7 +740,7 @@ QUERIES["area_compare"] = (q_area_compare, _fixture_sql(_area_sql()))
 
 def q_result_facets(spark, sf_dir):
     _, star = _ctx(spark, sf_dir)
-    return B.result_facets(SAMPLE_FILTERS.apply(snowflake(star)))
+    return B.result_facets(SAMPLE_FILTERS.apply(_j1(spark, sf_dir)))
 
 
 QUERIES["result_facets"] = (q_result_facets, _fixture_sql(f"""
@@ -897,7 +914,7 @@ def q_ingest_shred(spark, sf_dir):
     """J1 rows -> flow CSV text (python-dict profile) -> quote fix + parse ->
     completeness check -> five tables with deterministic keys -> J1 -> A1."""
     _, star = _ctx(spark, sf_dir)
-    rows = I.to_flow_rows(snowflake(star))
+    rows = I.to_flow_rows(_j1(spark, sf_dir))
     typed = I.typed_flow(rows.withColumns({"_source_file": F.lit("flow.csv"),
                                            "_row_key": F.monotonically_increasing_id().cast("string")}))
     # parse once; the five tables are then projections of the checkpointed
@@ -982,13 +999,13 @@ where latitude between {BBOX[0]} and {BBOX[1]} and longitude between {BBOX[2]} a
 def q_bbox_night(spark, sf_dir):
     _, star = _ctx(spark, sf_dir)
     f = GeoFilters(hour_range=(22, 5))
-    df = f.apply(enriched(star)).where(bounding_box(*BBOX))
+    df = f.apply(_en(spark, sf_dir)).where(bounding_box(*BBOX))
     return _round_doubles(df.select("id", "location_id", "impression_hour", "uniques"), ["uniques"])
 
 
 def q_nested_summary(spark, sf_dir):
     _, star = _ctx(spark, sf_dir)
-    return D.nested_summary(D.compare(star, "genero", round_to=R6))
+    return D.nested_summary(D.compare(_j1(spark, sf_dir), "genero", round_to=R6))
 
 
 QUERIES["compare_gender_nested"] = (q_nested_summary, None)  # struct output: rows-only check

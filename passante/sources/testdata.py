@@ -12,6 +12,22 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Resolved scans per (Spark application, folder, table): a DataFrame is a lazy
+# plan, so reusing it only saves the file listing and footer reads that every
+# new ``spark.read.parquet`` call repeats during analysis.  The test folders
+# are read-only; ``forget`` drops entries for folders that change.
+_SCANS: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def _app(spark: SparkSession) -> str:
+    return spark.sparkContext.applicationId
+
+
+def forget(sf_dir: str | None = None) -> None:
+    for k in [k for k in _SCANS if sf_dir is None or k[1] == sf_dir.rstrip("/")]:
+        del _SCANS[k]
+
+
 class Tables:
     """Base tables of a scale-factor folder (`{dir}/{name}.parquet`)."""
 
@@ -20,7 +36,12 @@ class Tables:
         self.sf_dir = sf_dir.rstrip("/")
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        key = (_app(self.spark), self.sf_dir, name)
+        df = _SCANS.get(key)
+        if df is None:
+            df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+            _SCANS[key] = df
+        return df
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
