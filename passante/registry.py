@@ -942,7 +942,7 @@ def q_stream_warehouse(spark, sf_dir):
     foreachBatch five-table writes -> warehouse read back -> J1 -> A1."""
     t, _ = _ctx(spark, sf_dir)
     root = scratch_path(spark, "stream-warehouse")
-    write_envelope_files(fx_messages(t), f"{root}/in", 16)
+    write_envelope_files(fx_messages(t, _ctx(spark, sf_dir)[1]), f"{root}/in", 16)
     q = WH.start_warehouse_stream(read_envelope_files(spark, f"{root}/in", max_files_per_trigger=4),
                                   f"{root}/wh", f"{root}/ck", trigger={"availableNow": True})
     q.awaitTermination()
@@ -957,7 +957,7 @@ def q_archive_daily_flow(spark, sf_dir):
     Σuniques per day folder."""
     t, _ = _ctx(spark, sf_dir)
     root = scratch_path(spark, "archive")
-    AR.write_archive_batch(fx_messages(t), 0, root)
+    AR.write_archive_batch(fx_messages(t, _ctx(spark, sf_dir)[1]), 0, root)
     lines = AR.read_archive(spark, root)
     rec = lines.select("year", "month", "day",
                        F.from_json("value", "struct<uniques double, _kafka_offset bigint>").alias("r"))
@@ -1031,7 +1031,7 @@ select label, vec_id, round(score, 6) as score, rank from (
 def _live(spark, sf_dir, which):
     t, _ = _ctx(spark, sf_dir)
     root = scratch_path(spark, f"live-{which}")
-    write_envelope_files(fx_messages(t), f"{root}/in", 8)
+    write_envelope_files(fx_messages(t, _ctx(spark, sf_dir)[1]), f"{root}/in", 8)
     q = LV.start_live(read_envelope_files(spark, f"{root}/in", max_files_per_trigger=4), f"{root}/out",
                       which, f"{root}/ck", trigger={"availableNow": True})
     q.awaitTermination()

@@ -123,22 +123,26 @@ def fx_envelope(t: Tables) -> DataFrame:
     )
 
 
-def fx_messages(t: Tables) -> DataFrame:
+def fx_messages(t: Tables, star: Star | None = None) -> DataFrame:
     """Topic messages of the events: the envelope of ``fx_envelope`` carrying
     each geodata event as JSON with its profile as a nested map (``null``
     for the events that have no profile)."""
-    from passante.plans.model import snowflake
     from passante.schemas import AGE_COLUMNS, AGE_KEYS, CLASS_COLUMNS, CLASS_KEYS, GENDER_KEYS
 
     def m(keys, cols):
         return F.create_map(*[x for k, c in zip(keys, cols) for x in (F.lit(k), F.col(c))])
 
-    star = fixture_star(t)
-    prof = snowflake(star).select(
-        "id", F.create_map(F.lit("idade"), m(AGE_KEYS, AGE_COLUMNS),
-                           F.lit("genero"), m(GENDER_KEYS, ["feminine", "masculine"]),
-                           F.lit("classe_social"), m(CLASS_KEYS, CLASS_COLUMNS)).alias("target"))
-    g = star.geodata.join(prof, "id", "left")
+    star = star or fixture_star(t)
+    # profile per target id: target joined with its three profile rows
+    prof = (star.target.select(F.col("id").alias("target_id"), "age_id", "gender_id", "social_class_id")
+            .join(star.gender.withColumnRenamed("id", "gender_id"), "gender_id")
+            .join(star.age.withColumnRenamed("id", "age_id"), "age_id")
+            .join(star.social_class.withColumnRenamed("id", "social_class_id"), "social_class_id")
+            .select("target_id", F.create_map(
+                F.lit("idade"), m(AGE_KEYS, AGE_COLUMNS),
+                F.lit("genero"), m(GENDER_KEYS, ["feminine", "masculine"]),
+                F.lit("classe_social"), m(CLASS_KEYS, CLASS_COLUMNS)).alias("target")))
+    g = star.geodata.join(prof, "target_id", "left")
     env = fx_envelope(t)
     ev = g.join(env, g.id == F.concat(F.lit("g"), env.event_id.cast("string")))
     value = F.to_json(F.struct("impression_hour", "location_id", "uniques", "latitude", "longitude",
