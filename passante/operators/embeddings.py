@@ -42,7 +42,7 @@ def nearest(corpus: DataFrame, queries: DataFrame, k: int = 5, vec: str = "embed
     scored = j.select(query_id, label, id_col, cosine(F.col("__v"), F.col("query_vec")).alias("score"))
     ensure_window_group_limit(corpus.sparkSession, k)
     w = Window.partitionBy(query_id).orderBy(F.col("score").desc_nulls_last(), F.col(id_col))
-    return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return scored.withColumn("rank", F.row_number().over(w).cast("bigint")).where(F.col("rank") <= k)
 
 
 def centroid_topk(corpus: DataFrame, k: int = 5) -> DataFrame:

@@ -193,7 +193,7 @@ def centre_ranking(enriched_df: DataFrame, radius_m: float = 5000.0, k: int = 10
          .withColumn("score", F.col("flow") / F.greatest(F.col("distance_m"), F.lit(1.0))))
     ensure_window_group_limit(enriched_df.sparkSession, k)
     w = Window.partitionBy("cidade").orderBy(F.col("score").desc(), F.col("location_id"))
-    return (j.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return (j.withColumn("rank", F.row_number().over(w).cast("bigint")).where(F.col("rank") <= k)
             .select("cidade", "rank", "location_id", "flow", "distance_m", "score"))
 
 

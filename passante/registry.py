@@ -877,7 +877,7 @@ def _budget_sql() -> str:
 , u as (select conv_id, turn, row_number() over (partition by conv_id order by turn desc) as k from m where role = 'user')
 , mk as (select conv_id, max(case when k = 1 then turn end) as u1, max(case when k = 2 then turn end) as u2,
            max(case when k = 3 then turn end) as u3 from u group by conv_id)
-, a as (select m.conv_id, count(*) as n_messages, sum(tokens) as total_tokens, max(u1) as u1, max(u2) as u2, max(u3) as u3,
+, a as (select m.conv_id, count(*) as n_messages, cast(sum(tokens) as bigint) as total_tokens, max(u1) as u1, max(u2) as u2, max(u3) as u3,
           {kept} from m left join mk on m.conv_id = mk.conv_id group by m.conv_id)
 select conv_id, n_messages, total_tokens, cast({thr} as bigint) as threshold, total_tokens > {thr} as triggered,
   cast(case when ({before}) > 0 then ({pick('{k}')}) end as bigint) as split_turn,
