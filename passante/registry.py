@@ -33,16 +33,18 @@ def register(name: str, sql: str | None):
     return deco
 
 
-_MEMO: dict[tuple[str, str, str], object] = {}
+_MEMO: dict[tuple[str, str, str], tuple] = {}
 
 
 def _memo(spark: SparkSession, sf_dir: str, what: str, build):
     """Resolved (lazy) plans per (application, folder): later queries start
     from an analysed DataFrame instead of re-analysing the same joins."""
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), what)
-    if key not in _MEMO:
-        _MEMO[key] = build()
-    return _MEMO[key]
+    hit = _MEMO.get(key)
+    if hit is None or hit[0] is not spark:  # plans belong to one session
+        hit = (spark, build())
+        _MEMO[key] = hit
+    return hit[1]
 
 
 def _ctx(spark: SparkSession, sf_dir: str):

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 # plan, so reusing it only saves the file listing and footer reads that every
 # new ``spark.read.parquet`` call repeats during analysis.  The test folders
 # are read-only; ``forget`` drops entries for folders that change.
-_SCANS: dict[tuple[str, str, str], DataFrame] = {}
+_SCANS: dict[tuple[str, str, str], tuple] = {}
 
 
 def _app(spark: SparkSession) -> str:
@@ -37,11 +37,11 @@ class Tables:
 
     def read(self, name: str) -> DataFrame:
         key = (_app(self.spark), self.sf_dir, name)
-        df = _SCANS.get(key)
-        if df is None:
-            df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
-            _SCANS[key] = df
-        return df
+        hit = _SCANS.get(key)
+        if hit is None or hit[0] is not self.spark:  # scans belong to one session
+            hit = (self.spark, self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet"))
+            _SCANS[key] = hit
+        return hit[1]
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
