@@ -56,3 +56,15 @@ def test_haversine(spark):
     assert d == 0.0
     d = _one(spark, haversine_m(F.lit(0.0), F.lit(0.0), F.lit(0.0), F.lit(1.0)))
     assert math.isclose(d, 2 * math.pi * 6371010.0 / 360, rel_tol=1e-12)
+
+
+def test_two_stage_topk_on_skewed_key(spark):
+    import pandas as pd
+    from passante.functions.topk import top_k_per_group
+    rows = [(("hot" if i % 10 else f"k{i % 7}"), i, float((i * 7919) % 1000)) for i in range(5000)]
+    df = spark.createDataFrame(rows, "g string, id long, score double")
+    got = top_k_per_group(df, ["g"], [F.col("score").desc(), F.col("id")], 5, salt_cols=["id"], buckets=16).toPandas()
+    pdf = pd.DataFrame(rows, columns=["g", "id", "score"]).sort_values(["g", "score", "id"], ascending=[True, False, True])
+    want = pdf.groupby("g").head(5)
+    assert sorted(zip(got.g, got.id)) == sorted(zip(want.g, want.id))
+    assert set(got["rank"]) == {1, 2, 3, 4, 5}
