@@ -158,12 +158,19 @@ def write_batch(batch: DataFrame, batch_id: int, warehouse: str) -> dict:
 
 
 def start_warehouse_stream(env_stream: DataFrame, warehouse: str, checkpoint: str | None = None,
-                           trigger: dict | None = None, query_name: str | None = None):
+                           trigger: dict | None = None, query_name: str | None = None,
+                           dedupe_within: str | None = None):
     """Envelope stream -> foreachBatch(write_batch), own checkpoint.
 
     ``trigger`` examples: ``{"processingTime": "30 seconds"}`` (T1 timer),
-    ``{"availableNow": True}`` (T6: drain what is there, then stop)."""
+    ``{"availableNow": True}`` (T6: drain what is there, then stop).
+    ``dedupe_within`` (e.g. ``"1 hour"``, opt-in T5): drop a message whose
+    (topic, partition, offset) was already seen in an earlier batch within
+    that event-time watermark -- bounded state in the state store."""
     spark = env_stream.sparkSession
+    if dedupe_within:
+        env_stream = (env_stream.withWatermark("timestamp", dedupe_within)
+                      .dropDuplicatesWithinWatermark(["topic", "partition", "offset"]))
     ck = checkpoint or f"{checkpoint_dir(spark)}/warehouse-stream"
     w = env_stream.writeStream.foreachBatch(lambda df, bid: write_batch(df, bid, warehouse)) \
         .option("checkpointLocation", ck)

@@ -195,3 +195,17 @@ def test_sql_guard_run(spark, star):
     assert run_readonly(spark, "select id from geodata limit 3", star.as_dict()).count() == 3
     with pytest.raises(UnsafeQuery):
         run_readonly(spark, "delete from geodata", star.as_dict())
+
+
+def test_cross_batch_dedupe_within_watermark(spark, tmp_dir):
+    from passante.sources.topic import read_envelope_files, write_envelope_files
+    ts = dt.datetime(2025, 6, 15, 10, 30)
+    first = [("geodata", 0, j, ts, _event(location_id=j), 9) for j in range(4)]
+    again = [("geodata", 0, 2, ts, _event(location_id=2), 9), ("geodata", 0, 4, ts, _event(location_id=4), 9)]
+    write_envelope_files(_env(spark, first), f"{tmp_dir}/in", files=1, mode="append")
+    write_envelope_files(_env(spark, again), f"{tmp_dir}/in", files=1, mode="append")
+    q = WH.start_warehouse_stream(read_envelope_files(spark, f"{tmp_dir}/in", 1), f"{tmp_dir}/wh",
+                                  f"{tmp_dir}/ck", {"availableNow": True}, dedupe_within="1 hour")
+    q.awaitTermination()
+    g = WH.read_warehouse(spark, f"{tmp_dir}/wh").geodata
+    assert g.count() == 5 and g.select("id").distinct().count() == 5
