@@ -68,8 +68,31 @@ def main() -> None:
         if name == "stream_warehouse_ingest":
             n_events = spark.read.parquet(f"{sf_dir}/events.parquet").count()
             ingest_rate = round(n_events / times[name], 1)
+    # the deployment path: materialise the enriched view once, then query it
+    from passante.operators import campaign as C
+    from passante.operators import demographics as D
+    from passante.operators import geo as G
+    from passante.plans.model import materialize_enriched
+    from passante.registry import CAMPAIGNS, MULTI_SPECS, _ctx
+    from passante.session import scratch_path
+    mat = scratch_path(spark, "bench-j3")
+    t0 = time.perf_counter()
+    materialize_enriched(_ctx(spark, sf_dir)[1], mat)
+    materialized = {"materialize_enriched": round(time.perf_counter() - t0, 3)}
+    j3 = spark.read.parquet(mat)
+    plans = {
+        "compare_age": lambda: D.compare(j3, "faixa_etaria"),
+        "campaign_radius": lambda: C.analyze_campaign(j3, CAMPAIGNS["campaign_radius"]),
+        "campaign_topk_multi": lambda: C.multi_campaign(j3, MULTI_SPECS),
+        "hexbin": lambda: G.hexbin(D.point_rows(j3), G.hex_radius_m(5.0)),
+    }
+    for name, build in plans.items():
+        t0 = time.perf_counter()
+        build().write.format("noop").mode("overwrite").save()
+        materialized[name + "_on_view"] = round(time.perf_counter() - t0, 3)
     print(json.dumps({"metric": "total_query_sec", "value": round(sum(times.values()), 3), "unit": "sec",
-                      "queries": times, "sf": sf, "ingest_events_per_sec": ingest_rate}))
+                      "queries": times, "sf": sf, "ingest_events_per_sec": ingest_rate,
+                      "materialized_view": materialized}))
     spark.stop()
 
 
