@@ -1066,3 +1066,37 @@ select location_id, strftime(arg_max(kafka_timestamp, (kafka_timestamp, kafka_of
   arg_max(longitude, (kafka_timestamp, kafka_offset, kafka_partition)) as longitude,
   arg_max(endereco, (kafka_timestamp, kafka_offset, kafka_partition)) as endereco
 from rec group by location_id"""))
+
+
+# ---------------------------------------------------------------- F7 standalone, H3 standalone
+from passante.functions.columns import bbox_predicate, haversine_m  # noqa: E402
+
+RADIUS_CENTER = (-23.5505, -46.6333, 2000.0)
+
+
+def q_radius_filter(spark, sf_dir):
+    """events within 2 km of a centre (bounding box first, then the exact
+    haversine test), with their distance."""
+    lat, lon, r = RADIUS_CENTER
+    en = _en(spark, sf_dir)
+    d = haversine_m("latitude", "longitude", lat, lon)
+    out = (en.where(F.col("latitude").isNotNull() & bbox_predicate("latitude", "longitude", lat, lon, r))
+           .withColumn("distance_m", d).where(F.col("distance_m") <= F.lit(r))
+           .select("id", "location_id", "distance_m"))
+    return _round_doubles(out, ["distance_m"])
+
+
+QUERIES["radius_filter"] = (q_radius_filter, _fixture_sql(f"""
+select id, location_id, round({O.haversine_sql('latitude', 'longitude', repr(RADIUS_CENTER[0]), repr(RADIUS_CENTER[1]))}, 6) as distance_m
+from enriched where latitude is not null
+  and {O.haversine_sql('latitude', 'longitude', repr(RADIUS_CENTER[0]), repr(RADIUS_CENTER[1]))} <= {RADIUS_CENTER[2]!r}"""))
+
+
+def q_hex_domain(spark, sf_dir):
+    return G.density_domain(_hexbin_df(spark, sf_dir))
+
+
+QUERIES["hex_density_domain"] = (q_hex_domain, _fixture_sql(
+    _PTS_CTE + _hex_cte("pts", HEX_R) + """
+, bins as (select q, s, count(*) as n from hx_cell group by q, s)
+select cast(min(n) as double) as domain_min, cast(max(n) as double) as domain_max from bins"""))
