@@ -1100,3 +1100,32 @@ QUERIES["hex_density_domain"] = (q_hex_domain, _fixture_sql(
     _PTS_CTE + _hex_cte("pts", HEX_R) + """
 , bins as (select q, s, count(*) as n from hx_cell group by q, s)
 select cast(min(n) as double) as domain_min, cast(max(n) as double) as domain_max from bins"""))
+
+
+# ---------------------------------------------------------------- A5 other compare modes
+_MODE_PRED = {
+    "gender": {"feminino": "feminine > 0.5", "masculino": "masculine > 0.5"},
+    "socialClass": {"a": "a_class > 0.3", "b1": "b1_class > 0.3", "b2": "b2_class > 0.3",
+                    "c1": "c1_class > 0.3", "c2": "c2_class > 0.3", "de": "de_class > 0.3"},
+}
+
+
+def _segment_mode_sql(mode: str, limit: int = SG.CARD_LIMIT) -> str:
+    blocks = [f"select '{v}' as segment, id, try_cast(latitude as double) as latitude, "
+              f"try_cast(longitude as double) as longitude, uniques as value, location_id from j1 "
+              f"where try_cast(latitude as double) is not null and try_cast(longitude as double) is not null "
+              f"and {pred}" for v, pred in _MODE_PRED[mode].items()]
+    return ("\n, seg_all as (" + "\nunion all\n".join(blocks) + ")\n"
+            "select segment, id, latitude, longitude, value, location_id from (select *, row_number() over "
+            f"(partition by segment order by id) as rn from seg_all) z where rn <= {limit}")
+
+
+def _segments_mode(mode):
+    def fn(spark, sf_dir):
+        _ctx(spark, sf_dir)
+        return SG.segment_points(_j1(spark, sf_dir), mode)
+    return fn
+
+
+QUERIES["segment_grid_gender"] = (_segments_mode("gender"), _fixture_sql(_segment_mode_sql("gender")))
+QUERIES["segment_grid_class"] = (_segments_mode("socialClass"), _fixture_sql(_segment_mode_sql("socialClass")))
