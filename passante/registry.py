@@ -484,14 +484,35 @@ _GAZ_CTE = """
 """
 
 
+def _mean6(c: str):
+    """Mean of a 4-decimal coordinate, rounded half-up at 1e-6 with integer
+    arithmetic: Σ round(x * 1e4) is exact, so the result does not depend on
+    summation order (a plain double mean can sit exactly on a rounding tie)."""
+    s4 = F.sum(F.round(F.col(c) * 10000).cast("bigint"))
+    n = F.count(c)
+    return F.floor((s4 * 200 + n) / (n * 2.0)) / 1000000.0
+
+
 def q_gazetteer(spark, sf_dir):
-    _, star = _ctx(spark, sf_dir)
-    return _round_doubles(G.gazetteer(_en(spark, sf_dir)), ["lat", "lon", "lat_min", "lat_max", "lon_min", "lon_max"])
+    en = _en(spark, sf_dir)
+    locs = (en.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
+            .select("cidade", "location_id", "latitude", "longitude").distinct())
+    return locs.groupBy("cidade").agg(
+        _mean6("latitude").alias("lat"), _mean6("longitude").alias("lon"),
+        F.min("latitude").alias("lat_min"), F.max("latitude").alias("lat_max"),
+        F.min("longitude").alias("lon_min"), F.max("longitude").alias("lon_max"),
+        F.count(F.lit(1)).alias("n_locations"))
+
+
+def _mean6_sql(c: str) -> str:
+    return (f"floor((cast(sum(cast(round({c} * 10000) as bigint)) as double) * 200 + count({c})) "
+            f"/ (count({c}) * 2.0)) / 1000000.0")
 
 
 QUERIES["gazetteer_cities"] = (q_gazetteer, _fixture_sql(
-    _GAZ_CTE + "select cidade, round(lat, 6) as lat, round(lon, 6) as lon, round(lat_min, 6) as lat_min, "
-    "round(lat_max, 6) as lat_max, round(lon_min, 6) as lon_min, round(lon_max, 6) as lon_max, n_locations from gaz"))
+    _GAZ_CTE + f"select cidade, {_mean6_sql('latitude')} as lat, {_mean6_sql('longitude')} as lon, "
+    "min(latitude) as lat_min, max(latitude) as lat_max, min(longitude) as lon_min, max(longitude) as lon_max, "
+    "count(*) as n_locations from locs group by cidade"))
 
 
 def q_place_reach(spark, sf_dir):
