@@ -169,9 +169,16 @@ def people_by_hour(df: DataFrame) -> DataFrame:
     return flow_by(df, "impression_hour")
 
 
-def group_measures(df: DataFrame, dims: list[str], measure: str = "uniques") -> DataFrame:
-    """Group by any columns; sum, mean and peak of a measure."""
-    return df.groupBy(*dims).agg(F.sum(measure).alias("sum"), F.avg(measure).alias("mean"),
+def group_measures(df: DataFrame, dims: list[str], measure: str = "uniques",
+                   exact_scale: int | None = None) -> DataFrame:
+    """Group by any columns; sum, mean and peak of a measure.
+
+    With ``exact_scale`` (the measure's decimal places) the mean is averaged
+    as a decimal: exact, rounded half-up at ``exact_scale + 4`` places, and
+    independent of summation order."""
+    mean = (F.avg(F.col(measure).cast(f"decimal(30,{exact_scale})")).cast("double")
+            if exact_scale is not None else F.avg(measure))
+    return df.groupBy(*dims).agg(F.sum(measure).alias("sum"), mean.alias("mean"),
                                  F.max(measure).alias("peak"), F.count(F.lit(1)).alias("n"))
 
 

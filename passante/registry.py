@@ -727,10 +727,13 @@ QUERIES["age_share"] = (q_age_share, _fixture_sql(_composition_sql("age")))
 
 
 @register("flow_by_state_hour", "select uf_estado, impression_hour, round(sum(uniques), 6) as sum, "
-                                "round(avg(uniques), 6) as mean, max(uniques) as peak, count(*) as n "
+                                "floor((cast(sum(cast(round(uniques * 100) as bigint)) as double) * 20000 + count(*)) "
+                                "/ (2.0 * count(*))) / 1000000.0 as mean, max(uniques) as peak, count(*) as n "
                                 "from enriched group by 1, 2")
 def q_group_measures(spark, sf_dir):
-    return _round_doubles(B.group_measures(_en(spark, sf_dir), ["uf_estado", "impression_hour"]), ["sum", "mean"])
+    # uniques carry 2 decimals: the mean is exact and rounded half-up at 6
+    df = B.group_measures(_en(spark, sf_dir), ["uf_estado", "impression_hour"], exact_scale=2)
+    return _round_doubles(df, ["sum"])
 
 
 AREA_A = (-23.5505, -46.6333, 3000.0)
