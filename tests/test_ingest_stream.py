@@ -209,3 +209,16 @@ def test_cross_batch_dedupe_within_watermark(spark, tmp_dir):
     q.awaitTermination()
     g = WH.read_warehouse(spark, f"{tmp_dir}/wh").geodata
     assert g.count() == 5 and g.select("id").distinct().count() == 5
+
+
+def test_publish_files_and_kafka_gate(spark, star, tmp_dir):
+    from passante.sources import topic as TP
+    g = star.geodata.limit(20)
+    TP.publish_files(g, f"{tmp_dir}/pub")
+    out = spark.read.json(f"{tmp_dir}/pub")
+    rows = out.collect()
+    assert len(rows) == 20 and len({r.key for r in rows}) == 20
+    assert {json.loads(r.value)["id"] for r in rows} == {r.id for r in g.collect()}
+    if not TP.kafka_available(spark):
+        with pytest.raises(RuntimeError):
+            TP.read_topic(spark, "localhost:9092", "geodata")
