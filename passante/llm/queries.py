@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from passante.llm import bpe
+from passante.llm import bpe, pii, urlfilter
 from passante.llm.common import read_table
 
 #: Folder of the vocabulary files (a parameter; the files are not part of the repository).
@@ -27,3 +27,33 @@ def q_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{TOKENIZERS}/word_bpe_49k.json"
     encoded = bpe.encode(read_table(spark, sf_dir, "documents"), path)
     return bpe.digests(bpe.decode(encoded, path))
+
+
+#: The key of the registered query; a deployment passes its own.
+PII_KEY = "passante-pseudonyms"
+
+
+@register("op7_pii_feistel")
+def q_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymise(read_table(spark, sf_dir, "documents"), PII_KEY).select("doc_id", "text")
+
+
+#: The rules of the registered query: host, path, verdict.
+URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
+             ("net", "/es/", "block"), ("net", "/fr/", "block")]
+
+_URL_SQL = f"""
+with rules(rule_host, rule_path, rule_verdict) as (values {", ".join(map(str, URL_RULES))}),
+rest as (select page_id, coalesce(regexp_extract(url, '(?s)^.*?://(.*)$', 1), '') as rest from pages),
+addresses as (select page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+  regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path from rest),
+fitting as (select a.*, r.*, row_number() over (partition by page_id order by length(rule_host || rule_path) desc) as n
+  from addresses a left join rules r on (host = rule_host or ends_with(host, '.' || rule_host)) and starts_with(path, rule_path))
+select page_id, host, path, rule_host || rule_path as rule, coalesce(rule_verdict, 'allow') as verdict from fitting where n = 1
+"""
+
+
+@register("op5_url_hash_prefix", _URL_SQL)
+def q_url(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return urlfilter.judge(read_table(spark, sf_dir, "pages"), rules)
