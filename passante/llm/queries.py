@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from passante.llm import bpe, pii, urlfilter
+from passante.llm import bpe, importance, mixing, pii, urlfilter
 from passante.llm.common import read_table
 
 #: Folder of the vocabulary files (a parameter; the files are not part of the repository).
@@ -57,3 +57,13 @@ select page_id, host, path, rule_host || rule_path as rule, coalesce(rule_verdic
 def q_url(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return urlfilter.judge(read_table(spark, sf_dir, "pages"), rules)
+
+
+@register("op1_importance_resampling")
+def q_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.Resampler(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")).sampled_scores()
+
+
+@register("op2_entropy_mixing")
+def q_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.Mixer(read_table(spark, sf_dir, "documents")).taken()
