@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from passante.llm import bpe, importance, mixing, pii, urlfilter
+from passante.llm import bagminhash, bpe, importance, mixing, pii, urlfilter
 from passante.llm.common import read_table
 
 #: Folder of the vocabulary files (a parameter; the files are not part of the repository).
@@ -67,3 +67,8 @@ def q_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op2_entropy_mixing")
 def q_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.Mixer(read_table(spark, sf_dir, "documents")).taken()
+
+
+@register("op10_bagminhash")
+def q_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bagminhash.classes(read_table(spark, sf_dir, "documents"))
