@@ -288,7 +288,9 @@ def _encoder(vocabulary_file: str, lexicon_file: str | None) -> Encoder:
 def _sent(df: DataFrame, kind: str, data: bytes) -> str:
     """Send a file to all executors; its name follows its content."""
     name = f"{kind}-{hashlib.sha256(data).hexdigest()[:16]}"
-    df.sparkSession.sparkContext.addFile(local_file(name, data))
+    context = df.sparkSession.sparkContext
+    if not any(x.endswith(f"/{name}") for x in context.listFiles):
+        context.addFile(local_file(name, data))
     return name
 
 

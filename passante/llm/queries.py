@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from passante.llm import bagminhash, bpe, importance, mixing, pii, urlfilter
+from passante.llm import bagminhash, bpe, embedding_pairs, impact_search, importance, mixing, pii, urlfilter
 from passante.llm.common import read_table
 
 #: Folder of the vocabulary files (a parameter; the files are not part of the repository).
@@ -72,3 +73,43 @@ def q_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op10_bagminhash")
 def q_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bagminhash.classes(read_table(spark, sf_dir, "documents"))
+
+
+_PAIRS_SQL = """
+with recursive valid as (select vec_id, label, list_transform(embedding, lambda x: x::double) as e from embeddings
+  where label is not null and vec_id is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0 and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+pairs as (select a.vec_id as u, b.vec_id as v from valid a join valid b on a.label = b.label and len(a.e) = len(b.e) and a.vec_id <> b.vec_id
+  where list_cosine_similarity(a.e, b.e) >= 0.93),
+reach(u, v) as (select u, v from pairs union select r.u, p.v from reach r join pairs p on r.v = p.u),
+least as (select u, min(v) as v from reach group by u),
+degree as (select u, count(*) as n from pairs group by u)
+select vec_id, coalesce(n, 0) as n_links, least(vec_id, coalesce(least.v, vec_id)) as component_id,
+  vec_id = least(vec_id, coalesce(least.v, vec_id)) as kept
+from embeddings left join degree on degree.u = vec_id left join least on least.u = vec_id
+"""
+
+
+@register("op6_collision_counting", _PAIRS_SQL)
+def q_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_pairs.link(read_table(spark, sf_dir, "embeddings"))
+
+
+_SEARCH_SQL = """
+with whole as (select vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)::bigint) as e from embeddings
+  where vec_id is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scored as (select q.vec_id as query_id, c.vec_id, list_inner_product(q.e::double[], c.e::double[])::bigint as score
+  from whole q join whole c on q.vec_id <> c.vec_id and len(q.e) = len(c.e) where q.vec_id % 100 = 0)
+select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank, vec_id, score
+from scored qualify rank <= 10
+"""
+
+#: Results per query of the registered search.
+TOP_K = 10
+
+
+@register("op8_impact_search", _SEARCH_SQL)
+def q_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    index = impact_search.build_index(vectors)
+    return impact_search.search(index, vectors.where(F.col("vec_id") % 100 == 0), TOP_K)
