@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from passante.llm import bagminhash, bpe, embedding_pairs, impact_search, importance, mixing, pii, urlfilter
+from passante.llm import bagminhash, bpe, embedding_pairs, impact_search, importance, mixing, pii, urlfilter, warc
 from passante.llm.common import read_table
 
 #: Folder of the vocabulary files (a parameter; the files are not part of the repository).
@@ -113,3 +113,20 @@ def q_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     index = impact_search.build_index(vectors)
     return impact_search.search(index, vectors.where(F.col("vec_id") % 100 == 0), TOP_K)
+
+
+_WARC_SQL = """
+with payloads as (select page_id, encode(coalesce(html, '')) as payload from pages),
+seen as (select page_id, octet_length(payload)::bigint as payload_bytes, sha1(payload) as payload_digest from payloads),
+largest as (select payload_digest, max(page_id) as response from seen where payload_bytes >= 1000 group by 1)
+select page_id, payload_bytes, payload_digest, case when response <> page_id then 'revisit' else 'response' end as record_type,
+  case when response <> page_id then response end as refers_to
+from seen left join largest using (payload_digest)
+"""
+
+
+@register("op3_warc_index", _WARC_SQL)
+def q_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages")
+    archive = warc.Archive.write(pages)
+    return archive.lookup(pages).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
