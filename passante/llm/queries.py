@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from passante.llm import bagminhash, bpe, embedding_pairs, impact_search, importance, mixing, pii, urlfilter, warc
+from passante.llm import bagminhash, bpe, chunks, embedding_pairs, impact_search, importance, mixing, pii, urlfilter, warc
 from passante.llm.common import read_table
 
 #: Folder of the vocabulary files (a parameter; the files are not part of the repository).
@@ -130,3 +130,8 @@ def q_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read_table(spark, sf_dir, "pages")
     archive = warc.Archive.write(pages)
     return archive.lookup(pages).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@register("op4_gear_chunks")
+def q_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunks.repeats(read_table(spark, sf_dir, "documents"))
