@@ -166,7 +166,7 @@ def _compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             x, y = linked(a, b, calibrated_of(row.dim))
             if same:
                 x, y = x[x < y], y[x < y]
-            nodes, reps, mults = (np.concatenate([read(p, np.int64), [] if same else read(q, np.int64)]).astype(np.int64)
+            nodes, reps, mults = (read(p, np.int64) if same else np.concatenate([read(p, np.int64), read(q, np.int64)])
                                   for p, q in ((row.nodes, row.nodes_b), (row.reps, row.reps_b), (row.mults, row.mults_b)))
             if not same:
                 y = y + len(a)
