@@ -25,8 +25,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not found:
         if not spark.sparkContext.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        found = tempfile.mkdtemp(prefix="llm-shared-")
-        spark.conf.set("spark.checkpoint.dir", found)
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="llm-shared-"))
+        found = spark.sparkContext.getCheckpointDir()
     return found.rstrip("/")
 
 
@@ -61,16 +61,6 @@ def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text",
         yield batch.slice(start)
 
 
-def only(df: DataFrame, *names: str) -> DataFrame:
-    """The named columns of ``df``; further columns are left out, so that names
-    of working columns cannot clash with them."""
-    return df.select(*names)
-
-
-def is_remote(path: str) -> bool:
-    return "://" in path and not path.startswith("file://")
-
-
 def local_file(name: str, data: bytes) -> str:
     """A file of the driver, to be sent out with ``SparkContext.addFile``."""
     folder = tempfile.mkdtemp(prefix="llm-file-")
