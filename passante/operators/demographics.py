@@ -16,7 +16,7 @@ from passante.operators.filters import GeoFilters, clamp_limit, valid_coordinate
 from passante.plans.model import snowflake
 from passante.schemas import (
     AGE_COLUMNS, AGE_FILTER_LABELS, CLASS_COLUMNS, CLASS_FILTER_LABELS, GENDER_COLUMNS,
-    SHARE_COLUMNS, age_column_label, class_column_label, gender_column_label,
+    COLUMN_LABELS, SHARE_COLUMNS,
 )
 from passante.sources.testdata import Star
 
@@ -124,9 +124,9 @@ def demographic_options(star: Star) -> dict[str, list[str]]:
     Read from the table schemas (metadata only, no data is scanned)."""
     return {
         "horarios": [f"{h:02d}" for h in range(24)],
-        "faixas_etarias": [age_column_label(c) for c in star.age.columns if c != "id"],
-        "generos": [gender_column_label(c) for c in star.gender.columns if c != "id"],
-        "classes_sociais": [class_column_label(c) for c in star.social_class.columns if c != "id"],
+        "faixas_etarias": [COLUMN_LABELS.get(c, c) for c in star.age.columns if c != "id"],
+        "generos": [COLUMN_LABELS.get(c, c) for c in star.gender.columns if c != "id"],
+        "classes_sociais": [COLUMN_LABELS.get(c, c) for c in star.social_class.columns if c != "id"],
     }
 
 

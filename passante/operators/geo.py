@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from passante.functions.columns import haversine_m, scalar_struct
@@ -179,9 +179,10 @@ def place_reach(places: DataFrame, enriched_df: DataFrame, radius_m: float = 200
                     F.coalesce("flow", F.lit(0.0)).alias("flow")))
 
 
-def centre_ranking(enriched_df: DataFrame, radius_m: float = 5000.0, k: int = 10) -> DataFrame:
+def centre_ranking(enriched_df: DataFrame, radius_m: float = 5000.0, k: int | None = None) -> DataFrame:
     """H5 (our definition): per city, locations within ``radius_m`` of the
-    city's centre ranked by Σuniques / max(distance, 1 m); top-k per city."""
+    city's centre ranked by Σuniques / max(distance, 1 m); all of them, or the first
+    ``k`` per city."""
     centres = gazetteer(enriched_df).select("cidade", F.col("lat").alias("__clat"), F.col("lon").alias("__clon"))
     loc = (enriched_df.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
            .groupBy("cidade", "location_id")
@@ -191,10 +192,13 @@ def centre_ranking(enriched_df: DataFrame, radius_m: float = 5000.0, k: int = 10
     j = (loc.join(centres, "cidade").withColumn("distance_m", d)
          .where(F.col("distance_m") <= F.lit(radius_m))
          .withColumn("score", F.col("flow") / F.greatest(F.col("distance_m"), F.lit(1.0))))
-    # the join already partitions by city: rank with the salted two-stage
-    # top-k so a city holding most locations is not ranked by one task
-    ranked = top_k_per_group(j, ["cidade"], [F.col("score").desc(), F.col("location_id")], k,
-                             salt_cols=["location_id"])
+    order = [F.col("score").desc(), F.col("location_id")]
+    if k is None:
+        ranked = j.withColumn("rank", F.row_number().over(Window.partitionBy("cidade").orderBy(*order)).cast("bigint"))
+    else:
+        # the join already partitions by city: rank with the salted two-stage
+        # top-k so a city holding most locations is not ranked by one task
+        ranked = top_k_per_group(j, ["cidade"], order, k, salt_cols=["location_id"])
     return ranked.select("cidade", "rank", "location_id", "flow", "distance_m", "score")
 
 
@@ -212,10 +216,11 @@ HEX_REFERENCE_LAT = -23.5505
 
 
 def hex_radius_m(max_distance_km: float = HEX_DISTANCE_DEFAULT_KM) -> float:
-    """Slider distance (km, clamped to [1, 30]) -> hexagon radius in metres."""
-    d = max(HEX_DISTANCE_MIN_KM, min(HEX_DISTANCE_MAX_KM, max_distance_km))
-    t = (d - HEX_DISTANCE_MIN_KM) / max(1, HEX_DISTANCE_MAX_KM - HEX_DISTANCE_MIN_KM)
-    return HEX_RADIUS_MIN_M + (t ** HEX_CURVE_EXPONENT) * (HEX_RADIUS_MAX_M - HEX_RADIUS_MIN_M)
+    """Hexagon radius in metres for a slider position in km: a power curve from
+    HEX_RADIUS_MIN_M at the slider's low end to HEX_RADIUS_MAX_M at its high end;
+    positions beyond an end count as that end."""
+    position = (sorted((HEX_DISTANCE_MIN_KM, max_distance_km, HEX_DISTANCE_MAX_KM))[1] - HEX_DISTANCE_MIN_KM) / (HEX_DISTANCE_MAX_KM - HEX_DISTANCE_MIN_KM)
+    return HEX_RADIUS_MIN_M + (HEX_RADIUS_MAX_M - HEX_RADIUS_MIN_M) * position**HEX_CURVE_EXPONENT
 
 
 SQRT3 = math.sqrt(3.0)

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from passante.functions.columns import deterministic_id, normalize_quotes, uuid5
@@ -27,30 +27,51 @@ DIM_KEYS = {"idade": (AGE_KEYS, AGE_COLUMNS), "genero": (GENDER_KEYS, GENDER_COL
 # ------------------------------------------------------------------ S1 / S2
 
 
-def read_flow_csv(spark: SparkSession, path: str, mode: str = "lenient") -> DataFrame:
-    """Flow CSV with a header and ten positional text columns.
+CORRUPT = "_corrupt_record"
+#: Always true; a scan may not read the corrupt column alone.
+_READ = "length(coalesce(f0, '')) >= 0"
 
-    * ``lenient`` (S1, the producer): malformed lines are skipped, numeric
-      parse failures become 0 / 0 / 0.0 and ``numero`` NULL, the profile is
-      parsed with a blanket quote swap and kept NULL when it does not parse.
-    * ``bulk`` (S2, the bulk loader): any CSV error fails the load, rows whose
-      profile does not parse are dropped, absent buckets become 0.0.
 
-    Adds ``_source_file`` and ``_row_key`` (deterministic row position) for N3.
+def read_flow_csv(spark: SparkSession, path: str, mode: str = "lenient") -> DataFrame:
+    """Flow CSV: a header, one record per line, ten positional text columns;
+    columns after the tenth are ignored.
+
+    * ``lenient`` (S1, the producer): a line whose number of fields is not the
+      header's, or below ten, is skipped (see :func:`rejected_lines`); numeric
+      parse failures become 0 / 0 / 0.0 and ``numero`` NULL; the profile is parsed
+      with a blanket quote swap and kept NULL when it does not parse.
+    * ``bulk`` (S2, the bulk loader): a line with another number of fields fails
+      the load; rows whose profile does not parse are dropped by :func:`shred`.
+
+    All columns are parsed whatever the query selects, so the same lines are
+    accepted in every use.  Adds ``_source_file`` and ``_row_digest`` for N3.
     """
-    strict_csv = mode == "bulk"
-    df = (spark.read.schema(CSV_SCHEMA)
-          .option("header", True)
-          .option("mode", "FAILFAST" if strict_csv else "DROPMALFORMED")
-          .option("multiLine", strict_csv)
-          .option("escape", '"')
-          .csv(path))
-    df = df.withColumns({
-        "_source_file": F.col("_metadata.file_path"),
-        "_row_key": F.concat_ws(":", F.col("_metadata.file_block_start").cast("string"),
-                                F.monotonically_increasing_id().cast("string")),
-    })
-    return typed_flow(df, blanket_quotes=True)
+    df = _lines(spark, path, "FAILFAST" if mode == "bulk" else "PERMISSIVE")
+    if mode != "bulk":
+        df = df.where(F.col(CORRUPT).isNull() & F.expr(_READ))
+    fields = [c for c in df.columns if c not in (CORRUPT, "_source_file")]
+    first = dict(zip([f.name for f in CSV_SCHEMA.fields], fields))
+    digest = F.sha2(F.concat_ws("\x01", *[F.coalesce(F.col(f"`{c}`"), F.lit("")) for c in fields]), 256)
+    return typed_flow(df.select(*[F.col(f"`{c}`").alias(n) for n, c in first.items()], "_source_file", digest.alias("_row_digest")),
+                      blanket_quotes=True)
+
+
+def rejected_lines(spark: SparkSession, path: str) -> DataFrame:
+    """The lines that a lenient scan skips: (_source_file, line)."""
+    return (_lines(spark, path, "PERMISSIVE").where(F.col(CORRUPT).isNotNull() & F.expr(_READ))
+            .select("_source_file", F.col(CORRUPT).alias("line")))
+
+
+def _lines(spark: SparkSession, path: str, mode: str) -> DataFrame:
+    """One splittable scan with as many text columns as the header has."""
+    reader = spark.read.option("recursiveFileLookup", True)
+    width = len(reader.option("header", True).option("inferSchema", False).csv(path).columns)
+    if width < len(CSV_SCHEMA.fields):
+        raise ValueError(f"the header has {width} columns, {len(CSV_SCHEMA.fields)} are needed")
+    schema = ", ".join(f"f{k} string" for k in range(width)) + f", {CORRUPT} string"
+    df = (spark.read.schema(schema).option("recursiveFileLookup", True).option("header", True).option("enforceSchema", True)
+          .option("mode", mode).option("columnNameOfCorruptRecord", CORRUPT).option("columnPruning", False).option("escape", '"').csv(path))
+    return df.withColumn("_source_file", F.col("_metadata.file_path"))
 
 
 def typed_flow(df: DataFrame, blanket_quotes: bool = True) -> DataFrame:
@@ -107,6 +128,9 @@ def missing_key_reason(target: Column) -> Column:
 # ------------------------------------------------------------------ N1 / N2 / N3
 
 
+TEXT_COLUMNS = ["latitude", "longitude", "uf_estado", "cidade", "endereco"]
+
+
 @dataclass
 class Shredded:
     geodata: DataFrame
@@ -126,10 +150,18 @@ def stream_keys(topic: str = "topic", partition: str = "partition", offset: str
     return lambda table: deterministic_id(F.col(topic), F.col(partition), F.col(offset), table)
 
 
+def numbered(rows: DataFrame) -> DataFrame:
+    """Adds ``_row_key``: digest of the row's text and a number among the equal rows
+    of its file, so it does not depend on how the file is split or listed."""
+    w = Window.partitionBy("_source_file", "_row_digest").orderBy("_row_digest")
+    return rows.withColumn("_row_key", F.concat_ws(":", "_row_digest", F.row_number().over(w).cast("string")))
+
+
 def bulk_keys(row_key: str = "_row_key", source: str = "_source_file"):
-    """N3 made deterministic: uuid5 of (source file, row position, table),
-    stable under task retries for a fixed file listing."""
-    return lambda table: uuid5(F.concat_ws(":", F.col(source), F.col(row_key), F.lit(table)))
+    """N3 made deterministic: uuid5 of (file name, row content, table); the same
+    file gives the same ids on any cluster."""
+    name = F.regexp_extract(F.col(source), r"[^/]+/?\z", 0)
+    return lambda table: uuid5(F.concat_ws(":", name, F.col(row_key), F.lit(table)))
 
 
 def with_keys(events: DataFrame, key_of) -> DataFrame:
@@ -153,8 +185,11 @@ def shred(events: DataFrame, key_of, strict: bool = True) -> Shredded:
         .drop(*[f"__{t}_id" for t in TABLES])
 
     def bucket(dim, key):
-        v = F.col("target").getItem(dim).getItem(key)
-        return v if strict else F.coalesce(v, F.lit(0.0))
+        # an absent bucket (lenient) or one with a null value is 0.0
+        return F.coalesce(F.col("target").getItem(dim).getItem(key), F.lit(0.0))
+
+    def zero(name):
+        return F.coalesce(F.col(name), F.lit("" if name in TEXT_COLUMNS else 0)).alias(name)
 
     def dim_table(dim, table):
         keys, cols = DIM_KEYS[dim]
@@ -164,11 +199,10 @@ def shred(events: DataFrame, key_of, strict: bool = True) -> Shredded:
     target = good.select(F.col("__target_id").alias("id"), F.col("__age_id").alias("age_id"),
                          F.col("__gender_id").alias("gender_id"),
                          F.col("__social_class_id").alias("social_class_id"))
+    # an absent or null field has its type's zero value
     geodata = good.select(
-        F.col("__geodata_id").alias("id"), "impression_hour", "location_id", "uniques",
-        "latitude", "longitude", "uf_estado", "cidade", "endereco",
-        F.coalesce(F.col("numero"), F.lit(0).cast("bigint")).alias("numero"),
-        F.col("__target_id").alias("target_id"))
+        F.col("__geodata_id").alias("id"), zero("impression_hour"), zero("location_id"), zero("uniques"),
+        *[zero(c) for c in TEXT_COLUMNS], zero("numero"), F.col("__target_id").alias("target_id"))
     return Shredded(geodata, target, dim_table("idade", "age"), dim_table("genero", "gender"),
                     dim_table("classe_social", "social_class"), bad)
 
@@ -176,8 +210,17 @@ def shred(events: DataFrame, key_of, strict: bool = True) -> Shredded:
 # ------------------------------------------------------------------ K2
 
 
+def load_csv(spark: SparkSession, path: str, warehouse: str, mode: str = "bulk") -> None:
+    """K2: CSV -> five tables.  The parsed and keyed rows are written once, and
+    every table is a projection of what was written, so an event keeps its own
+    profile whatever is evaluated again."""
+    w = warehouse.rstrip("/")
+    with_keys(numbered(read_flow_csv(spark, path, mode)), bulk_keys()).write.mode("overwrite").parquet(f"{w}/_staged")
+    write_tables(shred(spark.read.parquet(f"{w}/_staged"), bulk_keys(), strict=False), w)
+
+
 def write_tables(sh: Shredded, warehouse: str, mode: str = "append", partition_col: str | None = None) -> None:
-    """K2: the five tables in foreign-key order (dimensions first, geodata last)."""
+    """The five tables in foreign-key order (dimensions first, geodata last)."""
     for name in ["age", "gender", "social_class", "target", "geodata"]:
         w = sh.tables()[name].write.mode(mode)
         if partition_col:

@@ -33,34 +33,18 @@ def register(name: str, sql: str | None):
     return deco
 
 
-_MEMO: dict[tuple[str, str, str], tuple] = {}
-
-
-def _memo(spark: SparkSession, sf_dir: str, what: str, build):
-    """Resolved (lazy) plans per (application, folder): later queries start
-    from an analysed DataFrame instead of re-analysing the same joins."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), what)
-    hit = _MEMO.get(key)
-    if hit is None or hit[0] is not spark:  # plans belong to one session
-        hit = (spark, build())
-        _MEMO[key] = hit
-    return hit[1]
-
-
 def _ctx(spark: SparkSession, sf_dir: str):
     apply_runtime_conf(spark)
     t = Tables(spark, sf_dir)
-    return t, _memo(spark, sf_dir, "star", lambda: fixture_star(t))
+    return t, fixture_star(t)
 
 
 def _j1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, star = _ctx(spark, sf_dir)
-    return _memo(spark, sf_dir, "j1", lambda: snowflake(star))
+    return snowflake(_ctx(spark, sf_dir)[1])
 
 
 def _en(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, star = _ctx(spark, sf_dir)
-    return _memo(spark, sf_dir, "enriched", lambda: enriched(star))
+    return enriched(_ctx(spark, sf_dir)[1])
 
 
 # A representative filter set used by the *_filtered queries.
@@ -83,14 +67,12 @@ SAMPLE_WHERE = """
 # ---------------------------------------------------------------- A1 / A2
 @register("demographics", f"select count(*) as count, {O.avg_list()} from j1")
 def q_demographics(spark, sf_dir):
-    _, star = _ctx(spark, sf_dir)
     return D.demographics(_j1(spark, sf_dir), round_to=R6)
 
 
 @register("demographics_filtered",
           f"select count(*) as count, {O.avg_list()} from j1 where {SAMPLE_WHERE}")
 def q_demographics_filtered(spark, sf_dir):
-    _, star = _ctx(spark, sf_dir)
     return D.demographics(_j1(spark, sf_dir), SAMPLE_FILTERS, round_to=R6)
 
 
@@ -107,25 +89,21 @@ def _compare_sql(case: str, where: str = "") -> str:
 
 @register("compare_age", _compare_sql(_AGE_CASE))
 def q_compare_age(spark, sf_dir):
-    _, star = _ctx(spark, sf_dir)
     return D.compare(_j1(spark, sf_dir), "faixa_etaria", round_to=R6)
 
 
 @register("compare_gender", _compare_sql(_GENDER_CASE))
 def q_compare_gender(spark, sf_dir):
-    _, star = _ctx(spark, sf_dir)
     return D.compare(_j1(spark, sf_dir), "genero", round_to=R6)
 
 
 @register("compare_class", _compare_sql(_CLASS_CASE))
 def q_compare_class(spark, sf_dir):
-    _, star = _ctx(spark, sf_dir)
     return D.compare(_j1(spark, sf_dir), "classe_social", round_to=R6)
 
 
 @register("compare_class_filtered", _compare_sql(_CLASS_CASE, SAMPLE_WHERE))
 def q_compare_class_filtered(spark, sf_dir):
-    _, star = _ctx(spark, sf_dir)
     return D.compare(_j1(spark, sf_dir), "classe_social", SAMPLE_FILTERS, round_to=R6)
 
 
@@ -139,13 +117,11 @@ from j1 where try_cast(latitude as double) is not null and try_cast(longitude as
 
 @register("geo_points", _POINTS_SQL + " order by id limit 5000")
 def q_geo_points(spark, sf_dir):
-    _, star = _ctx(spark, sf_dir)
     return D.geo_points(_j1(spark, sf_dir))
 
 
 @register("geo_points_filtered", _POINTS_SQL + f" and {SAMPLE_WHERE} order by id limit 5000")
 def q_geo_points_filtered(spark, sf_dir):
-    _, star = _ctx(spark, sf_dir)
     return D.geo_points(_j1(spark, sf_dir), SAMPLE_FILTERS)
 
 
@@ -180,7 +156,6 @@ select (select count(distinct location_id) from enriched) as total_points,
      (select distinct cidade from enriched where cidade is not null order by 1 limit 500)) as cities
 """)
 def q_coverage(spark, sf_dir):
-    _, star = _ctx(spark, sf_dir)
     return D.coverage_metadata(_en(spark, sf_dir))
 
 
@@ -203,63 +178,49 @@ def _round_doubles(df: DataFrame, cols: list[str], n: int = R6) -> DataFrame:
 _CAMPAIGN_OUT = ["latitude", "longitude", "total_flow", "affinity", "target_audience"]
 
 
-def _campaign_sql_parts(spec: C.CampaignSpec, city: bool = True):
-    gnum, anum, cnum = "uniques", "uniques", "uniques"
-    g = (spec.gender or "").lower()
-    if g == "female":
-        gnum = "feminine_count"
-    elif g == "male":
-        gnum = "masculine_count"
-    if spec.age_min is not None and spec.age_max is not None:
-        cols = C.overlapping_age_columns(spec.age_min, spec.age_max)
-        if cols:
-            anum = " + ".join(cols)
-    if spec.classes:
-        cols = C.class_columns(spec.classes)
-        if cols:
-            cnum = " + ".join(cols)
-    where = []
-    if spec.latitude is not None and spec.longitude is not None:
-        where += [O.haversine_sql("latitude", "longitude", repr(spec.latitude), repr(spec.longitude))
-                  + f" <= {spec.radius_m!r}",
-                  "latitude is not null", "latitude between -90 and 90", "longitude between -180 and 180"]
-    if city and spec.city:
-        where.append(f"lower(cidade) = lower('{spec.city}')")
-    if spec.endereco:
-        where.append(f"lower(endereco) like concat('%', lower('{spec.endereco}'), '%')")
-    return gnum, anum, cnum, where
-
-
-def _campaign_sql(spec: C.CampaignSpec) -> str:
-    gnum, anum, cnum, where = _campaign_sql_parts(spec)
-    w = ("where " + " and ".join(where)) if where else ""
+# What each registered campaign selects, spelled out: the expected SQL shares no helper with the operator.
+_NEAR_CENTRE = O.haversine_sql("latitude", "longitude", "-23.5505", "-46.6333") + " <= 3000.0"
+_EXPECTED = {
+    "young_women_ab": {"gender": "feminine_count", "age": "age_18_19_count + age_20_29_count",
+                       "class": "class_a_count + class_b1_count", "where": "true", "city": None, "k": 10},
+    "senior_men_3km": {"gender": "masculine_count", "age": "age_50_59_count + age_60_69_count + age_70_79_count + age_80_plus_count",
+                       "class": "uniques", "where": f"{_NEAR_CENTRE} and abs(latitude) <= 90 and abs(longitude) <= 180", "city": None, "k": 20},
+    "popular_city_street": {"gender": "uniques", "age": "uniques", "class": "class_c1_count + class_c2_count",
+                            "where": "endereco ilike '%customer#0000000_%'", "city": "nation_7", "k": 5},
+    "no_filters": {"gender": "uniques", "age": "uniques", "class": "uniques", "where": "true", "city": None, "k": 10},
+    "unknown_city_fallback": {"gender": "feminine_count", "age": "uniques", "class": "uniques", "where": "true", "city": "atlantis", "k": 3},
+}
+
+
+def _expected_sql(campaign: str, fallback: bool) -> str:
+    """One campaign: a query per factor over the rows it selects, joined by place and ranked."""
+    want = _EXPECTED[campaign]
+    known = f"(select count(*) > 0 from enriched where cidade ilike '{want['city']}')" if want["city"] else "true"
+    city = "true" if not want["city"] else f"(cidade ilike '{want['city']}'" + (f" or not {known})" if fallback else ")")
+    place = "location_id, endereco, numero, cidade"
+    factor = lambda name: (f"{name}_part as (select {place}, sum({want[name]}) / nullif(sum(uniques), 0) as {name}_share "
+                           f"from chosen group by {place})")
     return f"""
-, grp as (
-  select location_id, concat(trim(endereco), ', ', cast(numero as varchar), ' — ', cidade) as endereco_ref,
-    cidade, min(latitude) as latitude, min(longitude) as longitude, sum(uniques) as total_flow,
-    sum({gnum}) as g, sum({anum}) as a, sum({cnum}) as c
-  from enriched {w} group by location_id, endereco, numero, cidade
-), sc as (
-  select *, (g / nullif(total_flow, 0)) * (a / nullif(total_flow, 0)) * (c / nullif(total_flow, 0)) * 100 as aff_raw,
-    total_flow * (g / nullif(total_flow, 0)) * (a / nullif(total_flow, 0)) * (c / nullif(total_flow, 0)) as tgt_raw
-  from grp
-)
-select location_id, endereco_ref, cidade, round(latitude, 6) as latitude, round(longitude, 6) as longitude,
-  round(total_flow, 6) as total_flow, round(aff_raw, 6) as affinity, round(tgt_raw, 6) as target_audience,
-  row_number() over (order by aff_raw desc nulls last, location_id, endereco_ref nulls first) as rank
-from sc order by aff_raw desc nulls last, location_id, endereco_ref nulls first limit {spec.k}
-"""
+with chosen as (select * from enriched where {want['where']} and {city}),
+places as (select {place}, min(latitude) as latitude, min(longitude) as longitude, sum(uniques) as flow from chosen group by {place}),
+{factor('gender')}, {factor('age')}, {factor('class')},
+scored as (select p.*, gender_share * age_share * class_share as share from places p
+  left join gender_part g on (p.location_id, p.endereco, p.numero, p.cidade) is not distinct from (g.location_id, g.endereco, g.numero, g.cidade)
+  left join age_part a on (p.location_id, p.endereco, p.numero, p.cidade) is not distinct from (a.location_id, a.endereco, a.numero, a.cidade)
+  left join class_part c on (p.location_id, p.endereco, p.numero, p.cidade) is not distinct from (c.location_id, c.endereco, c.numero, c.cidade)),
+named as (select *, concat(trim(endereco), ', ', cast(numero as varchar), ' — ', cidade) as endereco_ref from scored)
+select '{campaign}' as campaign_id, {known} as city_found, location_id, endereco_ref, cidade, round(latitude, 6) as latitude,
+  round(longitude, 6) as longitude, round(flow, 6) as total_flow, round(share * 100, 6) as affinity, round(flow * share, 6) as target_audience,
+  row_number() over (order by share desc nulls last, location_id, endereco_ref nulls first) as rank
+from named qualify rank <= {want['k']}"""
 
 
 def _register_campaign(name: str, spec: C.CampaignSpec):
-    # The oracle body continues the fixture WITH list, so it starts with ", grp as".
-    body = _campaign_sql(spec)
-
     def fn(spark, sf_dir):
-        _, star = _ctx(spark, sf_dir)
         return _round_doubles(C.analyze_campaign(_en(spark, sf_dir), spec), _CAMPAIGN_OUT)
 
-    QUERIES[name] = (fn, "WITH " + O.FIXTURE_CTES.strip() + body)
+    body = f"select * exclude (campaign_id, city_found) from ({_expected_sql(spec.campaign_id, False)})"
+    QUERIES[name] = (fn, O.with_fixtures(body))
 
 
 CENTER = (-23.5505, -46.6333)
@@ -282,39 +243,20 @@ MULTI_SPECS = list(CAMPAIGNS.values()) + [
 ]
 
 
-def _multi_sql(specs: list[C.CampaignSpec]) -> str:
-    """Oracle for W2 + Q4: one ranked block per spec, UNION ALL."""
-    blocks = []
-    for s in specs:
-        gnum, anum, cnum, where = _campaign_sql_parts(s, city=False)
-        if s.city:
-            city_ok = f"exists (select 1 from enriched e2 where lower(e2.cidade) = lower('{s.city}'))"
-            where.append(f"((not {city_ok}) or lower(cidade) = lower('{s.city}'))")
-            found = city_ok
-        else:
-            found = "true"
-        w = ("where " + " and ".join(where)) if where else ""
-        blocks.append(f"""
-select * from (
-  select '{s.campaign_id}' as campaign_id, {found} as city_found, location_id, endereco_ref, cidade,
-    round(latitude, 6) as latitude, round(longitude, 6) as longitude, round(total_flow, 6) as total_flow,
-    round(aff_raw, 6) as affinity, round(tgt_raw, 6) as target_audience,
-    row_number() over (order by aff_raw desc nulls last, location_id, endereco_ref nulls first) as rank
-  from (
-    select *, (g / nullif(total_flow, 0)) * (a / nullif(total_flow, 0)) * (c / nullif(total_flow, 0)) * 100 as aff_raw,
-      total_flow * (g / nullif(total_flow, 0)) * (a / nullif(total_flow, 0)) * (c / nullif(total_flow, 0)) as tgt_raw
-    from (
-      select location_id, concat(trim(endereco), ', ', cast(numero as varchar), ' — ', cidade) as endereco_ref,
-        cidade, min(latitude) as latitude, min(longitude) as longitude, sum(uniques) as total_flow,
-        sum({gnum}) as g, sum({anum}) as a, sum({cnum}) as c
-      from enriched {w} group by location_id, endereco, numero, cidade) g0) s0) r0
-where rank <= {s.k}""")
-    return "\nunion all\n".join(blocks)
-
-
-@register("campaign_topk_multi", _multi_sql(MULTI_SPECS))
+def _multi_sql(fallback: bool) -> str:
+    """W2 with or without Q4: the campaigns one by one."""
+    return "\nunion all\n".join(f"select * from ({_expected_sql(s.campaign_id, fallback)})" for s in MULTI_SPECS)
+
+
+@register("campaign_topk_strict_city", f"select * exclude (city_found) from ({_multi_sql(False)})")
+def q_campaign_strict_city(spark, sf_dir):
+    """W2 without the city fallback: a campaign for an unknown city has no rows."""
+    out = C.multi_campaign(_en(spark, sf_dir), MULTI_SPECS, city_fallback=False)
+    return _round_doubles(out, _CAMPAIGN_OUT).drop("city_found")
+
+
+@register("campaign_topk_multi", _multi_sql(True))
 def q_campaign_multi(spark, sf_dir):
-    _, star = _ctx(spark, sf_dir)
     return _round_doubles(C.multi_campaign(_en(spark, sf_dir), MULTI_SPECS), _CAMPAIGN_OUT)
 
 
@@ -371,7 +313,6 @@ def _fixture_sql(body: str) -> str:
 
 
 def _hexbin_df(spark, sf_dir):
-    _, star = _ctx(spark, sf_dir)
     pts = D.point_rows(_j1(spark, sf_dir))
     return G.hexbin(pts, HEX_R)
 
@@ -400,7 +341,6 @@ from bins, dom"""))
 
 
 def _hex_locations(spark, sf_dir):
-    _, star = _ctx(spark, sf_dir)
     j = _j1(spark, sf_dir).where(F.col("latitude").try_cast("double").isNotNull())
     pts = j.select("location_id", F.col("latitude").try_cast("double").alias("latitude"),
                    F.col("longitude").try_cast("double").alias("longitude"))
@@ -422,7 +362,6 @@ def _loc_sql() -> str:
 
 
 def q_location_profile(spark, sf_dir):
-    _, star = _ctx(spark, sf_dir)
     df = G.location_profile(_en(spark, sf_dir))
     return _round_doubles(df, ["latitude", "longitude", "uniques"] + SHARE_COLUMNS)
 
@@ -516,7 +455,6 @@ QUERIES["gazetteer_cities"] = (q_gazetteer, _fixture_sql(
 
 
 def q_place_reach(spark, sf_dir):
-    _, star = _ctx(spark, sf_dir)
     en = _en(spark, sf_dir)
     places = G.gazetteer(en).select(F.col("cidade").alias("place"), "lat", "lon")
     return _round_doubles(G.place_reach(places, en, 2000.0), ["flow"])
@@ -531,7 +469,6 @@ from gaz g left join pr on g.cidade = pr.place"""))
 
 
 def q_centre_ranking(spark, sf_dir):
-    _, star = _ctx(spark, sf_dir)
     return _round_doubles(G.centre_ranking(_en(spark, sf_dir)), ["flow", "distance_m", "score"])
 
 
@@ -544,7 +481,7 @@ QUERIES["centre_ranking"] = (q_centre_ranking, _fixture_sql(_GAZ_CTE + f"""
           row_number() over (partition by cidade order by flow / greatest(distance_m, 1.0) desc, location_id) as rank
         from j where distance_m <= 5000.0)
 select cidade, rank, location_id, round(flow, 6) as flow, round(distance_m, 6) as distance_m, round(score, 6) as score
-from r where rank <= 10"""))
+from r"""))
 
 
 _AGE_PRED = {
@@ -564,7 +501,6 @@ def _segment_sql(limit: int = SG.CARD_LIMIT) -> str:
 
 
 def _segments_df(spark, sf_dir):
-    _, star = _ctx(spark, sf_dir)
     return SG.segment_points(_j1(spark, sf_dir), "age")
 
 
@@ -573,12 +509,11 @@ QUERIES["segment_grid"] = (_segments_df, _fixture_sql(
 
 
 def q_segment_domain(spark, sf_dir):
-    pts = _segments_df(spark, sf_dir)
-    return SG.shared_domain(SG.segment_hexbins(pts, HEX_R))
+    return SG.shared_domain(SG.segment_hexbins(SG.segment_rows(_j1(spark, sf_dir), "age"), HEX_R))
 
 
 QUERIES["segment_density_domain"] = (q_segment_domain, _fixture_sql(
-    _segment_sql() + ", pts as (select segment, latitude as lat, longitude as lon, value from seg)"
+    _segment_sql() + ", pts as (select segment, latitude as lat, longitude as lon, value from seg_all)"
     + _hex_cte("pts", HEX_R, "segment") + """
 , bins as (select segment, q, s, count(*) as n from hx_cell group by segment, q, s)
 , per as (select segment, cast(min(n) as double) as lo, cast(max(n) as double) as hi from bins group by segment)
@@ -765,7 +700,6 @@ QUERIES["area_compare"] = (q_area_compare, _fixture_sql(_area_sql()))
 
 
 def q_result_facets(spark, sf_dir):
-    _, star = _ctx(spark, sf_dir)
     return B.result_facets(SAMPLE_FILTERS.apply(_j1(spark, sf_dir)))
 
 
@@ -933,30 +867,85 @@ QUERIES["adhoc_sql_city_flow"] = (q_adhoc_sql, _fixture_sql(
 
 # ---------------------------------------------------------------- ingest round trip: N1 N3 N4 F14 S1 semantics
 from passante.plans import ingest as I  # noqa: E402
-from passante.sources.testdata import Star  # noqa: E402
+from passante.session import scratch_path  # noqa: E402
+from passante.sources.testdata import Star, read_star  # noqa: E402
+
+
+def _flow_lines(spark, sf_dir):
+    """(line, part, kind): the joined events as CSV lines; the street carries the
+    event's id.  One in 50 lines lacks its last field, one has a field too many, one
+    a number that does not parse and one a profile that does not."""
+    rows = I.to_flow_rows(_j1(spark, sf_dir).withColumn("endereco", F.concat("endereco", F.lit("#"), "id")))
+    number = F.regexp_extract("endereco", "#g([0-9]+)$", 1).cast("bigint")
+    kind = number % 50
+    rows = rows.withColumns({"uniques": F.when(kind == 21, "a lot").otherwise(F.col("uniques")),
+                             "target": F.when(kind == 33, "{'idade': oops").otherwise(F.col("target"))})
+    names = rows.columns
+    whole = F.to_csv(F.struct(*names))
+    line = F.when(kind == 7, F.to_csv(F.struct(*names[:-1]))).when(kind == 13, F.concat(whole, F.lit(",more"))).otherwise(whole)
+    return rows.select(line.alias("line"), (number % 4).cast("int").alias("part"), kind.alias("kind")), names
+
+
+def _write_flow_csv(spark, lines, names, path):
+    """Files with a header each, one per part."""
+    header = spark.range(4).select(F.lit(",".join(names)).alias("line"), F.col("id").cast("int").alias("part"), F.lit(0).alias("n"))
+    (header.unionByName(lines.select("line", "part", F.lit(1).alias("n"))).repartition("part").sortWithinPartitions("part", "n")
+     .select("line", "part").write.partitionBy("part").text(path))
+
+
+_EVENT_COLUMNS = ["endereco", "impression_hour", "location_id", "uniques", "numero", "x18_19", "x80_plus", "feminine", "a_class", "de_class"]
+
+
+def _events_of(star):
+    """Each event with its own profile, from the five tables."""
+    return _round_doubles(snowflake(star).select(*_EVENT_COLUMNS), ["uniques", "x18_19", "x80_plus", "feminine", "a_class", "de_class"])
+
+
+def _csv_events_sql(left_out: str) -> str:
+    return f"""
+select concat(endereco, '#', id) as endereco, impression_hour, location_id,
+  round(case when cast(substr(id, 2) as bigint) % 50 = 21 then 0 else uniques end, 6) as uniques, numero, round(x18_19, 6) as x18_19,
+  round(x80_plus, 6) as x80_plus, round(feminine, 6) as feminine, round(a_class, 6) as a_class, round(de_class, 6) as de_class
+from j1 where cast(substr(id, 2) as bigint) % 50 not in ({left_out})"""
+
+
+def _csv_round_trip(spark, sf_dir, mode, lines, names):
+    root = scratch_path(spark, f"csv-{mode}")
+    _write_flow_csv(spark, lines, names, f"{root}/in")
+    I.load_csv(spark, f"{root}/in", f"{root}/wh", mode)
+    return _events_of(read_star(spark, f"{root}/wh"))
+
+
+def q_csv_lenient(spark, sf_dir):
+    """CSV files with short and wide lines, bad numbers and bad
+    profiles -> lenient scan -> five tables -> every event with its own profile."""
+    return _csv_round_trip(spark, sf_dir, "lenient", *_flow_lines(spark, sf_dir))
+
+
+QUERIES["csv_lenient_roundtrip"] = (q_csv_lenient, _fixture_sql(_csv_events_sql("7, 13, 33")))
+
+
+def q_csv_bulk(spark, sf_dir):
+    """The same without lines of another length, which fail a bulk load."""
+    lines, names = _flow_lines(spark, sf_dir)
+    return _csv_round_trip(spark, sf_dir, "bulk", lines.where("kind not in (7, 13)"), names)
+
+
+QUERIES["csv_bulk_load"] = (q_csv_bulk, _fixture_sql(_csv_events_sql("7, 13, 33")))
 
 
 def q_ingest_shred(spark, sf_dir):
     """J1 rows -> flow CSV text (python-dict profile) -> quote fix + parse ->
-    completeness check -> five tables with deterministic keys -> J1 -> A1."""
-    _, star = _ctx(spark, sf_dir)
-    rows = I.to_flow_rows(_j1(spark, sf_dir))
-    typed = I.typed_flow(rows.withColumns({"_source_file": F.lit("flow.csv"),
-                                           "_row_key": F.monotonically_increasing_id().cast("string")}))
-    # parse once; the five tables are then projections of the checkpointed
-    # frame (reliable checkpoint in spark.checkpoint.dir, lineage cut)
-    checkpoint_dir(spark)
-    typed = typed.checkpoint(eager=True)
-    sh = I.shred(typed, I.bulk_keys(), strict=True)
-    back = Star(**sh.tables())
-    return D.demographics(back, round_to=R6)
+    completeness check -> five tables with content keys -> J1 -> A1."""
+    rows = I.to_flow_rows(_j1(spark, sf_dir).withColumn("endereco", F.concat("endereco", F.lit("#"), "id")))
+    typed = I.typed_flow(rows).withColumns({"_source_file": F.lit("flow.csv"), "_row_key": F.sha2("endereco", 256)})
+    return D.demographics(Star(**I.shred(typed, I.bulk_keys(), strict=True).tables()), round_to=R6)
 
 
 QUERIES["ingest_csv_shred"] = (q_ingest_shred, _fixture_sql(f"select count(*) as count, {O.avg_list()} from j1"))
 
 
 # ---------------------------------------------------------------- streams: T3/K1 and T4/K3/S4 over the test tables
-from passante.session import scratch_path  # noqa: E402
 from passante.sources.fixtures import fx_messages  # noqa: E402
 from passante.sources.topic import read_envelope_files, write_envelope_files  # noqa: E402
 from passante.streaming import archive as AR  # noqa: E402
@@ -978,6 +967,41 @@ def q_stream_warehouse(spark, sf_dir):
 QUERIES["stream_warehouse_ingest"] = (q_stream_warehouse, _fixture_sql(f"select count(*) as count, {O.avg_list()} from j1"))
 
 
+def _bad_messages(messages):
+    """Spoils some messages, by offset: broken JSON, a number given as text, a null
+    field, a bucket with a null value, a bucket that is absent."""
+    kind, value = F.col("offset") % 10, F.col("value")
+    return messages.withColumn("value", F.when(kind == 1, F.substring(value, 1, 20))
+                               .when(kind == 2, F.regexp_replace(value, '"uniques":([-0-9.E]+)', '"uniques":"$1"'))
+                               .when(kind == 3, F.regexp_replace(value, '"cidade":"[^"]*"', '"cidade":null'))
+                               .when(kind == 4, F.regexp_replace(value, '"80[+]":[-0-9.E]+', '"80+":null'))
+                               .when(kind == 5, F.regexp_replace(value, '"DE":[-0-9.E]+', '"other":1.0'))
+                               .otherwise(value))
+
+
+def q_stream_quarantine(spark, sf_dir):
+    """Spoiled messages -> one batch -> rows per outcome, and exact sums
+    of what was stored."""
+    t, star = _ctx(spark, sf_dir)
+    root = scratch_path(spark, "stream-quarantine")
+    WH.write_batch(_bad_messages(fx_messages(t, star)), 0, root)
+    quarantine = spark.read.parquet(f"{root}/_quarantine")
+    bad = quarantine.groupBy("reason").agg(F.count("*").alias("n")).withColumns({"without_city": F.lit(0).cast("bigint"), "x80_plus": F.lit(0.0)})
+    good = snowflake(WH.read_warehouse(spark, root)).agg(F.lit("stored").alias("reason"), F.count("*").alias("n"),
+                                                         F.sum((F.col("cidade") == "").cast("bigint")).alias("without_city"),
+                                                         F.round(F.sum("x80_plus"), 6).alias("x80_plus"))
+    return bad.unionByName(good)
+
+
+QUERIES["stream_quarantine"] = (q_stream_quarantine, _fixture_sql("""
+, m as (select g.*, e.kafka_offset % 10 as kind from fx_geodata g join fx_envelope e on g.id = concat('g', cast(e.event_id as varchar)))
+, outcome as (select m.*, case when kind = 1 then 'invalid json or not an object' when kind = 2 then 'uniques: not a number'
+    when target_id is null then 'profile missing or unparsable' when kind = 5 then 'missing classe_social key DE' else 'stored' end as reason from m)
+select reason, count(*) as n, cast(sum(case when reason = 'stored' and kind = 3 then 1 else 0 end) as bigint) as without_city,
+  round(sum(case when reason = 'stored' and kind <> 4 then a.x80_plus else 0 end), 6) as x80_plus
+from outcome left join fx_target t on outcome.target_id = t.id left join fx_age a on t.age_id = a.id group by reason"""))
+
+
 def q_archive_daily_flow(spark, sf_dir):
     """Messages -> enriched NDJSON archive (K3) -> partitioned scan (S4) ->
     Σuniques per day folder."""
@@ -1023,18 +1047,18 @@ select id, location_id, impression_hour, round(uniques, 6) as uniques from enric
 where latitude between {BBOX[0]} and {BBOX[1]} and longitude between {BBOX[2]} and {BBOX[3]}
   and (impression_hour >= 22 or impression_hour <= 5)""")
 def q_bbox_night(spark, sf_dir):
-    _, star = _ctx(spark, sf_dir)
     f = GeoFilters(hour_range=(22, 5))
     df = f.apply(_en(spark, sf_dir)).where(bounding_box(*BBOX))
     return _round_doubles(df.select("id", "location_id", "impression_hour", "uniques"), ["uniques"])
 
 
 def q_nested_summary(spark, sf_dir):
-    _, star = _ctx(spark, sf_dir)
-    return D.nested_summary(D.compare(_j1(spark, sf_dir), "genero", round_to=R6))
+    """N9, read back through its nested fields."""
+    nested = D.nested_summary(D.compare(_j1(spark, sf_dir), "genero", round_to=R6))
+    return nested.select("label", "count", "age.*", "gender.*", "social_class.*")
 
 
-QUERIES["compare_gender_nested"] = (q_nested_summary, None)  # struct output: rows-only check
+QUERIES["compare_gender_nested"] = (q_nested_summary, QUERIES["compare_gender"][1])
 
 
 def q_embedding_topk(spark, sf_dir):

@@ -58,18 +58,16 @@ def ensure_window_group_limit(spark: SparkSession, k: int) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set by the deployment (a shared file system).  Only
-    when it is unset (local tests) do we pick a scratch folder ourselves.
+    On a cluster the deployment sets it (a shared file system); without it an
+    error is raised.  Only a local session (tests) gets a scratch folder.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
-    if not d:
-        d = tempfile.mkdtemp(prefix="passante-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(d)
-    return d.rstrip("/")
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not context.getCheckpointDir():
+        if not named and not context.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="passante-ckpt-"))
+    return (named or context.getCheckpointDir()).rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import datetime as dt
 import math
+import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -153,20 +154,15 @@ def list_objects(spark: SparkSession, base: str) -> DataFrame:
 
 
 def normalize_folder_prefix(folder: str) -> str:
-    """Trim, strip one leading '/', add a trailing '/' (empty stays empty)."""
-    f = folder.strip()
-    if f.startswith("/"):
-        f = f[1:]
-    if not f:
-        return ""
-    return f if f.endswith("/") else f + "/"
+    """``folder`` as a prefix of object names: '' or 'a/b/'."""
+    inner = re.fullmatch(r"\s*/?(.*?)/?\s*", folder, re.DOTALL)[1]
+    return inner and f"{inner}/"
 
 
 def list_level(objects: DataFrame, root: str, prefix: str = "") -> DataFrame:
     """Immediate files and sub-folders under ``prefix`` (relative to
     ``root``): (kind, name, id, size, files).  Folders carry the number of
     files and bytes below them."""
-    import re
     p = normalize_folder_prefix(prefix)
     root_path = "/" + re.sub(r"^[a-zA-Z][a-zA-Z0-9+.-]*:", "", root).strip("/") + "/"
     start = root_path + p

@@ -22,7 +22,6 @@ geodata write lands (it is written last).
 
 from __future__ import annotations
 
-import math
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,10 +38,6 @@ STRING_FIELDS = ["latitude", "longitude", "uf_estado", "cidade", "endereco"]
 INT_KINDS = ["BIGINT", "INT", "SMALLINT", "TINYINT"]
 NUMBER_PREFIXES = ("BIGINT", "INT", "SMALLINT", "TINYINT", "DOUBLE", "FLOAT", "DECIMAL")
 
-
-# output files per table per batch are sized by rows (no extra shuffle: coalesce)
-ROWS_PER_FILE = 1_000_000
-
 ALL_FIELDS = INT_FIELDS + FLOAT_FIELDS + STRING_FIELDS + ["target"]
 VARIANT_ROW = "struct<" + ", ".join(f"{f}: variant" for f in ALL_FIELDS) + ">"
 
@@ -93,18 +88,6 @@ def decode_events(env: DataFrame) -> DataFrame:
             .drop("__s", "__t", "__obj", "__t_present", *[f"__k_{f}" for f in scalars]))
 
 
-def batch_tables(batch: DataFrame):
-    """Steps 1-4 on one batch: (shredded tables, quarantine frame)."""
-    dedup = batch.dropDuplicates(["topic", "partition", "offset"])
-    dec = decode_events(dedup)
-    good = dec.where(F.col("decode_error").isNull())
-    sh = shred(good, stream_keys("topic", "partition", "offset"), strict=True)
-    bad_json = dec.where(F.col("decode_error").isNotNull()).select(
-        "topic", "partition", "offset", "timestamp", "value", F.col("decode_error").alias("reason"))
-    bad_profile = sh.quarantine.select("topic", "partition", "offset", "timestamp", "value", "reason")
-    return sh, bad_json.unionByName(bad_profile)
-
-
 def batch_telemetry(batch: DataFrame) -> DataFrame:
     """A20 for one batch: last offset, high watermark at it and lag per
     (topic, partition), plus message counts."""
@@ -122,15 +105,8 @@ def write_batch(batch: DataFrame, batch_id: int, warehouse: str) -> dict:
     keys = stream_keys("topic", "partition", "offset")
     # decoded and keyed once, read by every write
     dec = with_keys(decode_events(dedup), keys).persist()
-    import os
-    import time
-    trace = os.environ.get("PASSANTE_TRACE")
-    t0 = time.perf_counter()
     try:
-        n_rows = dec.count()  # materialise before the concurrent writes read it
-        files = max(1, math.ceil(n_rows / ROWS_PER_FILE))
-        if trace:
-            print(f"[batch {batch_id}] decode {time.perf_counter() - t0:.2f}s", flush=True)
+        dec.count()  # materialise before the concurrent writes read it
         good = dec.where(F.col("decode_error").isNull())
         sh = shred(good, keys, strict=True)
         bad_json = dec.where(F.col("decode_error").isNotNull()).select(
@@ -141,17 +117,13 @@ def write_batch(batch: DataFrame, batch_id: int, warehouse: str) -> dict:
 
         def put(item):
             name, df = item
-            df.coalesce(files).write.mode("overwrite").parquet(f"{w}/{name}/batch_id={batch_id}")
+            df.write.mode("overwrite").parquet(f"{w}/{name}/batch_id={batch_id}")
 
         # the dimension tables and side outputs are independent jobs: run them
         # concurrently; geodata goes last (readers join INNER from geodata)
         with ThreadPoolExecutor(max_workers=len(dims) + len(side)) as pool:
             list(pool.map(put, list(dims.items()) + list(side.items())))
-        if trace:
-            print(f"[batch {batch_id}] dims+side {time.perf_counter() - t0:.2f}s", flush=True)
         put(("geodata", sh.geodata))
-        if trace:
-            print(f"[batch {batch_id}] geodata {time.perf_counter() - t0:.2f}s", flush=True)
         return {"batch_id": batch_id}
     finally:
         dec.unpersist()
@@ -187,9 +159,3 @@ def read_warehouse(spark: SparkSession, warehouse: str):
     w = warehouse.rstrip("/")
     return Star(*(spark.read.parquet(f"{w}/{t}").drop("batch_id")
                   for t in ["geodata", "target", "age", "gender", "social_class"]))
-
-
-def drop_existing(new_rows: DataFrame, existing: DataFrame, key: str = "id") -> DataFrame:
-    """T5 cross-batch guard (opt-in): keep only rows whose deterministic key
-    is not in the table yet.  Only the key column of the table is read."""
-    return new_rows.join(existing.select(key), key, "left_anti")

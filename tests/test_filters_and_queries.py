@@ -128,3 +128,6 @@ def test_multi_campaign_fallback(star):
     assert len(y) >= 1 and (y.cidade == city).all() and y.city_found.all()
     single = C.analyze_campaign(enriched(star), C.CampaignSpec(city=city.lower(), limit=2)).toPandas()
     assert list(single.location_id) == list(y.location_id)
+    strict = C.multi_campaign(enriched(star), specs, city_fallback=False).toPandas()
+    assert set(strict.campaign_id) == {"y"} and list(strict.location_id) == list(y.location_id)
+    assert C.multi_campaign(enriched(star), specs[:1], city_fallback=False).count() == 0

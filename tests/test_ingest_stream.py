@@ -63,7 +63,7 @@ def test_csv_scans(spark, star, tmp_dir):
     lenient = I.read_flow_csv(spark, path, "lenient")
     assert lenient.count() == 50
     assert lenient.where(F.col("target").isNull()).count() == 0
-    sh = I.shred(lenient, I.bulk_keys(), strict=False)
+    sh = I.shred(I.numbered(lenient), I.bulk_keys(), strict=False)
     assert sh.geodata.count() == 50 and sh.age.select("id").distinct().count() == 50
     bulk = I.read_flow_csv(spark, path, "bulk")
     assert bulk.count() == 50
@@ -71,6 +71,60 @@ def test_csv_scans(spark, star, tmp_dir):
         I.require_rows(lenient.limit(0))
 
 
+def _flow_file(path, lines):
+    import os
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w") as f:
+        f.write("\n".join(["impression_hour,location_id,uniques,latitude,longitude,uf_estado,cidade,endereco,numero,target", *lines]) + "\n")
+
+
+def _flow_line(k, profile=FULL):
+    return f"7,{k},{k}.5,-23.5,-46.6,SP,Sao Paulo,Rua {k},9,\"{profile}\""
+
+
+def test_odd_lines_are_skipped_alike_in_every_use(spark, tmp_dir):
+    def share(k):
+        return FULL | {"genero": {"F": k / 10, "M": 1 - k / 10}}
+
+    lines = [_flow_line(1, share(1)), _flow_line(2, share(2)) + ",extra", "7,3,3.5", _flow_line(4, share(4)),
+             _flow_line(5, share(5)).replace("5.5", "much"), _flow_line(6, "{'idade'"), _flow_line(4, share(4))]
+    _flow_file(f"{tmp_dir}/in/a.csv", lines)
+    df = I.read_flow_csv(spark, f"{tmp_dir}/in")
+    assert df.count() == len(df.collect()) == df.select("location_id").count() == 5
+    assert I.rejected_lines(spark, f"{tmp_dir}/in").count() == 2
+    I.load_csv(spark, f"{tmp_dir}/in", f"{tmp_dir}/wh", "lenient")
+    from passante.sources.testdata import read_star
+    star = read_star(spark, f"{tmp_dir}/wh")
+    got = sorted((r.location_id, r.uniques, round(r.feminine, 3)) for r in snowflake(star).collect())
+    assert got == [(1, 1.5, 0.1), (4, 4.5, 0.4), (4, 4.5, 0.4), (5, 0.0, 0.5)]
+    assert star.geodata.select("id").distinct().count() == 4  # equal rows have ids of their own
+    with pytest.raises(Exception, match="(?i)malformed|FAILFAST"):
+        I.read_flow_csv(spark, f"{tmp_dir}/in", "bulk").collect()
+
+
+def test_wider_files_are_read_by_position(spark, tmp_dir):
+    _flow_file(f"{tmp_dir}/in/a.csv", [])
+    with open(f"{tmp_dir}/in/a.csv", "w") as f:
+        f.write("a,b,c,d,e,f,g,h,i,j,k,l\n" + "\n".join(_flow_line(k) + ",x,y" for k in range(5)) + "\n")
+    assert I.read_flow_csv(spark, f"{tmp_dir}/in").where("target is not null").count() == 5
+
+
+def test_bulk_ids_do_not_depend_on_the_splits(spark, tmp_dir):
+    _flow_file(f"{tmp_dir}/in/a.csv", [_flow_line(k % 700) for k in range(1000)])
+
+    def ids(split):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        rows = I.numbered(I.read_flow_csv(spark, f"{tmp_dir}/in"))
+        return {r.id for r in I.shred(rows, I.bulk_keys(), strict=False).geodata.select("id").collect()}
+
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        a, b = ids("128m"), ids("16k")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert a == b and len(a) == 1000
+
+
 def _env(spark, rows):
     return spark.createDataFrame(rows, "topic string, partition int, offset long, timestamp timestamp, "
                                        "value string, high_watermark long")
