@@ -122,7 +122,7 @@ def weighed(docs: DataFrame, weights: np.ndarray, with_text: bool = True) -> Dat
         for batch in text_slices(batches, max_bytes=1 << 20):
             owner, bucket = ngram_buckets(batch.column("text").to_pylist())
             n = batch.num_rows
-            sums = np.bincount(owner, weights=weights[bucket], minlength=n)
+            sums = np.bincount(owner, weights=weights[bucket], minlength=n).astype(np.float64)  # whole numbers if empty
             kept = batch if with_text else batch.drop_columns(["text"])
             yield (kept.append_column("__dsir_n", pa.array(np.bincount(owner, minlength=n)))
                    .append_column("__dsir_weight", pa.array(sums)))

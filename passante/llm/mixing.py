@@ -9,7 +9,7 @@ is one aggregation over the (source, size) counts of all documents, which give
 the constraint's value and slope at the present duals; a bracket per source
 replaces a step that would leave it.  Rates are rounded into copies at random
 (a hash of the document) and the few words that rounding leaves over are
-mended inside groups of about ``GROUP`` documents, so a source with any share
+mended, by a copy more or less of some documents, inside groups of about ``GROUP`` documents, so a source with any share
 of all rows is spread over many tasks.
 
 The driver holds one number per source (weights are given per source, at most
@@ -139,16 +139,17 @@ def rounded(group: pd.DataFrame) -> pd.DataFrame:
     base = np.floor(r + 1e-12).astype(np.int64)
     part = np.maximum(r - base, 0.0)
     extra = np.where(part > 0, np.floor(part * n + u), 0).astype(np.int64)
-    left = float(((part * n - extra) * size).sum())  # words still to be taken, or taken too many
-    for i in np.lexsort((u, -size)):
-        if size[i] == 0 or part[i] == 0:
-            continue
-        more = round(left / size[i])
-        more = max(-int(extra[i]), min(int(n[i] - extra[i]), more))
-        if more:
-            extra[i] += more
+    copies = base * n + extra
+    left = float(((r * n - copies) * size).sum())  # words still to be taken, or taken too many
+    # first between the two whole numbers around a rate, then, for what is left, within 0 and MOST
+    for low, high in ((base * n, base * n + np.where(part > 0, n, 0)), (0 * n, MOST * n)):
+        for i in np.lexsort((u, -size)):
+            if size[i] == 0 or 2 * abs(left) <= size[i]:
+                continue
+            more = max(int(low[i] - copies[i]), min(int(high[i] - copies[i]), round(left / size[i])))
+            copies[i] += more
             left -= more * float(size[i])
-    return group[["__mix_key", "__mix_n"]].assign(__mix_base=base, __mix_extra=extra)
+    return group[["__mix_key", "__mix_n"]].assign(__mix_base=copies // n, __mix_extra=copies % n)
 
 
 def row_key():
