@@ -25,7 +25,7 @@ HEADLINE = [
     "hexbin", "hex_color_classes", "segment_density_domain", "radius_join", "location_profile",
     "screen_enrichment", "centre_ranking", "joint_distribution", "long_form_union", "peak_hour",
     "class_share", "area_compare", "partition_lag", "lag_percentiles", "ingest_rate_5min",
-    "conversation_budget", "ingest_csv_shred", "archive_daily_flow", "stream_warehouse_ingest",
+    "conversation_budget", "ingest_csv_shred", "csv_bulk_load", "archive_daily_flow", "stream_enriched_view", "stream_warehouse_ingest",
 ]
 
 
@@ -44,12 +44,11 @@ def main() -> None:
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")
                .config("spark.driver.memory", os.environ.get("BENCH_DRIVER_MEMORY", "16g"))
+               .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="passante-bench-"))
                .config("spark.sql.shuffle.partitions", str(int(cpus) * 2))
                .config("spark.sql.session.timeZone", "UTC"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="passante-bench-"))
     apply_runtime_conf(spark)
 
     # warm-up on the smallest scale: JVM JIT, codegen cache, Python workers

@@ -12,10 +12,10 @@ caller will throw away).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from passante.functions.columns import address_label, dominant_label, gender_label, haversine_m, scalar_struct
+from passante.functions.columns import address_label, bbox_predicate, dominant_label, gender_label, haversine_m, scalar_struct
 from passante.schemas import (
     AGE_COLUMNS, AGE_COUNT_COLUMNS, AGE_FILTER_LABELS, CLASS_COLUMNS, CLASS_COUNT_COLUMNS,
     CLASS_FILTER_LABELS, GENDER_COLUMNS, GENDER_COUNT_COLUMNS, JOINT_AGE_LABELS, JOINT_CLASS_LABELS,
@@ -57,10 +57,11 @@ def joint_distribution(df: DataFrame, classes=None, genders=None, ages=None,
     return df.select(*keep, F.inline(F.array(*combos)))
 
 
-def joint_totals(joint: DataFrame, by: list[str] | None = None) -> DataFrame:
-    by = by or ["class_label", "gender_label", "age_label"]
-    return joint.groupBy(*by).agg(F.sum("joint_count").alias("joint_count"),
-                                  F.count(F.lit(1)).alias("n_rows"))
+def joint_counts(classes=None, genders=None, ages=None) -> Column:
+    """An event's joint counts as an array: they can be summed within the row."""
+    return F.array(*[F.col("uniques") * F.col(JOINT_CLASS_COL[c]) * F.col(JOINT_GENDER_COL[g]) * F.col(JOINT_AGE_COL[a])
+                     for c in _pick(JOINT_CLASS_LABELS, classes) for g in _pick(JOINT_GENDER_LABELS, genders)
+                     for a in _pick(JOINT_AGE_LABELS, ages)])
 
 
 def joint_aggregate(df: DataFrame, keys: list[str] | None = None, classes=None, genders=None,
@@ -187,13 +188,17 @@ def area_compare(df: DataFrame, area_a: tuple[float, float, float], area_b: tupl
     """Per label of a dimension, its share of flow inside area A and
     inside area B (centre lat, centre lon, radius m) and the percentage
     difference (b - a) / a * 100.  A point inside both areas counts in
-    both; the area tag is generated, not joined."""
+    both; the area tag is generated, not joined.  The areas' bounding boxes are
+    plain comparisons, so the reader skips what lies outside both."""
+    def box(a):
+        return bbox_predicate("latitude", "longitude", *a)
+
     def inside(a):
         lat, lon, r = a
-        return haversine_m("latitude", "longitude", lat, lon) <= F.lit(float(r))
+        return box(a) & (haversine_m("latitude", "longitude", lat, lon) <= F.lit(float(r)))
     tags = F.array(F.when(inside(area_a), F.lit("A")), F.when(inside(area_b), F.lit("B")))
     pairs = [(lab, col) for dim, lab, col in LONG_FORM if dim == dimension]
-    tagged = (df.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
+    tagged = (df.where(box(area_a) | box(area_b))
               .select("uniques", *[c for _, c in pairs],
                       F.explode(F.filter(tags, lambda x: x.isNotNull())).alias("area")))
     sums = tagged.groupBy("area").agg(F.sum("uniques").alias("flow"),

@@ -7,10 +7,9 @@ whose suffix (that turn to the end) fits the threshold -- trying 3 first;
 every message before the split is marked for summarisation.  If no suffix
 fits, or the split is the first message, nothing is marked.
 
-Plan: only grouped aggregations and joins with one-row-per-conversation
-tables.  The last three user turns come from three max() aggregates, the
-suffix sums and counts from one conditional aggregation -- no window over a
-whole conversation, so a huge conversation is still combined map-side.
+Plan: the last three user turns come from one salted top-k, which is joined
+once (a row per conversation); suffix sums and counts are one conditional
+aggregation, so a huge conversation is still combined map-side.
 """
 
 from __future__ import annotations
@@ -18,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from passante.functions.topk import top_k_per_group
+
 # --- fixed values: summarisation trigger of the agent ---
 DEFAULT_CONTEXT = 128_000
 TRIGGER_RATIO = 0.75
@@ -32,13 +33,10 @@ def conversation_budget(conv: DataFrame, context: int = DEFAULT_CONTEXT,
                         ratio: float = TRIGGER_RATIO) -> DataFrame:
     threshold = int(context * ratio)
     m = conv.select("conv_id", "turn", "role", estimate_tokens(F.col("text")).alias("tokens"))
-    users = m.where(F.col("role") == "user").select("conv_id", "turn")
-    u1 = users.groupBy("conv_id").agg(F.max("turn").alias("u1"))
-    u2 = (users.join(u1, "conv_id").where(F.col("turn") < F.col("u1"))
-          .groupBy("conv_id").agg(F.max("turn").alias("u2")))
-    u3 = (users.join(u2, "conv_id").where(F.col("turn") < F.col("u2"))
-          .groupBy("conv_id").agg(F.max("turn").alias("u3")))
-    marks = u1.join(u2, "conv_id", "left").join(u3, "conv_id", "left")
+    # the last three distinct user turns: a salted top-k, so a long conversation is ranked by many tasks
+    users = m.where(F.col("role") == "user").select("conv_id", "turn").distinct()
+    last = top_k_per_group(users, ["conv_id"], [F.col("turn").desc()], KEEP_RECENT_TURNS, salt_cols=["turn"])
+    marks = last.groupBy("conv_id").agg(*[F.max(F.when(F.col("rank") == k, F.col("turn"))).alias(f"u{k}") for k in (1, 2, 3)])
     j = m.join(marks, "conv_id", "left")
     aggs = [F.count(F.lit(1)).alias("n_messages"), F.sum("tokens").alias("total_tokens"),
             F.first("u1", ignorenulls=True).alias("u1"), F.first("u2", ignorenulls=True).alias("u2"),

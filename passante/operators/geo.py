@@ -111,10 +111,10 @@ def enrich_screens(screens: DataFrame, enriched_df: DataFrame, radius_m: float =
       division by zero);
     * global_avg: otherwise the global weighted mean.
 
-    Screens are the probe side of one radius join at ``fallback_m`` against
-    per-location profiles (J5, pre-aggregated, so the build side is one row
-    per location, not per event); both tiers are decided in one grouped
-    aggregation per screen; every screen is kept by a left join.
+    Two radius joins against per-location profiles (J5, pre-aggregated: one row
+    per location, not per event): all screens within ``radius_m``, and only the
+    screens without a match there within ``fallback_m``.  Every screen is kept by
+    a left join.
     """
     sums = location_sums(enriched_df)
     loc = _shares_of(sums, ["location_id", "latitude", "longitude", "uniques"]).select(
@@ -122,30 +122,23 @@ def enrich_screens(screens: DataFrame, enriched_df: DataFrame, radius_m: float =
         F.col("longitude").alias("__lon"), F.col("uniques").alias("__u"),
         *[F.col(c).alias("__" + c) for c in SHARE_COLUMNS])
     sc = screens.select("screen_id", F.col("latitude").alias("__slat"), F.col("longitude").alias("__slon"))
-    pairs = radius_join(sc, loc, fallback_m, "__slat", "__slon", "__lat", "__lon", "__d")
-    near = F.col("__d") <= F.lit(radius_m)
-    w_exact = F.when(near, F.col("__u"))
-    w_fb = F.when(~near, F.col("__u") / F.col("__d"))
-    aggs = [F.count(w_exact).alias("__n_exact"), F.count(F.lit(1)).alias("__n_pairs"),
-            F.sum(w_exact).alias("__we"), F.sum(w_fb).alias("__wf")]
-    for c in SHARE_COLUMNS:
-        aggs += [F.sum(w_exact * F.col("__" + c)).alias("__e_" + c),
-                 F.sum(w_fb * F.col("__" + c)).alias("__f_" + c)]
-    per = pairs.groupBy("screen_id").agg(*aggs)
+
+    def matched(which, within, weight):
+        pairs = radius_join(which, loc, within, "__slat", "__slon", "__lat", "__lon", "__d")
+        total = F.sum(weight)
+        return pairs.groupBy("screen_id").agg(*[(F.sum(weight * F.col("__" + c)) / F.when(total != 0, total)).alias("__p_" + c) for c in SHARE_COLUMNS])
+
+    exact = matched(sc, radius_m, F.col("__u")).withColumn("__match", F.lit("exact"))
+    others = sc.join(exact.select("screen_id"), "screen_id", "left_anti")
+    fallback = matched(others, fallback_m, F.col("__u") / F.col("__d")).withColumn("__match", F.lit("fallback"))
+    per = exact.unionByName(fallback)
     glob = scalar_struct(global_profile(enriched_df, sums))  # one row, no join
     out = (screens.join(per, "screen_id", "left").withColumn("__g", glob)
            .withColumns({"__g_" + c: F.col("__g")[c] for c in SHARE_COLUMNS}).drop("__g"))
-    is_exact = F.coalesce(F.col("__n_exact"), F.lit(0)) > 0
-    is_fb = ~is_exact & (F.coalesce(F.col("__n_pairs"), F.lit(0)) > 0)
-    cols = {}
-    for c in SHARE_COLUMNS:
-        ex = F.col("__e_" + c) / F.when(F.col("__we") != 0, F.col("__we"))
-        fb = F.col("__f_" + c) / F.when(F.col("__wf") != 0, F.col("__wf"))
-        cols[SCREEN_SHARE_COLUMNS[SHARE_COLUMNS.index(c)]] = (
-            F.when(is_exact, ex).when(is_fb, fb).otherwise(F.col("__g_" + c)))
-    match = F.when(is_exact, F.lit("exact")).when(is_fb, F.lit("fallback")).otherwise(F.lit("global_avg"))
-    return out.select(*screens.columns, match.alias("match_type"),
-                      *[cols[s].alias(s) for s in SCREEN_SHARE_COLUMNS])
+    found = F.col("__match").isNotNull()
+    return out.select(*screens.columns, F.coalesce("__match", F.lit("global_avg")).alias("match_type"),
+                      *[F.when(found, F.col("__p_" + c)).otherwise(F.col("__g_" + c)).alias(SCREEN_SHARE_COLUMNS[k])
+                        for k, c in enumerate(SHARE_COLUMNS)])
 
 
 # ----------------------------------------------------------------------------- J7 / H5

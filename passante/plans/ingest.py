@@ -14,7 +14,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from passante.functions.columns import deterministic_id, normalize_quotes, uuid5
+from passante.functions.columns import deterministic_id, normalize_quotes, try_double, uuid5
+from passante.plans.model import with_counts
 from passante.schemas import (
     AGE_COLUMNS, AGE_KEYS, CLASS_COLUMNS, CLASS_KEYS, CSV_COLUMNS, CSV_SCHEMA, GENDER_COLUMNS,
     GENDER_KEYS, PROFILE_TYPE, TABLES,
@@ -139,6 +140,8 @@ class Shredded:
     gender: DataFrame
     social_class: DataFrame
     quarantine: DataFrame
+    #: J3 rows: the parsed event holds its own profile, so they need no join (J1 is for back-fills)
+    wide: DataFrame
 
     def tables(self) -> dict[str, DataFrame]:
         return {"age": self.age, "gender": self.gender, "social_class": self.social_class,
@@ -203,8 +206,12 @@ def shred(events: DataFrame, key_of, strict: bool = True) -> Shredded:
     geodata = good.select(
         F.col("__geodata_id").alias("id"), zero("impression_hour"), zero("location_id"), zero("uniques"),
         *[zero(c) for c in TEXT_COLUMNS], zero("numero"), F.col("__target_id").alias("target_id"))
+    shares = [bucket(dim, k).alias(c) for dim, (keys, cols) in DIM_KEYS.items() for k, c in zip(keys, cols)]
+    facts = [zero(c) for c in ("impression_hour", "location_id", "uniques", *TEXT_COLUMNS, "numero")]
+    view = good.select(F.col("__geodata_id").alias("id"), *facts, F.col("__target_id").alias("target_id"), *shares)
+    view = with_counts(view.withColumns({"latitude": try_double("latitude"), "longitude": try_double("longitude")}))
     return Shredded(geodata, target, dim_table("idade", "age"), dim_table("genero", "gender"),
-                    dim_table("classe_social", "social_class"), bad)
+                    dim_table("classe_social", "social_class"), bad, view)
 
 
 # ------------------------------------------------------------------ K2
@@ -220,9 +227,10 @@ def load_csv(spark: SparkSession, path: str, warehouse: str, mode: str = "bulk")
 
 
 def write_tables(sh: Shredded, warehouse: str, mode: str = "append", partition_col: str | None = None) -> None:
-    """The five tables in foreign-key order (dimensions first, geodata last)."""
-    for name in ["age", "gender", "social_class", "target", "geodata"]:
-        w = sh.tables()[name].write.mode(mode)
+    """The five tables in foreign-key order (dimensions first, geodata last), and
+    the wide view before geodata."""
+    for name, table in [*list(sh.tables().items())[:-1], ("enriched", sh.wide), ("geodata", sh.geodata)]:
+        w = table.write.mode(mode)
         if partition_col:
             w = w.partitionBy(partition_col)
         w.parquet(f"{warehouse.rstrip('/')}/{name}")

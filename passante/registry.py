@@ -571,8 +571,8 @@ QUERIES["joint_by_hour_filtered"] = (q_joint_filtered, _fixture_sql(
 
 def q_joint_invariant(spark, sf_dir):
     """Σ joint_count over the 96 rows of each event vs its uniques."""
-    j = B.joint_distribution(_en(spark, sf_dir), keep=["id", "uniques"])
-    per = j.groupBy("id", "uniques").agg(F.sum("joint_count").alias("s"), F.count(F.lit(1)).alias("k"))
+    per = _en(spark, sf_dir).select("uniques", B.joint_counts().alias("c")).select(
+        "uniques", F.size("c").cast("bigint").alias("k"), F.aggregate("c", F.lit(0.0), lambda total, x: total + x).alias("s"))
     return per.agg(F.count(F.lit(1)).alias("events"), F.min("k").alias("min_rows"), F.max("k").alias("max_rows"),
                    F.round(F.max(F.abs(F.col("s") - F.col("uniques"))), 6).alias("max_abs_diff"))
 
@@ -1002,6 +1002,17 @@ select reason, count(*) as n, cast(sum(case when reason = 'stored' and kind = 3
 from outcome left join fx_target t on outcome.target_id = t.id left join fx_age a on t.age_id = a.id group by reason"""))
 
 
+def q_stream_view(spark, sf_dir):
+    """J3 written by the stream itself -> compare by dominant age band, without a join."""
+    t, star = _ctx(spark, sf_dir)
+    root = scratch_path(spark, "stream-view")
+    WH.write_batch(fx_messages(t, star), 0, root)
+    return D.compare(WH.read_enriched(spark, root), "faixa_etaria", round_to=R6)
+
+
+QUERIES["stream_enriched_view"] = (q_stream_view, QUERIES["compare_age"][1])
+
+
 def q_archive_daily_flow(spark, sf_dir):
     """Messages -> enriched NDJSON archive (K3) -> partitioned scan (S4) ->
     Σuniques per day folder."""

@@ -113,7 +113,7 @@ def write_batch(batch: DataFrame, batch_id: int, warehouse: str) -> dict:
             "topic", "partition", "offset", "timestamp", "value", F.col("decode_error").alias("reason"))
         bad_profile = sh.quarantine.select("topic", "partition", "offset", "timestamp", "value", "reason")
         side = {"_quarantine": bad_json.unionByName(bad_profile), "_telemetry": batch_telemetry(dec)}
-        dims = {n: sh.tables()[n] for n in ["age", "gender", "social_class", "target"]}
+        dims = {n: sh.tables()[n] for n in ["age", "gender", "social_class", "target"]} | {"enriched": sh.wide}
 
         def put(item):
             name, df = item
@@ -152,6 +152,11 @@ def start_warehouse_stream(env_stream: DataFrame, warehouse: str, checkpoint: st
     return w.start()
 
 
+def read_enriched(spark: SparkSession, warehouse: str) -> DataFrame:
+    """J3 as the stream wrote it: the analytics on it need no join."""
+    return spark.read.parquet(f"{warehouse.rstrip('/')}/enriched").drop("batch_id")
+
+
 def read_warehouse(spark: SparkSession, warehouse: str):
     """The five tables written by the stream (batch folders unioned by
     partition discovery; the ``batch_id`` column is dropped)."""

@@ -9,7 +9,8 @@ FORBIDDEN = ["BatchEvalPython", "ArrowEvalPython", "PythonUDF", "CartesianProduc
              "BroadcastNestedLoopJoin", "FlatMapGroupsInPandas", "MapInPandas"]
 # these run a stream or write files while building their plan; covered elsewhere
 SIDE_EFFECTS = {"stream_warehouse_ingest", "archive_daily_flow", "live_location_hour_flow",
-                "live_latest_per_location", "ingest_csv_shred"}
+                "live_latest_per_location", "csv_lenient_roundtrip", "csv_bulk_load", "stream_quarantine",
+                "stream_enriched_view"}
 
 
 # the operators whose plans combine aggregates, joins, generators and top-k
@@ -27,6 +28,31 @@ def test_plan_has_no_udf_or_cross_join(spark, name):
     assert not [b for b in FORBIDDEN if b in plan], plan[:2000]
 
 
+@pytest.mark.parametrize("name", ["segment_grid", "segment_grid_gender", "embedding_centroid_topk", "campaign_topk_multi", "conversation_budget"])
+def test_ranks_are_limited_before_their_shuffles(spark, name):
+    """Both stages of a salted top-k keep k rows per task before they shuffle."""
+    from conftest import SF_SMALL
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = QUERIES[name][0](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    limits = [line for line in plan.splitlines() if "WindowGroupLimit" in line]
+    assert sum("Partial" in line for line in limits) >= 2, plan[:3000]
+
+
+def test_analytics_on_the_stored_view_need_no_join(spark, star, tmp_dir):
+    from passante.operators import bi as B
+    from passante.operators import demographics as D
+    from passante.operators import geo as G
+    from passante.plans.model import materialize_enriched
+    materialize_enriched(star, f"{tmp_dir}/j3")
+    j3 = spark.read.parquet(f"{tmp_dir}/j3")
+    for df in (D.compare(j3, "faixa_etaria"), B.peak_hour(j3), G.hexbin(D.point_rows(j3), 300.0)):
+        assert "Join" not in df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_materialized_view_pushdown(spark, star, tmp_dir):
     from passante.operators import campaign as C
     from passante.plans.model import materialize_enriched
