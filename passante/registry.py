@@ -18,7 +18,7 @@ from passante.operators import demographics as D
 from passante.operators.filters import GeoFilters
 from passante.plans.model import enriched, snowflake
 from passante.schemas import AGE_COLUMNS, AGE_FILTER_LABELS, CLASS_COLUMNS, CLASS_FILTER_LABELS
-from passante.session import apply_runtime_conf, checkpoint_dir
+from passante.session import apply_runtime_conf
 from passante.sources.fixtures import fixture_star
 from passante.sources.testdata import Tables
 
@@ -523,7 +523,7 @@ select min(lo) as domain_min, max(hi) as domain_max, count(*) as n_segments from
 # ---------------------------------------------------------------- BI: R1 R2 U1 A10-A17 N7 N10
 from passante.operators import bi as B  # noqa: E402
 from passante.schemas import (  # noqa: E402
-    AGE_COUNT_COLUMNS, CLASS_COUNT_COLUMNS, GENDER_COUNT_COLUMNS, JOINT_AGE_LABELS, JOINT_CLASS_LABELS,
+    JOINT_AGE_LABELS, JOINT_CLASS_LABELS,
     JOINT_GENDER_LABELS,
 )
 
@@ -787,9 +787,9 @@ def _hist_sql() -> str:
 QUERIES["lag_histogram"] = (q_lag_histogram, _fixture_sql(_hist_sql()))
 
 
-@register("lag_percentiles", "select round(quantile_cont(high_watermark - kafka_offset, 0.5), 6) as p50, "
-                             "round(quantile_cont(high_watermark - kafka_offset, 0.95), 6) as p95, "
-                             "round(quantile_cont(high_watermark - kafka_offset, 0.99), 6) as p99, "
+@register("lag_percentiles", "select round(quantile_disc(high_watermark - kafka_offset, 0.5), 6) as p50, "
+                             "round(quantile_disc(high_watermark - kafka_offset, 0.95), 6) as p95, "
+                             "round(quantile_disc(high_watermark - kafka_offset, 0.99), 6) as p99, "
                              "count(*) as messages from fx_envelope")
 def q_lag_percentiles(spark, sf_dir):
     t, _ = _ctx(spark, sf_dir)
