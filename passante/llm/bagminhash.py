@@ -17,12 +17,15 @@ Candidates are documents that agree in one of 25 bands of 5 registers (a pair
 at 0.8 is missed with a probability of 5e-5).  Equal word sequences are one node
 from the start.  Within a band bucket nobody compares all pairs: every member
 is verified against the bucket's leader, by the exact multisets; the members
-that are not similar to it go on among themselves (by leaders again, by pairs
-only when at most ``PAIRS_UP_TO`` are left).  What that leaves open is a link
-between a member a of the leader's cluster and a member b outside.  As 1 -
-similarity is a metric, it needs similarity(leader, b) >= 0.6 and
-similarity(leader, a) <= similarity(leader, b) + 0.2; such pairs of different
-components are verified too.  So no link between bucket mates is lost.
+that are not similar to it go on among themselves (by about 8 sqrt(n) leaders
+of n, by pairs only when at most ``PAIRS_UP_TO`` are left).  What that leaves
+open is a link between a member of the leader's cluster and a member b outside.
+As 1 - similarity is a metric, it needs similarity(leader, b) >= 0.6.  The
+registers of such a b are compared with those of the cluster, in blocks of
+``MEMBERS``, inside a task; the likeliest two of each block are verified first,
+and a b that this does not link is verified against all members whose registers
+agree in at least ``LIKELY`` of 125 (a pair at 0.8 is missed with a probability
+below 1e-6).  So no link between bucket mates is lost but for that chance.
 
 Defined cases: a text of one to four words is one shingle of all its words; a
 null text or one without words is in no group.  Repeated rows and equal texts
@@ -37,6 +40,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -50,7 +54,11 @@ SIMILARITY = 0.8
 BANDS, ROWS = 25, 5
 REGISTERS = BANDS * ROWS
 #: So many remaining members of a bucket are compared in pairs.
-PAIRS_UP_TO = 32
+PAIRS_UP_TO = 64
+#: Members of a cluster whose marks are compared in one block.
+MEMBERS = 512
+#: A pair at SIMILARITY agrees in a smaller share of its registers with a probability below 1e-6.
+LIKELY = 0.62
 
 _M1, _M2, _GOLD = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 _TABLE = np.random.Generator(np.random.Philox(10)).integers(0, 1 << 63, size=(32, 256), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -139,6 +147,11 @@ def band_keys(registers: np.ndarray) -> np.ndarray:
     return keys.view(np.int64)
 
 
+def register_marks(registers: np.ndarray) -> np.ndarray:
+    """16 bits of each register, enough to estimate a similarity."""
+    return (_mix(registers.view(np.uint64)) >> np.uint64(48)).astype(np.uint16)
+
+
 def word_digest(text: str) -> Column:
     """A 16-byte digest of the word sequence; null without words."""
     words = F.trim(F.regexp_replace(F.col(text), r"[\x20\x09-\x0D]+", " "))
@@ -152,14 +165,16 @@ def _nodes(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches):
             texts = batch.column("text").to_pylist()
-            keys = band_keys(signatures(*shingles(texts), len(texts)))
+            registers = signatures(*shingles(texts), len(texts))
+            keys = band_keys(registers)
             offsets = np.arange(0, keys.size + 1, BANDS, dtype=np.int32)
             bands = pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.reshape(-1)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), bands], ["node", "doc_id", "bands"])
+            marks = pa.array([m.tobytes() for m in register_marks(registers)], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), bands, marks], ["node", "doc_id", "bands", "marks"])
 
-    schema = StructType([StructField("node", BinaryType()), docs.schema["doc_id"], StructField("bands", ArrayType(LongType()))])
+    schema = StructType([StructField("node", BinaryType()), docs.schema["doc_id"], StructField("bands", ArrayType(LongType())), StructField("marks", BinaryType())])
     source = docs.select(word_digest("text").alias("node"), "doc_id", "text").where("node is not null")
-    return source.mapInArrow(run, schema).groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"))
+    return source.mapInArrow(run, schema).groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"), F.first("marks").alias("marks"))
 
 
 def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -184,29 +199,83 @@ class _Verifier:
         self.known: DataFrame | None = None
 
     def verify(self, pairs: DataFrame) -> None:
-        """Add the pairs (a, b) to ``known``: (a, b, similarity) where it is at
-        least LEAST."""
+        """Add the pairs {a, b} that are not yet there to ``known``: (a, b,
+        similarity) and (b, a, similarity) where it is at least LEAST."""
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             last, bag = None, None
             for batch in text_slices(batches, "text_b"):
                 out = []
                 for a, text_a, text_b in zip(batch.column("a").to_pylist(), batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist()):
-                    if a != last:
+                    if a != last:  # the join has sorted by a
                         last, bag = a, _bag(text_a)
                     out.append(weighted_jaccard(bag, _bag(text_b)))
                 yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(out, pa.float64())], ["a", "b", "similarity"])
 
+        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        if self.known is not None:
+            pairs = pairs.join(self.known.select("a", "b"), ["a", "b"], "left_anti")
         pairs = written(pairs, "bag-pairs")
         leaders = pairs.select("a").distinct().join(self.texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
         members = pairs.join(self.texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
         both = members.join(written(leaders, "bag-leaders"), "a").select("a", "b", "text_a", "text_b")
-        found = both.mapInArrow(run, "a binary, b binary, similarity double").where(F.col("similarity") >= self.LEAST - 1e-9)
-        found = written(found, "bag-similar")
+        found = written(both.mapInArrow(run, "a binary, b binary, similarity double").where(F.col("similarity") >= self.LEAST - 1e-9), "bag-similar")
+        found = found.union(found.select(F.col("b").alias("a"), F.col("a").alias("b"), "similarity"))
         self.known = found if self.known is None else self.known.union(found)
 
     def links(self) -> DataFrame:
-        return self.known.where(F.col("similarity") >= SIMILARITY).select(F.col("a").alias("u"), F.col("b").alias("v"))
+        return self.known.where((F.col("similarity") >= SIMILARITY) & (F.col("a") < F.col("b"))).select(F.col("a").alias("u"), F.col("b").alias("v"))
+
+
+def _block(group: pd.DataFrame) -> pd.DataFrame:
+    return pd.DataFrame({"a": [group["a"].iloc[0]], "members": [b"".join(group["node"])], "member_marks": [b"".join(group["marks"])]})
+
+
+def _alike(most: int | None):
+    """For each row of a node and a block of members: the members that its marks
+    agree with in a share of at least LIKELY, at most the ``most`` best."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in batches:
+            for row in part.itertuples(index=False):
+                own = np.frombuffer(row.marks, np.uint16)
+                share = (np.frombuffer(row.member_marks, np.uint16).reshape(-1, REGISTERS) == own).mean(axis=1)
+                chosen = np.flatnonzero(share >= LIKELY)
+                if most is not None:
+                    chosen = chosen[np.argsort(-share[chosen], kind="stable")[:most]]
+                if len(chosen):
+                    yield pd.DataFrame({"a": [row.a] * len(chosen), "out": [row.out] * len(chosen), "in": [row.members[16 * i:16 * i + 16] for i in chosen]})
+    return run
+
+
+def _links_to_outside(check: _Verifier, led: DataFrame, parts: DataFrame, marks: DataFrame) -> bool:
+    """Verify what may link a leader's cluster with bucket mates outside of it;
+    True if there was anything to verify."""
+    scored = led.select("a", "b").distinct().join(check.known, ["a", "b"])
+    named = lambda node, name: parts.select(F.col("node").alias(node), F.col("component").alias(name))
+    outside = (scored.where(F.col("similarity") < SIMILARITY)
+               .join(named("a", "of_a"), "a", "left").join(named("b", "of_b"), "b", "left")
+               .where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", F.col("b").alias("out")))
+    outside = written(outside.join(marks, F.col("out") == F.col("node")).select("a", "out", "marks"), "bag-outside")
+    if outside.isEmpty():
+        return False
+    inside = (scored.where(F.col("similarity") >= SIMILARITY).select("a", F.col("b").alias("node"))
+              .join(outside.select("a").distinct(), "a", "left_semi"))
+    sizes = written(inside.groupBy("a").agg(F.ceil(F.count("*") / MEMBERS).alias("parts")), "bag-sizes")
+    blocks = (inside.join(sizes, "a").join(marks, "node")
+              .select("a", "node", "marks", F.pmod(F.xxhash64("node"), F.col("parts")).alias("part"))
+              .groupBy("a", "part").applyInPandas(_block, "a binary, members binary, member_marks binary"))
+    blocks = written(blocks, "bag-blocks")
+    schema = "a binary, out binary, in binary"
+    pair = [F.col("in").alias("a"), F.col("out").alias("b")]
+    # the likeliest members first: one link joins a node to the cluster
+    first = written(outside.join(blocks, "a").mapInPandas(_alike(2), schema), "bag-likely")
+    check.verify(first.select(*pair))
+    linked = check.known.where(F.col("similarity") >= SIMILARITY).select(*[F.col(x).alias(y) for x, y in (("a", "in"), ("b", "out"))])
+    joined = first.join(linked, ["in", "out"], "left_semi").select("a", "out").distinct()
+    rest = written(outside.join(joined, ["a", "out"], "left_anti"), "bag-rest")
+    check.verify(rest.join(blocks, "a").mapInPandas(_alike(None), schema).select(*pair))
+    return True
 
 
 def _components(docs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -222,38 +291,31 @@ def _components(docs: DataFrame, nodes: DataFrame) -> DataFrame:
              .select("node", "text").dropDuplicates(["node"]))
     check = _Verifier(written(texts, "bag-texts"))
 
-    check.verify(led.select("a", "b").distinct())
-    all_led = led
+    check.verify(led.select("a", "b"))
+    all_led, turn = led, 0
     while True:
         near = check.known.where(F.col("similarity") >= SIMILARITY).select("a", "b")
-        loose = written(led.join(near, ["a", "b"], "left_anti").select("bucket", F.col("b").alias("node")), "bag-loose")
+        # members that no leader of their bucket attracts; leaders themselves are done
+        tied = led.join(near, ["a", "b"], "left_semi").select("bucket", F.col("b").alias("node")).union(led.select("bucket", F.col("a").alias("node"))).distinct()
+        loose = written(led.select("bucket", F.col("b").alias("node")).distinct().join(tied, ["bucket", "node"], "left_anti"), "bag-loose")
         heads = written(loose.groupBy("bucket").agg(F.min("node").alias("a"), F.count("*").alias("n")).where("n > 1"), "bag-heads")
         if heads.isEmpty():
             break
         few = loose.join(heads.where(F.col("n") <= PAIRS_UP_TO).select("bucket"), "bucket")
         pairs = (few.select("bucket", F.col("node").alias("a")).join(few.select("bucket", F.col("node").alias("b")), "bucket")
                  .where("a < b").select("a", "b"))
-        led = written(loose.join(heads.where(F.col("n") > PAIRS_UP_TO).select("bucket", "a"), "bucket").where("node <> a")
-                      .select("bucket", "a", F.col("node").alias("b")), "bag-entries")
-        check.verify(pairs.union(led.select("a", "b")).distinct().join(check.known.select("a", "b"), ["a", "b"], "left_anti"))
+        # a larger bucket has about 8 sqrt(n) leaders, others in each round, and its least member as one
+        many = loose.join(heads.where(F.col("n") > PAIRS_UP_TO), "bucket")
+        turn += 1
+        chance = F.pmod(F.xxhash64(F.lit(turn), "bucket", "node"), F.ceil(F.sqrt("n") / 8)) == 0
+        leaders = written(many.where((F.col("node") == F.col("a")) | chance).select("bucket", F.col("node").alias("a")), "bag-leaders")
+        led = written(loose.join(leaders, "bucket").where("node <> a").select("bucket", "a", F.col("node").alias("b")), "bag-entries")
+        check.verify(pairs.union(led.select("a", "b")))
         all_led = all_led.union(led)
     parts = written(connected_components(check.links()), "bag-components")
 
-    # links between a leader's cluster and bucket mates outside it
-    scored = all_led.join(check.known, ["a", "b"])
-    named = lambda node, name: parts.select(F.col("node").alias(node), F.col("component").alias(name))
-    outside = (scored.where(F.col("similarity") < SIMILARITY)
-               .join(named("a", "of_a"), "a", "left").join(named("b", "of_b"), "b", "left")
-               .where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b"))
-               .select("bucket", "a", F.col("b").alias("out"), F.col("similarity").alias("s_out")))
-    inside = scored.where(F.col("similarity") >= SIMILARITY).select("bucket", "a", F.col("b").alias("in"), F.col("similarity").alias("s_in"))
-    open_pairs = (written(outside, "bag-outside").join(inside, ["bucket", "a"]).where(F.col("s_in") <= F.col("s_out") + (1 - SIMILARITY) + 1e-9)
-                  .select(F.least("in", "out").alias("a"), F.greatest("in", "out").alias("b")).distinct()
-                  .join(check.known.select("a", "b"), ["a", "b"], "left_anti"))
-    open_pairs = written(open_pairs, "bag-open")
-    if open_pairs.isEmpty():
+    if not _links_to_outside(check, all_led, parts, nodes.select("node", "marks")):
         return parts
-    check.verify(open_pairs)
     return connected_components(check.links())
 
 
