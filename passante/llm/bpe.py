@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 
-from passante.llm.common import local_file, text_slices
+from passante.llm.common import local_file, text_slices, written
 
 #: Words the automaton holds at most.
 LEXICON_SIZE = 150_000
@@ -320,8 +320,18 @@ def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def build_lexicon(docs: DataFrame, vocabulary: Vocabulary, text: str = "text",
                   lexicon_size: int = LEXICON_SIZE) -> bytes:
-    """Compile the ``lexicon_size`` most frequent words of the corpus (ties by word)."""
-    top = (word_counts(docs, text).orderBy(F.desc("n"), "word").limit(lexicon_size).select("word").collect())
+    """Compile the most frequent words of the corpus: all words above the count
+    that keeps them within ``lexicon_size``."""
+    counts = written(word_counts(docs, text), "bpe-words")
+    # words by their count: the driver reads the table only down to the bound
+    above, least = 0, None
+    for r in counts.groupBy("n").agg(F.count("*").alias("words")).orderBy(F.desc("n")).toLocalIterator():
+        if above + r.words > lexicon_size:
+            break
+        above, least = above + r.words, r.n
+    if least is None:
+        return compile_lexicon([])
+    top = counts.where(F.col("n") >= least).select("word").toLocalIterator()
     return compile_lexicon((r.word, vocabulary.merge(r.word)) for r in top)
 
 
