@@ -37,6 +37,36 @@ def test_held_out_accuracy(corpus):
     assert np.mean([i in kept for i in unseen if i % 5]) > 0.97
 
 
+def test_toxic_passages_of_long_texts_are_left_out(spark):
+    rude = [f"rude{k}" for k in range(10)]
+
+    def text(i):
+        out, rnd = good_text(i, 200).split(), random.Random(i)
+        at = rnd.randrange(170)
+        for k in range(3 if i % 8 == 0 else 0):
+            out.insert(at + 9 * k, rnd.choice(rude))
+        return " ".join(out)
+
+    table = docs(spark, [(i, text(i)) for i in range(1600)])
+    fitted = importance.Resampler(table, labels(spark, [(i, 1, int(i % 8 == 0)) for i in range(1200)]))
+    kept = {r.doc_id for r in fitted.sampled_scores().collect()}
+    assert kept == {r.doc_id for r in fitted.resample(table).collect()}
+    unseen = range(1200, 1600)
+    assert np.mean([i in kept for i in unseen if i % 8 == 0]) < 0.1
+    assert np.mean([i in kept for i in unseen if i % 8]) > 0.97
+
+
+def test_worst_passage_equals_a_plain_scan():
+    rnd, n = np.random.default_rng(1), importance.PASSAGE
+    sizes = [0, 1, n - 1, n, n + 1, 0, 5 * n, 3, 0]
+    parts = [rnd.normal(size=k) for k in sizes]
+    want = [min((float(p[i:i + n].sum()) for i in range(max(1, len(p) - n + 1))), default=0.0) for p in parts]
+    got = importance.worst_passages(np.repeat(np.arange(len(sizes)), sizes), np.concatenate(parts), len(sizes))
+    assert got == pytest.approx(want)
+    alone = [importance.worst_passages(np.zeros(len(p), np.int64), p, 1)[0] for p in parts]
+    assert got.tolist() == alone
+
+
 def test_top_k_equals_sorting(corpus):
     table, marks = corpus
     fitted = importance.Resampler(table, marks, k=100)
