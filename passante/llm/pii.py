@@ -9,7 +9,7 @@ joined again.
 
 Kinds: payment card numbers of 13 to 19 digits with a right check digit (the
 digits before it are permuted, the check digit is computed anew), North
-American telephone numbers, IPv4 addresses, social security numbers, calendar
+American telephone numbers (any area; those that begin with 0 among themselves), IPv4 addresses, social security numbers, calendar
 dates of 1900 to 2099, local parts of mail addresses and the values of keys,
 tokens and passwords.  A number or date that fails its validation stays.
 
@@ -38,7 +38,7 @@ _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 _SECRET_NAME = r"(?:password|passwd|pwd|token|secret|api_?key)"
 PATTERNS = {
     "mail": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9](?:[A-Za-z0-9-]{0,62}\.)+[A-Za-z]{2,24}",
-    "phone": r"(?<![\w+])\+1[ .-]?(?:\([1-9]\d\d\)|[1-9]\d\d)[ .-]?[2-9]\d\d[ .-]?\d{4}(?!\d)",
+    "phone": r"(?<![\w+])\+1[ .-]?(?:\(\d{3}\)|\d{3})[ .-]?[2-9]\d\d[ .-]?\d{4}(?!\d)",
     "ip": rf"(?<![\w.]){_OCTET}(?:\.{_OCTET}){{3}}(?![\w]|\.\d)",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
     "date": r"(?<![\w/-])(?:(?:19|20)\d\d(?:-\d\d-\d\d|/\d\d/\d\d)|\d\d\.\d\d\.(?:19|20)\d\d|\d\d/\d\d/(?:19|20)\d\d)(?![\w/-])",
@@ -106,10 +106,12 @@ def _card(m: str, key: str) -> str:
 
 
 def _phone(m: str, key: str) -> str:
-    # area 100-999: 900 values; exchange 200-999: 800; line: 10 000; as (area, first half of line) x (exchange, second half)
-    pair = permute_number("(cast(substr(d, 2, 3) as bigint) - 100) * 100 + cast(substr(d, 8, 2) as bigint)",
-                          "(cast(substr(d, 5, 3) as bigint) - 200) * 100 + cast(substr(d, 10, 2) as bigint)", "90000", "80000", key, "phone")
-    digits = ("concat('1', cast(x.l div 100 + 100 as string), cast(x.r div 100 + 200 as string), "
+    # area 100-999: 900 values, 000-099: 100 values, each among themselves; exchange 200-999: 800; line: 10 000;
+    # as (area, first half of line) x (exchange, second half)
+    first, areas = "if(substr(d, 2, 1) = '0', 0, 100)", "if(substr(d, 2, 1) = '0', 10000, 90000)"
+    pair = permute_number(f"(cast(substr(d, 2, 3) as bigint) - {first}) * 100 + cast(substr(d, 8, 2) as bigint)",
+                          "(cast(substr(d, 5, 3) as bigint) - 200) * 100 + cast(substr(d, 10, 2) as bigint)", areas, "80000", key, "phone")
+    digits = (f"concat('1', lpad(cast(x.l div 100 + {first} as string), 3, '0'), cast(x.r div 100 + 200 as string), "
               "lpad(cast(x.l % 100 as string), 2, '0'), lpad(cast(x.r % 100 as string), 2, '0'))")
     return _with("y", _with("d", f"regexp_replace({m}, '[^0-9]', '')", _with("x", pair, digits)), refilled(m, "y"))
 
