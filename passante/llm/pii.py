@@ -11,12 +11,14 @@ Kinds: payment card numbers of 13 to 19 digits with a right check digit (the
 digits before it are permuted, the check digit is computed anew), North
 American telephone numbers (any area; those that begin with 0 among themselves), IPv4 addresses, social security numbers, calendar
 dates of 1900 to 2099, local parts of mail addresses and the values of keys,
-tokens and passwords.  A number or date that fails its validation stays.
+tokens and passwords (six characters or more, of any length; in quotes up to the
+closing quote, else up to white space).  A number or date that fails its validation stays.
 
 Numbers: a generalised Feistel network over Z_a x Z_b with a * b the exact
 number of values, so no value leaves the format.  Strings: the two halves are
 shifted in turn, each character within its class (digits, lower case, upper
-case; hexadecimal strings within their sixteen digits).
+case; hexadecimal strings within their sixteen digits); marks and letters beyond
+ASCII stay.
 
 Defined cases: a null text stays null, an empty one empty; texts of any length
 are handled in one pass; rows are independent, so repeated rows give repeated
@@ -30,12 +32,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ROUNDS = 10
+#: A longer half of a string enters the round's hash as a digest, so that long strings take linear time.
+LONG_HALF = 64
 
 # What a date's two factors (Z_319 x Z_229 = 73 049 days from 1900-01-01 to 2099-12-31) come from.
 DATE_A, DATE_B, FIRST_DAY = 319, 229, "1900-01-01"
 
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 _SECRET_NAME = r"(?:password|passwd|pwd|token|secret|api_?key)"
+_SECRET_HEAD = rf"(?i:{_SECRET_NAME})[\x22\x27]?\s{{0,4}}[=:]\s{{0,4}}"
+# at least six characters: in quotes up to the closing one on the line, else up to white space or a quote, without marks at the end
+_SECRET_VALUE = ("(?:" + "|".join(rf"{q}(?!.{{0,5}}(?<!\\){q})(?=.{{6,}}?(?<!\\){q}).*?(?=(?<!\\){q})" for q in (r"\x22", r"\x27"))
+                 + r"|[\x22\x27]?(?=[^\s\x22\x27]{6})[^\s\x22\x27]*[\p{L}\p{N}+/_.-])")
 PATTERNS = {
     "mail": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9](?:[A-Za-z0-9-]{0,62}\.)+[A-Za-z]{2,24}",
     "phone": r"(?<![\w+])\+1[ .-]?(?:\(\d{3}\)|\d{3})[ .-]?[2-9]\d\d[ .-]?\d{4}(?!\d)",
@@ -44,7 +52,7 @@ PATTERNS = {
     "date": r"(?<![\w/-])(?:(?:19|20)\d\d(?:-\d\d-\d\d|/\d\d/\d\d)|\d\d\.\d\d\.(?:19|20)\d\d|\d\d/\d\d/(?:19|20)\d\d)(?![\w/-])",
     "card": r"(?<![\w-])(?:\d{4}([ -])\d{4}\1\d{4}\1\d{4}|\d{13,19})(?![\w])",
     "key": r"(?<!\w)AKIA[0-9A-Z]{16}(?!\w)",
-    "secret": rf"(?i:(?<![A-Za-z]){_SECRET_NAME})\s{{0,4}}[=:]\s{{0,4}}[\x22']?[A-Za-z0-9+/_.-]{{6,128}}",
+    "secret": rf"(?<![A-Za-z]){_SECRET_HEAD}{_SECRET_VALUE}",
 }
 PATTERN = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: Only a text with one of these can hold a value.
@@ -68,19 +76,22 @@ def permute_number(high: str, low: str, a: str, b: str, key: str, tweak: str) ->
 
 def permute_string(value: str, key: str, tweak: str) -> str:
     """SQL of a string whose characters are shifted within their classes."""
-    classes = f"""case when {value} rlike '^[0-9a-f]+$' and {value} rlike '[a-f]' then '0123456789abcdef'
+    classes = """case when hex then '0123456789abcdef'
       when c between '0' and '9' then '0123456789' when c between 'a' and 'z' then 'abcdefghijklmnopqrstuvwxyz'
       when c between 'A' and 'Z' then 'ABCDEFGHIJKLMNOPQRSTUVWXYZ' else c end"""
 
     def mixed(half: str, other: str) -> str:
-        shift = _hash(key, tweak, "i * 1000 + p", other)
-        return (f"array_join(transform(regexp_extract_all({half}, '(?s).', 0), (c, p) -> "
-                f"substr({classes}, cast((instr({classes}, c) - 1 + {shift}) % length({classes}) + 1 as int), 1)), '')")
+        shift = _hash(key, tweak, rounds, "w")
+        return _with("w", f"if(length({other}) > {LONG_HALF}, sha2({other}, 256), {other})",
+                     f"array_join(transform(regexp_extract_all({half}, '(?s).', 0), (c, p) -> "
+                     f"substr({classes}, cast((instr({classes}, c) - 1 + {shift}) % length({classes}) + 1 as int), 1)), '')")
 
-    return f"""aggregate(sequence(0, {ROUNDS - 1}),
+    rounds = f"if(length({value}) > {2 * LONG_HALF}, concat(i, '.', p), cast(i * 1000 + p as string))"  # p may pass 1000
+    whole = f"""aggregate(sequence(0, {ROUNDS - 1}),
       named_struct('l', substr({value}, 1, cast(length({value}) div 2 as int)), 'r', substr({value}, cast(length({value}) div 2 as int) + 1)),
       (s, i) -> if(i % 2 = 0, named_struct('l', {mixed('s.l', 's.r')}, 'r', s.r), named_struct('l', s.l, 'r', {mixed('s.r', 's.l')})),
       s -> concat(s.l, s.r))"""
+    return _with("hex", f"{value} rlike '^[0-9a-f]+$' and {value} rlike '[a-f]'", whole)
 
 
 def _with(name: str, value: str, then: str) -> str:
@@ -150,7 +161,7 @@ def _key(m: str, key: str) -> str:
 
 
 def _secret(m: str, key: str) -> str:
-    value = rf"regexp_extract({m}, r'[A-Za-z0-9+/_.-]{{6,128}}\z', 0)"
+    value = rf"regexp_replace({m}, r'^{_SECRET_HEAD}[\x22\x27]?', '')"
     return _with("v", value, f"concat(substr({m}, 1, length({m}) - length(v)), {permute_string('v', key, 'secret')})")
 
 
@@ -158,7 +169,7 @@ def pseudonym(m: str, key: str) -> str:
     """SQL of the pseudonym of one value that :data:`PATTERN` has found."""
     return rf"""case
       when {m} rlike r'^AKIA[0-9A-Z]{{16}}\z' then {_key(m, key)}
-      when {m} rlike r'^(?i:{_SECRET_NAME})\s*[=:]' then {_secret(m, key)}
+      when {m} rlike r'^{_SECRET_HEAD}' then {_secret(m, key)}
       when instr({m}, '@') > 0 then {_mail(m, key)}
       when startswith({m}, '+') then {_phone(m, key)}
       when {m} rlike r'^\d{{1,3}}(?:[.]\d{{1,3}}){{3}}\z' then {_ip(m, key)}

@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 
 import pytest
@@ -87,6 +88,25 @@ def test_numbers_without_a_valid_form_stay(spark):
     assert run(spark, texts) == texts
 
 
+def test_whole_values_of_secrets_are_replaced(spark):
+    rnd = random.Random(1)
+    jwt = "".join(rnd.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789_-") for _ in range(240))
+    long = "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(20_000))
+    shapes = ["token={}", 'password="{}"', '{{"user": "x", "password": "{}", "n": 1}}', "pwd: '{}' and", "api_key={}, next", "secret = {}\nline"]
+    values = [jwt, "p@ss!word1", "abcde!fghij", long]
+    cases = [(shape, v) for v in values for shape in shapes] + [(shape, 'my long\\"er pass phrase') for shape in shapes[1:3]]
+    new = {}
+    for (shape, v), got in zip(cases, run(spark, [shape.format(v) for shape, v in cases])):
+        head, tail = shape.format("\0").split("\0")
+        assert got.startswith(head) and got.endswith(tail), got[:300]
+        out = got[len(head):len(got) - len(tail)]
+        assert len(out) == len(v) and re.sub(r"\w", "", out) == re.sub(r"\w", "", v)
+        same = [a == b for a, b in zip(out, v) if a.isalnum()]
+        assert sum(same) <= max(3, 0.1 * len(same))
+        assert new.setdefault(v, out) == out
+        assert not any(v[k:k + 12] in out for k in range(max(1, len(v) - 11)))
+
+
 def test_permutation_has_no_collisions(spark):
     texts = [f"2000-01-{d:02d}" for d in range(1, 32)] + [f"10.0.0.{i}" for i in range(256)]
     assert len(set(run(spark, texts))) == len(texts)
