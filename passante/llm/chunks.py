@@ -16,8 +16,9 @@ than 50 words that two documents share holds such a run, as at most the two
 chunks at its ends are cut off.
 
 Defined cases: null and empty texts have no chunks.  Repeats inside one document
-are not reported.  Rows that share an id (or have none) are one document.  An
-empty table gives an empty result.  Further columns are not read by ``repeats``;
+are not reported.  Rows that share id (null or not) and text are one document;
+other texts under the same id are documents of their own, told apart by a 64-bit
+hash of the text.  An empty table gives an empty result.  Further columns are not read by ``repeats``;
 ``without_repeats`` keeps all columns (working columns begin with ``__cdc``).
 """
 
@@ -30,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, IntegerType, StructField, StructType
+from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
 
 from passante.llm.common import text_slices, written
 
@@ -124,45 +125,54 @@ def chunk_rows(texts: list[str | None]) -> tuple[np.ndarray, ...]:
 
 
 def chunks(docs: DataFrame) -> DataFrame:
-    """(doc_id, number, start, end, words, digest) of all chunks of all texts."""
+    """(doc_id, text_key, number, start, end, words, digest) of all chunks of all texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, max_bytes=1 << 20):
             owner, *numbers, digests = chunk_rows(batch.column("text").to_pylist())
-            columns = [batch.column(0).take(pa.array(owner)), *(pa.array(x.astype(np.int32)) for x in numbers), pa.array(digests, pa.binary())]
+            columns = [*(batch.column(k).take(pa.array(owner)) for k in (0, 1)), *(pa.array(x.astype(np.int32)) for x in numbers), pa.array(digests, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, [f.name for f in schema])
 
-    schema = StructType([docs.schema["doc_id"], *(StructField(n, IntegerType()) for n in ("number", "start", "end", "words")), StructField("digest", BinaryType())])
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    schema = StructType([docs.schema["doc_id"], StructField("text_key", LongType()), *(StructField(n, IntegerType()) for n in ("number", "start", "end", "words")), StructField("digest", BinaryType())])
+    return docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text").mapInArrow(run, schema)
 
 
-def repeats(docs: DataFrame, run_words: int = RUN_WORDS) -> DataFrame:
-    """(doc_id, start, end, words, first_doc_id, is_first): the stretches of text
-    that are repeated in another document, as parts of runs of at least
-    ``run_words`` words; is_first: no document with a smaller id has them."""
+def _spans(docs: DataFrame, run_words: int) -> DataFrame:
+    """:func:`repeats` with the ``text_key`` of the document."""
     # a null id counts as the smallest
     found = written(chunks(docs), "cdc-chunks")
-    shared = found.groupBy("digest").agg(F.min(F.struct(F.col("doc_id").isNotNull(), "doc_id")).alias("low"), F.max(F.struct(F.col("doc_id").isNotNull(), "doc_id")).alias("high"))
-    shared = written(shared.where("low <> high").select("digest", F.col("low.doc_id").alias("first_doc_id")), "cdc-shared")
-    marked = (found.join(shared, "digest").select("doc_id", "number", "start", "end", "words", "first_doc_id").dropDuplicates(["doc_id", "number"])
-              .withColumn("is_first", F.col("doc_id").eqNullSafe(F.col("first_doc_id"))))
-    run = F.col("number") - F.row_number().over(Window.partitionBy("doc_id").orderBy("number"))
+    document = F.struct(F.col("doc_id").isNotNull().alias("named"), "doc_id", "text_key")
+    shared = found.groupBy("digest").agg(F.min(document).alias("low"), F.max(document).alias("high")).where("low <> high")
+    shared = written(shared.select("digest", F.col("low.doc_id").alias("first_doc_id"), F.col("low.text_key").alias("first_key")), "cdc-shared")
+    own = ["doc_id", "text_key"]
+    first = F.col("doc_id").eqNullSafe(F.col("first_doc_id")) & (F.col("text_key") == F.col("first_key"))
+    marked = (found.join(shared, "digest").select(*own, "number", "start", "end", "words", "first_doc_id", first.alias("is_first"))
+              .dropDuplicates([*own, "number"]))
+    run = F.col("number") - F.row_number().over(Window.partitionBy(*own).orderBy("number"))
     runs = marked.withColumn("run", run)
-    runs = runs.withColumn("run_words", F.sum("words").over(Window.partitionBy("doc_id", "run"))).where(F.col("run_words") >= run_words)
-    part = F.col("number") - F.row_number().over(Window.partitionBy("doc_id", "run", "is_first").orderBy("number"))
-    return (runs.withColumn("part", part).groupBy("doc_id", "run", "is_first", "part")
+    runs = runs.withColumn("run_words", F.sum("words").over(Window.partitionBy(*own, "run"))).where(F.col("run_words") >= run_words)
+    part = F.col("number") - F.row_number().over(Window.partitionBy(*own, "run", "is_first").orderBy("number"))
+    return (runs.withColumn("part", part).groupBy(*own, "run", "is_first", "part")
             .agg(F.min("start").alias("start"), F.max("end").alias("end"), F.sum("words").alias("words"), F.min("first_doc_id").alias("first_doc_id"))
-            .select("doc_id", "start", "end", "words", "first_doc_id", "is_first"))
+            .select(*own, "start", "end", "words", "first_doc_id", "is_first"))
+
+
+def repeats(docs: DataFrame, run_words: int = RUN_WORDS) -> DataFrame:
+    """(doc_id, start, end, words, first_doc_id, is_first): the stretches of text
+    that are repeated in another document, as parts of runs of at least
+    ``run_words`` words; is_first: no document with a smaller id (or, under the
+    same id, a smaller text hash) has them."""
+    return _spans(docs, run_words).drop("text_key")
 
 
 def without_repeats(docs: DataFrame, run_words: int = RUN_WORDS) -> DataFrame:
     """``docs`` with every repeated stretch cut out of all documents but its first."""
-    spans = (repeats(docs, run_words).where(~F.col("is_first")).groupBy(F.col("doc_id").alias("__cdc_id"))
+    spans = (_spans(docs, run_words).where(~F.col("is_first")).groupBy(F.col("doc_id").alias("__cdc_id"), F.col("text_key").alias("__cdc_key"))
              .agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("__cdc_spans")))
     columns = [F.col(f"`{c}`") for c in docs.columns]
     pieces = F.expr("""transform(sequence(0, size(__cdc_spans)), i -> substring(text,
       if(i = 0, 0, __cdc_spans[i - 1].end) + 1,
       if(i = size(__cdc_spans), length(text), __cdc_spans[i].start) - if(i = 0, 0, __cdc_spans[i - 1].end)))""")
-    joined = docs.join(spans, F.col("doc_id").eqNullSafe(F.col("__cdc_id")), "left")
+    joined = docs.join(spans, F.col("doc_id").eqNullSafe(F.col("__cdc_id")) & (F.xxhash64(F.col("text")) == F.col("__cdc_key")), "left")
     cut = F.when(F.col("__cdc_spans").isNull(), F.col("text")).otherwise(F.array_join(pieces, ""))
     return joined.withColumn("text", cut).select(*columns)

@@ -264,6 +264,24 @@ def test_repeated_passages_are_found_and_clean_documents_are_not(spark):
     assert chunks.repeats(docs(spark, [])).count() == 0
 
 
+def test_texts_that_share_an_id_are_told_apart(spark):
+    passages = [words(600 + k, 90) for k in range(3)]
+    rows = [(1, f"{words(700, 30)} {passages[0]}"), (2, f"{words(701, 60)} {passages[1]}"), (3, words(702, 120))]
+    rows += [(9, f"{words(710, 40)} {passages[0]} {words(711, 25)}"), (9, f"{words(712, 200)} {passages[1]}"), (9, words(713, 300))]
+    rows += [(None, f"{words(720, 15)} {passages[2]}"), (None, f"{words(721, 70)} {passages[2]}"), (None, words(722, 300)), (None, words(722, 300))]
+    got = {}
+    for r in chunks.without_repeats(docs(spark, rows)).collect():
+        got.setdefault(r.doc_id, []).append(r.text)
+    for i, text in rows[:3]:
+        assert got[i] == [text]
+    shorter = {i: sorted(t for t in got[i] if t not in [x for j, x in rows if j == i]) for i in (9, None)}
+    assert len(shorter[9]) == 2 and len(shorter[None]) == 1
+    assert got[9].count(rows[5][1]) == 1 and got[None].count(rows[8][1]) == 2
+    for begin, end, k in ((words(710, 40), words(711, 25), 0), (words(712, 200), "", 1)):
+        cut = next(t for t in shorter[9] if t.startswith(begin))
+        assert cut.endswith(end) and len(cut) < len(f"{begin} {end}") + 200 < len(f"{begin} {passages[k]} {end}")
+
+
 def test_pipeline_end_to_end(spark):
     sf = "/root/testdata/sf0.001"
     table = spark.read.parquet(f"{sf}/documents.parquet")
