@@ -11,9 +11,10 @@ Cuts move to the next character boundary.
 Chunks are compared by a 128-bit digest.  Digests are grouped (and counted
 before the shuffle), those found in two documents or more are joined back to
 their occurrences, and neighbouring repeated chunks of a document are joined
-into runs.  A run of at least ``RUN_WORDS`` words is reported: a passage of more
-than 50 words that two documents share holds such a run, as at most the two
-chunks at its ends are cut off.
+into runs.  A run of at least ``RUN_WORDS`` words is reported.  A passage of more
+than 50 words that two documents share mostly holds such a run, but this is not
+guaranteed: about 125 bytes at its ends are cut off, and a periodic passage has
+cuts that depend on what stands before it.
 
 Defined cases: null and empty texts have no chunks.  Repeats inside one document
 are not reported.  Rows that share id (null or not) and text are one document;
