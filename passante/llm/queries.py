@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from passante.llm import bagminhash, bpe, chunks, embedding_pairs, impact_search, importance, mixing, pii, urlfilter, warc
+from passante.llm import bagminhash, bpe, chunks, embedding_pairs, fim, impact_search, importance, merkle, mixing, pii, toxicity, urlfilter, warc
 from passante.llm.common import read_table
 
 #: Folder of the vocabulary files (a parameter; the files are not part of the repository).
@@ -135,3 +135,81 @@ def q_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op4_gear_chunks")
 def q_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunks.repeats(read_table(spark, sf_dir, "documents"))
+
+
+@register("op11_nonnegative_pu")
+def q_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fold = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(3))
+    model = toxicity.Classifier(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"), learn=F.coalesce(fold != 1, F.lit(True)))
+    return model.scores().select("doc_id", F.coalesce(fold == 1, F.lit(False)).alias("held_out"), "score",
+                                 (F.col("score") >= toxicity.TOXIC).cast("int").alias("predicted"))
+
+
+_MERKLE_SQL = r"""
+with recursive rows_ as (
+  select *, coalesce(octet_length(encode(doc_id::varchar)) || ':' || doc_id, '-') || coalesce(octet_length(encode(source)) || ':' || source, '-')
+    || coalesce(octet_length(encode(lang)) || ':' || lang, '-') || coalesce(octet_length(encode(n_chars::varchar)) || ':' || n_chars, '-') as fields,
+    replace(text, chr(10), '') as cut from documents),
+leaves as (select doc_id, source, sha256(fields || coalesce(octet_length(encode(text)) || ':' || text, '-')) as leaf,
+  sha256(fields || coalesce(octet_length(encode(cut)) || ':' || cut, '-')) as cut_leaf, row_number() over () as row_no from rows_),
+crc(byte, value) as (select b, list_reduce(list_prepend(b, range(8)), lambda c, i: case when c % 2 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)
+  from (select unnest(range(256)) as b)),
+crc_table as (select list(value order by byte) as t from crc),
+placed as (select doc_id, source, leaf, row_no,
+  case when xor(list_reduce(list_prepend(4294967295, list_transform(range(length(doc_id::varchar)), lambda i: ascii(substr(doc_id::varchar, i + 1, 1))::bigint)),
+    lambda c, b: xor(c >> 8, t[xor(c, b) % 256 + 1])), 4294967295) % 2 = 0 then cut_leaf else leaf end as claimed,
+  row_number() over (partition by source order by doc_id nulls first, leaf, row_no) - 1 as idx, count(*) over (partition by source) as n from leaves, crc_table),
+nodes as (select 0 as level, source, idx, n, leaf as h from placed
+  union all select level + 1, source, idx // 3, (n + 2) // 3, sha256(string_agg(h, '' order by idx)) from nodes where n > 1 group by level, source, idx // 3, n),
+subroots as (select source, h as subroot, row_number() over (order by source nulls first) - 1 as idx, count(*) over () as n from nodes where n = 1),
+tops as (select 0 as level, idx, n, subroot as h from subroots
+  union all select level + 1, idx // 3, (n + 2) // 3, sha256(string_agg(h, '' order by idx)) from tops where n > 1 group by level, idx // 3, n),
+up as (select row_no, source, 0 as level, idx, n, claimed as h, '' as proof from placed
+  union all select w.row_no, w.source, w.level + 1, w.idx // 3, (w.n + 2) // 3, sha256(string_agg(case when x.idx = w.idx then w.h else x.h end, '' order by x.idx)),
+    any_value(w.proof) || string_agg(case when x.idx = w.idx then '' else x.h end, '' order by x.idx)
+  from up w join nodes x on x.level = w.level and x.source is not distinct from w.source and x.idx // 3 = w.idx // 3
+  where w.n > 1 group by w.row_no, w.source, w.level, w.idx, w.n),
+over_ as (select u.row_no, u.source, 0 as level, s.idx, s.n, u.h, u.proof from up u join subroots s on u.source is not distinct from s.source where u.n = 1
+  union all select w.row_no, w.source, w.level + 1, w.idx // 3, (w.n + 2) // 3, sha256(string_agg(case when x.idx = w.idx then w.h else x.h end, '' order by x.idx)),
+    any_value(w.proof) || string_agg(case when x.idx = w.idx then '' else x.h end, '' order by x.idx)
+  from over_ w join tops x on x.level = w.level and x.idx // 3 = w.idx // 3 where w.n > 1 group by w.row_no, w.source, w.level, w.idx, w.n)
+select p.doc_id, p.leaf, s.subroot, r.h as root, sha256(o.proof) as proof_sha256, o.h as folded_root, o.h = r.h as verified
+from placed p join over_ o on p.row_no = o.row_no and o.n = 1 join subroots s on p.source is not distinct from s.source
+cross join (select h from tops where n = 1) r
+"""
+
+
+@register("op12_sibling_shift", _MERKLE_SQL)
+def q_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    text = F.when(tampered, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    claimed = merkle.leaf_hash([text if c == "text" else F.col(c) for c in merkle.COLUMNS])
+    manifest = merkle.Manifest(docs, carried={"claimed": claimed})
+    root, proof = F.lit(manifest.root), F.col("proof")
+    return (manifest.proofs()
+            .select(F.col("place").alias("doc_id"), "leaf", "subroot", root.alias("root"), F.sha2(merkle.proof_text(proof), 256).alias("proof_sha256"),
+                    merkle.folded(F.col("claimed"), proof).alias("folded_root"))
+            .withColumn("verified", F.col("folded_root") == F.col("root")))
+
+
+_FIM_SQL = r"""
+with cut as (select doc_id, coalesce(text, '') as t, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') as lines,
+  sha256('7:' || coalesce(doc_id::varchar, '')) as d from documents),
+drawn as (select doc_id, t, lines, len(lines)::bigint as n, list_transform(range(4), lambda i: ('0x' || substr(d, i * 8 + 1, 8))::bigint) as h from cut),
+ranked as (select *, least(h[1] % (n + 1), h[2] % (n + 1)) as a, greatest(h[1] % (n + 1), h[2] % (n + 1)) as b,
+  case when t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') then 'plain' when h[4] % 100 < 50 then 'spm' else 'psm' end as form from drawn),
+parts as (select *, array_to_string(lines[1:a], '') as p, array_to_string(lines[a + 1:b], '') as m, array_to_string(lines[b + 1:], '') as s from ranked)
+select doc_id, n, form, case when form <> 'plain' then length(p)::bigint end as prefix_chars, case when form <> 'plain' then length(m)::bigint end as middle_chars,
+  sha256(case form when 'plain' then t when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m else '<S>' || s || '<P>' || p || '<M>' || m end) as output_sha256,
+  sha256(t) as restored_sha256
+from parts
+"""
+
+
+@register("op13_skip_list_fim", _FIM_SQL)
+def q_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fim.transform(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", F.col("fim_n").alias("n"), F.col("fim_form").alias("form"), F.col("fim_prefix_chars").alias("prefix_chars"),
+                      F.col("fim_middle_chars").alias("middle_chars"), F.sha2("fim_text", 256).alias("output_sha256"),
+                      F.sha2(fim.restored(), 256).alias("restored_sha256"))
