@@ -68,3 +68,24 @@ def rate_panel(records: DataFrame, ts: str = "kafka_timestamp", error: str = "is
     return g.select(F.col("w.start").alias("window_start"), "messages",
                     (F.col("messages") / F.lit(float(seconds))).alias("rate_per_s"),
                     (F.col("errors") / F.col("messages")).alias("error_ratio"))
+
+
+#: Quantiles of a panel.
+PANEL = {"p50": 0.5, "p95": 0.95, "p99": 0.99}
+#: Size of a quantile sketch (KLL): a group of fewer values is kept exactly, of more with
+#: a rank error below ``RANK_ERROR`` (at 99 % confidence).
+SKETCH_K = 4096
+RANK_ERROR = 0.002
+
+
+def quantile_sketches(records: DataFrame, by: list[str], value: str, k: int = SKETCH_K) -> DataFrame:
+    """A mergeable sketch (some 40 KB at most, however many rows) of ``value`` per
+    group: what an ingest stores so that a panel need not read the records again."""
+    return records.groupBy(*by).agg(F.kll_sketch_agg_double(F.col(value).cast("double"), F.lit(k)).alias("sketch"))
+
+
+def sketch_panel(sketches: DataFrame, by: list[str], k: int = SKETCH_K) -> DataFrame:
+    """Quantiles per group of ``by`` (coarser than the stored groups), from merged sketches."""
+    merged = sketches.groupBy(*by).agg(F.kll_merge_agg_double("sketch", F.lit(k)).alias("sketch"))
+    return merged.select(*by, *[F.kll_sketch_get_quantile_double("sketch", F.lit(q)).alias(name) for name, q in PANEL.items()],
+                         F.kll_sketch_get_n_double("sketch").alias("n"))

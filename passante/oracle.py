@@ -62,7 +62,7 @@ fx_screens AS (
 fx_envelope AS (
   select 'geodata' as topic, cast(event_id % 4 as bigint) as kafka_partition,
     cast(floor(event_id / 4) as bigint) as kafka_offset, ts as kafka_timestamp,
-    cast(floor(event_id / 4) as bigint) + event_id % 7 as high_watermark, event_id
+    max(cast(floor(event_id / 4) as bigint)) over (partition by event_id % 4, time_bucket(interval '6 hours', ts)) as high_watermark, event_id
   from events
 ),
 j1 AS (

@@ -8,6 +8,7 @@ comparison.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -787,9 +788,9 @@ def _hist_sql() -> str:
 QUERIES["lag_histogram"] = (q_lag_histogram, _fixture_sql(_hist_sql()))
 
 
-@register("lag_percentiles", "select round(quantile_disc(high_watermark - kafka_offset, 0.5), 6) as p50, "
-                             "round(quantile_disc(high_watermark - kafka_offset, 0.95), 6) as p95, "
-                             "round(quantile_disc(high_watermark - kafka_offset, 0.99), 6) as p99, "
+@register("lag_percentiles", "select round(cast(quantile_disc(high_watermark - kafka_offset, 0.5) as double), 6) as p50, "
+                             "round(cast(quantile_disc(high_watermark - kafka_offset, 0.95) as double), 6) as p95, "
+                             "round(cast(quantile_disc(high_watermark - kafka_offset, 0.99) as double), 6) as p99, "
                              "count(*) as messages from fx_envelope")
 def q_lag_percentiles(spark, sf_dir):
     t, _ = _ctx(spark, sf_dir)
@@ -1013,6 +1014,110 @@ def q_stream_view(spark, sf_dir):
 QUERIES["stream_enriched_view"] = (q_stream_view, QUERIES["compare_age"][1])
 
 
+# ---------------------------------------------------------------- T1 / A20 / A21 flushes
+from passante.streaming import flush as FL  # noqa: E402
+
+#: A few messages an hour reach a partition of the test topic: production's 500 and 30 seconds are scaled to it.
+QUERY_FLUSH = (30, "8 hours")
+#: Days after which the messages of a slice arrive.
+SLICES = (11, 21)
+
+
+def _sliced(messages):
+    """Slice 0, 1 or 2 of a message, by its day."""
+    day = F.dayofmonth("timestamp")
+    return messages.withColumn("slice", sum((day >= d).cast("int") for d in SLICES))
+
+
+def _flush_messages(spark, sf_dir):
+    """The topic arrives in three slices; the stream drains each and is started again
+    from its checkpoint, so flushes run on across micro-batches and restarts."""
+    t, star = _ctx(spark, sf_dir)
+    root = scratch_path(spark, "flushes")
+    messages = _sliced(fx_messages(t, star))
+    for k in range(len(SLICES) + 1):
+        write_envelope_files(messages.where(F.col("slice") == k).drop("slice"), f"{root}/in/slice={k}", 4)
+        FL.start_flush_stream(read_envelope_files(spark, f"{root}/in/slice=*"), f"{root}/out", f"{root}/ck", {"availableNow": True},
+                              *QUERY_FLUSH).awaitTermination()
+    return FL.read_placed(spark, f"{root}/out")
+
+
+def q_flush_log(spark, sf_dir):
+    """Each flush with its events, offsets, reason and the partition's lag."""
+    log = FL.flush_log(_flush_messages(spark, sf_dir), QUERY_FLUSH[0])
+    return log.select("topic", "partition", "flush", "events", "first_offset", "last_offset",
+                      F.date_format("opened", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("opened"), "reason", "lag")
+
+
+_FLUSH_SQL = f"""
+, m as (select topic, kafka_partition as p, kafka_offset as o, kafka_timestamp as ts,
+    (day(kafka_timestamp) >= {SLICES[0]})::int + (day(kafka_timestamp) >= {SLICES[1]})::int as slice from fx_envelope)
+, started as (
+  select p, 0::bigint as flush, min(o) as first_offset from m group by p
+  union all
+  select s.p, s.flush + 1, min(x.o) from started s join m y on y.p = s.p and y.o = s.first_offset
+    join m x on x.p = s.p and x.o > s.first_offset and (x.o >= s.first_offset + {QUERY_FLUSH[0]} or x.ts >= y.ts + interval '{QUERY_FLUSH[1]}')
+  group by s.p, s.flush)
+, flushes as (select p, flush, first_offset, lead(first_offset) over (partition by p order by flush) as upto from started)
+, members as (select f.p, f.flush, f.upto, m.* exclude (p) from flushes f join m on m.p = f.p and m.o >= f.first_offset and (f.upto is null or m.o < f.upto))
+, counted as (select topic, p, flush, any_value(upto) as upto, count(*) as events, min(o) as first_offset, max(o) as last_offset, min(ts) as opened, max(slice) as slice
+  from members group by topic, p, flush)
+select topic, cast(p as int) as partition, flush, events, first_offset, last_offset, strftime(opened, '%Y-%m-%d %H:%M:%S.%f') as opened,
+  case when events >= {QUERY_FLUSH[0]} then 'size' when upto is not null then 'time' else 'open' end as reason,
+  (select max(m.o) from m where m.p = c.p and m.slice <= c.slice) - last_offset as lag
+from counted c"""
+
+QUERIES["flush_log"] = (q_flush_log, _fixture_sql(_FLUSH_SQL).replace("WITH", "WITH RECURSIVE", 1))
+
+
+def q_batch_counters(spark, sf_dir):
+    """What each batch parsed, rejected and stored, as observed while it was
+    written; the second batch is delivered twice.  ``stored`` is read back."""
+    t, star = _ctx(spark, sf_dir)
+    root = scratch_path(spark, "batch-counters")
+    messages = _bad_messages(fx_messages(t, star))
+    for batch in (0, 1, 1):
+        WH.write_batch(messages.where(F.col("offset") % 3 == 0 if batch == 0 else F.col("offset") % 3 > 0), batch, root)
+    counters = WH.read_counters(spark, root).where("counter <> 'milliseconds'")
+    stored = [spark.read.parquet(f"{root}/{name}").groupBy("batch_id").agg(F.count("*").alias("value"))
+              .select(F.col("batch_id").cast("bigint"), F.lit("geodata").alias("topic"), F.lit("stored").alias("counter"), F.lit(name).alias("label"), "value")
+              for name in WH.COUNTED]
+    return functools.reduce(DataFrame.unionByName, stored, counters)
+
+
+QUERIES["batch_counters"] = (q_batch_counters, _fixture_sql("""
+, m as (select g.target_id, e.kafka_offset % 10 as kind, (e.kafka_offset % 3 > 0)::bigint as batch_id
+    from fx_geodata g join fx_envelope e on g.id = concat('g', cast(e.event_id as varchar)))
+, judged as (select batch_id, case when kind = 1 or kind = 2 then 'document' when target_id is null or kind = 5 then 'profile' else 'good' end as outcome from m)
+, n as (select batch_id, count(*) as messages, count(*) filter (where outcome = 'document') as document, count(*) filter (where outcome = 'profile') as profile,
+    count(*) filter (where outcome = 'good') as good from judged group by batch_id)
+select batch_id, 'geodata' as topic, counter, label, value from (
+  select batch_id, 'messages' as counter, 'received' as label, messages as value from n
+  union all select batch_id, 'messages', 'parsed', good from n
+  union all select batch_id, 'rejected', 'document', document from n
+  union all select batch_id, 'rejected', 'profile', profile from n
+  union all select batch_id, kind, name, good from n,
+    (values ('rows'), ('stored')) k(kind), (values ('age'), ('gender'), ('social_class'), ('target'), ('enriched'), ('geodata')) t(name))"""))
+
+
+def _sketched(spark, sf_dir):
+    """Sketches as the ingest stores them, one per day and partition, read back."""
+    path = scratch_path(spark, "sketches")
+    records = _records(spark, sf_dir).withColumn("day", F.date_format("kafka_timestamp", "yyyy-MM-dd"))
+    TM.quantile_sketches(records, ["day", "kafka_partition"], "uniques").write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def q_sketch_panel(spark, sf_dir):
+    """Quantiles of uniques per day, from the stored sketches of its partitions."""
+    return _round_doubles(TM.sketch_panel(_sketched(spark, sf_dir), ["day"]), ["p50", "p95", "p99"])
+
+
+QUERIES["uniques_panel_daily"] = (q_sketch_panel, _fixture_sql(
+    _REC_CTE + "select strftime(kafka_timestamp, '%Y-%m-%d') as day, " + ", ".join(
+        f"round(quantile_disc(uniques, {q}), 6) as {n}" for n, q in TM.PANEL.items()) + ", count(*) as n from rec group by 1"))
+
+
 def q_archive_daily_flow(spark, sf_dir):
     """Messages -> enriched NDJSON archive (K3) -> partitioned scan (S4) ->
     Σuniques per day folder."""

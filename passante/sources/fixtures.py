@@ -21,6 +21,8 @@ from passante.sources.testdata import Star, Tables
 # --- fixed values: malformed coordinates carried by 1 in 50 locations ---
 BAD_LATITUDE = "-23.550.520"
 BAD_LONGITUDE = "-46.633.308"
+#: Hours between two polls of the topic.
+POLL_HOURS = 6
 
 
 def _sid(prefix: str, col: str = "event_id") -> Column:
@@ -111,16 +113,22 @@ def fx_screens(t: Tables) -> DataFrame:
 
 
 def fx_envelope(t: Tables) -> DataFrame:
-    """Topic positions of each event: 4 partitions, offsets, high watermark."""
+    """Topic positions of each event: 4 partitions, offsets, high watermark.  The
+    consumer polls every ``POLL_HOURS``; a message's high watermark is the last offset
+    that its partition has when it is polled."""
     off = F.floor(F.col("event_id") / 4).cast("bigint")
-    return t.events.select(
+    poll = F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / (POLL_HOURS * 3600))
+    env = t.events.select(
         F.lit("geodata").alias("topic"),
         (F.col("event_id") % 4).cast("bigint").alias("kafka_partition"),
         off.alias("kafka_offset"),
         F.col("ts").alias("kafka_timestamp"),
-        (off + F.col("event_id") % 7).alias("high_watermark"),
+        poll.alias("poll"),
         "event_id",
     )
+    ends = env.groupBy("kafka_partition", "poll").agg(F.max("kafka_offset").alias("high_watermark"))
+    return (env.join(ends, ["kafka_partition", "poll"])
+            .select("topic", "kafka_partition", "kafka_offset", "kafka_timestamp", "high_watermark", "event_id"))
 
 
 def fx_messages(t: Tables, star: Star | None = None) -> DataFrame:

@@ -11,7 +11,7 @@ Per micro-batch (``foreachBatch``):
    "topic:partition:offset:table" (N1, N2);
 5. write each table to its own ``batch_id=N`` folder with overwrite, so a
    replayed batch rewrites exactly what it wrote before (K1, T5);
-6. record per-partition lag and row counts of the batch (A20).
+6. record per-partition lag and the observed counters of the batch (A20).
 
 The batch is persisted once and unpersisted at the end.  The checkpoint
 makes the source at-least-once; idempotent writes make the result
@@ -22,12 +22,13 @@ geodata write lands (it is written last).
 
 from __future__ import annotations
 
+import time
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from passante.plans.ingest import shred, stream_keys, with_keys
+from passante.plans.ingest import profile_complete, shred, stream_keys, with_keys
 from passante.schemas import PROFILE_TYPE
 from passante.session import checkpoint_dir
 
@@ -98,15 +99,34 @@ def batch_telemetry(batch: DataFrame) -> DataFrame:
     return g.withColumn("lag", F.col("high_watermark") - F.col("last_offset"))
 
 
+#: Tables whose rows are counted while they are written.
+COUNTED = ["age", "gender", "social_class", "target", "enriched", "geodata"]
+COUNTERS = "topic string, counter string, label string, value bigint"
+
+
+def read_counters(spark: SparkSession, warehouse: str) -> DataFrame:
+    """(batch_id, topic, counter, label, value) of all batches."""
+    return spark.read.schema(f"{COUNTERS}, batch_id bigint").parquet(f"{warehouse.rstrip('/')}/_counters")
+
+
 def write_batch(batch: DataFrame, batch_id: int, warehouse: str) -> dict:
-    """K1: idempotent five-table write of one micro-batch."""
-    w = warehouse.rstrip("/")
+    """K1: idempotent five-table write of one micro-batch.
+
+    A20: what was received, parsed and rejected is observed in the job that decodes the
+    batch, the rows of each table in the job that writes it; no row is read again to count.
+    The counters are stored with the batch, under its first topic, and returned."""
+    w, began = warehouse.rstrip("/"), time.monotonic()
+    spark = batch.sparkSession
     dedup = batch.dropDuplicates(["topic", "partition", "offset"])
     keys = stream_keys("topic", "partition", "offset")
     # decoded and keyed once, read by every write
     dec = with_keys(decode_events(dedup), keys).persist()
     try:
-        dec.count()  # materialise before the concurrent writes read it
+        seen = Observation(f"batch-{batch_id}")
+        bad, profile = F.col("decode_error").isNotNull(), profile_complete(F.col("target"))
+        # materialises the batch before the concurrent writes read it
+        dec.observe(seen, F.count(F.lit(1)).alias("received"), F.count_if(bad).alias("document"), F.count_if(~bad & ~profile).alias("profile"),
+                    F.count_if(~bad & profile).alias("parsed"), F.min("topic").alias("topic")).count()
         good = dec.where(F.col("decode_error").isNull())
         sh = shred(good, keys, strict=True)
         bad_json = dec.where(F.col("decode_error").isNotNull()).select(
@@ -115,8 +135,12 @@ def write_batch(batch: DataFrame, batch_id: int, warehouse: str) -> dict:
         side = {"_quarantine": bad_json.unionByName(bad_profile), "_telemetry": batch_telemetry(dec)}
         dims = {n: sh.tables()[n] for n in ["age", "gender", "social_class", "target"]} | {"enriched": sh.wide}
 
+        rows = {name: Observation(f"{name}-{batch_id}") for name in COUNTED}
+
         def put(item):
             name, df = item
+            if name in rows:
+                df = df.observe(rows[name], F.count(F.lit(1)).alias("rows"))
             df.write.mode("overwrite").parquet(f"{w}/{name}/batch_id={batch_id}")
 
         # the dimension tables and side outputs are independent jobs: run them
@@ -124,7 +148,14 @@ def write_batch(batch: DataFrame, batch_id: int, warehouse: str) -> dict:
         with ThreadPoolExecutor(max_workers=len(dims) + len(side)) as pool:
             list(pool.map(put, list(dims.items()) + list(side.items())))
         put(("geodata", sh.geodata))
-        return {"batch_id": batch_id}
+        found = seen.get
+        counters = [("messages", "received", found["received"]), ("messages", "parsed", found["parsed"]),
+                    ("rejected", "document", found["document"]), ("rejected", "profile", found["profile"]),
+                    *[("rows", name, observed.get["rows"]) for name, observed in rows.items()],
+                    ("milliseconds", "flush", round(1000 * (time.monotonic() - began)))]
+        told = spark.createDataFrame([(found["topic"] or "unknown", *c) for c in counters], COUNTERS)
+        told.coalesce(1).write.mode("overwrite").parquet(f"{w}/_counters/batch_id={batch_id}")
+        return {"batch_id": batch_id, **{f"{counter}.{label}": value for counter, label, value in counters}}
     finally:
         dec.unpersist()
 
