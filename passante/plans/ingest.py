@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from passante.functions.columns import deterministic_id, normalize_quotes, try_double, uuid5
 from passante.plans.model import with_counts
+from passante.sources.csv_records import read_records
 from passante.schemas import (
     AGE_COLUMNS, AGE_KEYS, CLASS_COLUMNS, CLASS_KEYS, CSV_COLUMNS, CSV_SCHEMA, GENDER_COLUMNS,
     GENDER_KEYS, PROFILE_TYPE, TABLES,
@@ -28,51 +29,38 @@ DIM_KEYS = {"idade": (AGE_KEYS, AGE_COLUMNS), "genero": (GENDER_KEYS, GENDER_COL
 # ------------------------------------------------------------------ S1 / S2
 
 
-CORRUPT = "_corrupt_record"
-#: Always true; a scan may not read the corrupt column alone.
-_READ = "length(coalesce(f0, '')) >= 0"
-
-
 def read_flow_csv(spark: SparkSession, path: str, mode: str = "lenient") -> DataFrame:
-    """Flow CSV: a header, one record per line, ten positional text columns;
-    columns after the tenth are ignored.
+    """Flow CSV: files with a header each, records of ten positional text columns that
+    may run over several lines; columns after the tenth are ignored.
 
-    * ``lenient`` (S1, the producer): a line whose number of fields is not the
-      header's, or below ten, is skipped (see :func:`rejected_lines`); numeric
+    * ``lenient`` (S1, the producer): a record whose number of fields is not that of
+      its file's header, or below ten, is skipped (see :func:`rejected_records`); numeric
       parse failures become 0 / 0 / 0.0 and ``numero`` NULL; the profile is parsed
       with a blanket quote swap and kept NULL when it does not parse.
-    * ``bulk`` (S2, the bulk loader): a line with another number of fields fails
-      the load; rows whose profile does not parse are dropped by :func:`shred`.
+    * ``bulk`` (S2, the bulk loader): such a record fails the load; rows whose profile
+      does not parse are dropped by :func:`shred`.
 
-    All columns are parsed whatever the query selects, so the same lines are
+    All fields are read whatever the query selects, so the same records are
     accepted in every use.  Adds ``_source_file`` and ``_row_digest`` for N3.
     """
-    df = _lines(spark, path, "FAILFAST" if mode == "bulk" else "PERMISSIVE")
-    if mode != "bulk":
-        df = df.where(F.col(CORRUPT).isNull() & F.expr(_READ))
-    fields = [c for c in df.columns if c not in (CORRUPT, "_source_file")]
-    first = dict(zip([f.name for f in CSV_SCHEMA.fields], fields))
-    digest = F.sha2(F.concat_ws("\x01", *[F.coalesce(F.col(f"`{c}`"), F.lit("")) for c in fields]), 256)
-    return typed_flow(df.select(*[F.col(f"`{c}`").alias(n) for n, c in first.items()], "_source_file", digest.alias("_row_digest")),
-                      blanket_quotes=True)
-
-
-def rejected_lines(spark: SparkSession, path: str) -> DataFrame:
-    """The lines that a lenient scan skips: (_source_file, line)."""
-    return (_lines(spark, path, "PERMISSIVE").where(F.col(CORRUPT).isNotNull() & F.expr(_READ))
-            .select("_source_file", F.col(CORRUPT).alias("line")))
-
-
-def _lines(spark: SparkSession, path: str, mode: str) -> DataFrame:
-    """One splittable scan with as many text columns as the header has."""
-    reader = spark.read.option("recursiveFileLookup", True)
-    width = len(reader.option("header", True).option("inferSchema", False).csv(path).columns)
-    if width < len(CSV_SCHEMA.fields):
-        raise ValueError(f"the header has {width} columns, {len(CSV_SCHEMA.fields)} are needed")
-    schema = ", ".join(f"f{k} string" for k in range(width)) + f", {CORRUPT} string"
-    df = (spark.read.schema(schema).option("recursiveFileLookup", True).option("header", True).option("enforceSchema", True)
-          .option("mode", mode).option("columnNameOfCorruptRecord", CORRUPT).option("columnPruning", False).option("escape", '"').csv(path))
-    return df.withColumn("_source_file", F.col("_metadata.file_path"))
+    df = read_records(spark, path)
+    if mode == "bulk":
+        shape = F.concat_ws(" ", F.lit("malformed record:"), F.size("fields").cast("string"), F.lit("fields in"), "_source_file")
+        df = df.select("_source_file", F.when(_whole(), F.col("fields")).otherwise(F.raise_error(shape).cast("array<string>")).alias("fields"))
+    else:
+        df = df.where(_whole())
+    named = [F.col("fields")[k].alias(f.name) for k, f in enumerate(CSV_SCHEMA.fields)]
+    digest = F.sha2(F.array_join("fields", "\x01"), 256)
+    return typed_flow(df.select(*named, "_source_file", digest.alias("_row_digest")), blanket_quotes=True)
+
+
+def _whole() -> Column:
+    return (F.size("fields") == F.col("_width")) & (F.size("fields") >= len(CSV_SCHEMA.fields))
+
+
+def rejected_records(spark: SparkSession, path: str) -> DataFrame:
+    """The records that a lenient scan skips: (_source_file, fields)."""
+    return read_records(spark, path).where(~_whole()).select("_source_file", "fields")
 
 
 def typed_flow(df: DataFrame, blanket_quotes: bool = True) -> DataFrame:

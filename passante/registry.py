@@ -873,23 +873,28 @@ from passante.sources.testdata import Star, read_star  # noqa: E402
 
 
 def _flow_lines(spark, sf_dir):
-    """(line, part, kind): the joined events as CSV lines; the street carries the
-    event's id.  One in 50 lines lacks its last field, one has a field too many, one
-    a number that does not parse and one a profile that does not."""
+    """(line, part, kind): the joined events as CSV records; the street carries the
+    event's id.  One in 50 records lacks its last field, one has a field too many, one
+    a number that does not parse and one a profile that does not; two in 50 have a line
+    break in the street.  The files of two of the four parts have two columns more."""
     rows = I.to_flow_rows(_j1(spark, sf_dir).withColumn("endereco", F.concat("endereco", F.lit("#"), "id")))
     number = F.regexp_extract("endereco", "#g([0-9]+)$", 1).cast("bigint")
     kind = number % 50
+    rows = rows.withColumn("endereco", F.when(kind.isin(3, 28), F.regexp_replace("endereco", "#(?=g[0-9]+$)", "\n#")).otherwise(F.col("endereco")))
     rows = rows.withColumns({"uniques": F.when(kind == 21, "a lot").otherwise(F.col("uniques")),
                              "target": F.when(kind == 33, "{'idade': oops").otherwise(F.col("target"))})
     names = rows.columns
     whole = F.to_csv(F.struct(*names))
     line = F.when(kind == 7, F.to_csv(F.struct(*names[:-1]))).when(kind == 13, F.concat(whole, F.lit(",more"))).otherwise(whole)
-    return rows.select(line.alias("line"), (number % 4).cast("int").alias("part"), kind.alias("kind")), names
+    part = (number % 4).cast("int")
+    line = F.when(part >= 2, F.concat(line, F.lit(',more,"and ""more""\n"'))).otherwise(line)
+    return rows.select(line.alias("line"), part.alias("part"), kind.alias("kind")), names
 
 
 def _write_flow_csv(spark, lines, names, path):
     """Files with a header each, one per part."""
-    header = spark.range(4).select(F.lit(",".join(names)).alias("line"), F.col("id").cast("int").alias("part"), F.lit(0).alias("n"))
+    wide = F.when(F.col("id") >= 2, ",k,l").otherwise("")
+    header = spark.range(4).select(F.concat(F.lit(",".join(names)), wide).alias("line"), F.col("id").cast("int").alias("part"), F.lit(0).alias("n"))
     (header.unionByName(lines.select("line", "part", F.lit(1).alias("n"))).repartition("part").sortWithinPartitions("part", "n")
      .select("line", "part").write.partitionBy("part").text(path))
 
@@ -904,7 +909,7 @@ def _events_of(star):
 
 def _csv_events_sql(left_out: str) -> str:
     return f"""
-select concat(endereco, '#', id) as endereco, impression_hour, location_id,
+select concat(endereco, case when cast(substr(id, 2) as bigint) % 50 in (3, 28) then chr(10) else '' end, '#', id) as endereco, impression_hour, location_id,
   round(case when cast(substr(id, 2) as bigint) % 50 = 21 then 0 else uniques end, 6) as uniques, numero, round(x18_19, 6) as x18_19,
   round(x80_plus, 6) as x80_plus, round(feminine, 6) as feminine, round(a_class, 6) as a_class, round(de_class, 6) as de_class
 from j1 where cast(substr(id, 2) as bigint) % 50 not in ({left_out})"""

@@ -91,7 +91,7 @@ def test_odd_lines_are_skipped_alike_in_every_use(spark, tmp_dir):
     _flow_file(f"{tmp_dir}/in/a.csv", lines)
     df = I.read_flow_csv(spark, f"{tmp_dir}/in")
     assert df.count() == len(df.collect()) == df.select("location_id").count() == 5
-    assert I.rejected_lines(spark, f"{tmp_dir}/in").count() == 2
+    assert I.rejected_records(spark, f"{tmp_dir}/in").count() == 2
     I.load_csv(spark, f"{tmp_dir}/in", f"{tmp_dir}/wh", "lenient")
     from passante.sources.testdata import read_star
     star = read_star(spark, f"{tmp_dir}/wh")
