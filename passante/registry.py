@@ -424,6 +424,9 @@ _GAZ_CTE = """
 """
 
 
+from passante.operators import places as PL  # noqa: E402
+
+
 def _mean6(c: str):
     """Mean of a 4-decimal coordinate, rounded half-up at 1e-6 with integer
     arithmetic: Σ round(x * 1e4) is exact, so the result does not depend on
@@ -434,14 +437,7 @@ def _mean6(c: str):
 
 
 def q_gazetteer(spark, sf_dir):
-    en = _en(spark, sf_dir)
-    locs = (en.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
-            .select("cidade", "location_id", "latitude", "longitude").distinct())
-    return locs.groupBy("cidade").agg(
-        _mean6("latitude").alias("lat"), _mean6("longitude").alias("lon"),
-        F.min("latitude").alias("lat_min"), F.max("latitude").alias("lat_max"),
-        F.min("longitude").alias("lon_min"), F.max("longitude").alias("lon_max"),
-        F.count(F.lit(1)).alias("n_locations"))
+    return G.gazetteer(_en(spark, sf_dir), "cidade", _mean6)
 
 
 def _mean6_sql(c: str) -> str:
@@ -469,6 +465,45 @@ select g.cidade as place, coalesce(pr.n_locations, 0) as n_locations, round(coal
 from gaz g left join pr on g.cidade = pr.place"""))
 
 
+def _places(spark, sf_dir):
+    """Cities and streets with their kind and number of locations."""
+    en = _en(spark, sf_dir)
+    both = [G.gazetteer(en, key).select(F.lit(key).alias("kind"), F.col(key).alias("name"), "n_locations") for key in ("cidade", "endereco")]
+    return both[0].unionByName(both[1])
+
+
+def _misspelt(places):
+    """One query per name: a letter less, two letters the wrong way round, accents and capitals."""
+    at = F.floor(F.length("name") / 2).cast("int")
+    kind = F.length("name") % 3
+    left, one, two, rest = (F.substr("name", F.lit(1), at - 1), F.substr("name", at, F.lit(1)), F.substr("name", at + 1, F.lit(1)), F.substr("name", at + 2))
+    query = (F.when(F.col("name").startswith("Customer#"), F.when(F.col("name").rlike("[0-4]$"), F.concat(left, two, rest)).otherwise(F.concat(left, two, one, rest)))
+             .when(kind == 0, F.concat(left, two, rest)).when(kind == 1, F.concat(left, two, one, rest))
+             .otherwise(F.upper(F.translate(F.lower("name"), "aeiouc", "áêíõúç"))))
+    return places.select(query.alias("query"))
+
+
+def q_place_search(spark, sf_dir):
+    """Free text with misspellings and accents -> places."""
+    places = _places(spark, sf_dir)
+    return PL.find_places(_misspelt(places), places)
+
+
+QUERIES["place_search"] = (q_place_search, _fixture_sql("""
+, names as (select 'cidade' as kind, cidade as name, count(distinct (location_id, latitude, longitude)) as n_locations from enriched
+    where latitude is not null and longitude is not null group by cidade
+  union all select 'endereco', endereco, count(distinct (location_id, latitude, longitude)) from enriched
+    where latitude is not null and longitude is not null group by endereco)
+, cut as (select name, cast(floor(length(name) / 2) as int) as k from names)
+, spelt as (select distinct case when starts_with(name, 'Customer#') and regexp_matches(name, '[0-4]$') or not starts_with(name, 'Customer#') and length(name) % 3 = 0
+      then substr(name, 1, k - 1) || substr(name, k + 1)
+    when starts_with(name, 'Customer#') or length(name) % 3 = 1 then substr(name, 1, k - 1) || substr(name, k + 1, 1) || substr(name, k, 1) || substr(name, k + 2)
+    else upper(translate(lower(name), 'aeiouc', 'áêíõúç')) end as query from cut)
+, compared as (select query, lower(strip_accents(query)) as q, lower(strip_accents(name)) as n, kind, name, n_locations from spelt, names)
+select query, cast(levenshtein(q, n) as int) as distance, kind, name, n_locations from compared
+where levenshtein(q, n) <= least(2, length(q) // 4)"""))
+
+
 def q_centre_ranking(spark, sf_dir):
     return _round_doubles(G.centre_ranking(_en(spark, sf_dir)), ["flow", "distance_m", "score"])
 
