@@ -8,6 +8,7 @@ comparison.
 
 from __future__ import annotations
 
+import datetime as dt
 import functools
 from collections.abc import Callable
 
@@ -1175,6 +1176,34 @@ def q_archive_daily_flow(spark, sf_dir):
 QUERIES["archive_daily_flow"] = (q_archive_daily_flow, QUERIES["people_per_day"][1])
 
 
+ARCHIVE_DAY = dt.date(2024, 1, 10)
+
+
+def q_archive_one_day(spark, sf_dir):
+    """The archive stream in four triggers -> the manifest's folders of one
+    day -> compacted files -> each line's place, values and metadata (N5)."""
+    t, star = _ctx(spark, sf_dir)
+    root = scratch_path(spark, "archive-day")
+    write_envelope_files(fx_messages(t, star), f"{root}/in", 4)
+    AR.start_archive_stream(read_envelope_files(spark, f"{root}/in", max_files_per_trigger=1), f"{root}/archive", f"{root}/ck",
+                            {"availableNow": True}).awaitTermination()
+    AR.compact_day(spark, f"{root}/archive", f"{root}/out", ARCHIVE_DAY)
+    record = ("_kafka_partition int, _kafka_offset bigint, _kafka_timestamp string, location_id bigint, uniques double, "
+              "target struct<genero: struct<F: double>>")
+    lines = spark.read.text(f"{root}/out/daily").select(F.from_json("value", record).alias("r"))
+    return _round_doubles(lines.select(F.col("r._kafka_partition").alias("partition"), F.col("r._kafka_offset").alias("offset"),
+                                       F.col("r._kafka_timestamp").alias("kafka_timestamp"), "r.location_id", "r.uniques",
+                                       F.col("r.target.genero.F").alias("feminine")), ["uniques", "feminine"])
+
+
+QUERIES["archive_one_day"] = (q_archive_one_day, _fixture_sql(f"""
+select cast(kafka_partition as int) as partition, kafka_offset as "offset", strftime(date_trunc('second', kafka_timestamp), '%Y-%m-%dT%H:%M:%SZ') as kafka_timestamp,
+  location_id, round(uniques, 6) as uniques, round(x.feminine, 6) as feminine
+from fx_envelope e join fx_geodata g on g.id = concat('g', cast(e.event_id as varchar))
+  left join fx_target t on g.target_id = t.id left join fx_gender x on t.gender_id = x.id
+where cast(kafka_timestamp as date) = date '{ARCHIVE_DAY}'"""))
+
+
 # ---------------------------------------------------------------- F15 / F10 / F11 / J8 / T9 / T10
 from passante.operators import embeddings as EM  # noqa: E402
 from passante.operators.filters import bounding_box  # noqa: E402
@@ -1235,13 +1264,16 @@ select label, vec_id, round(score, 6) as score, rank from (
 
 
 def _live(spark, sf_dir, which):
+    """Six triggers with a snapshot every two; the last one is delivered again."""
     t, _ = _ctx(spark, sf_dir)
-    root = scratch_path(spark, f"live-{which}")
-    write_envelope_files(fx_messages(t, _ctx(spark, sf_dir)[1]), f"{root}/in", 8)
-    q = LV.start_live(read_envelope_files(spark, f"{root}/in", max_files_per_trigger=4), f"{root}/out",
-                      which, f"{root}/ck", trigger={"availableNow": True})
+    root, keys = scratch_path(spark, f"live-{which}"), LV.KEYS[which]
+    write_envelope_files(fx_messages(t, _ctx(spark, sf_dir)[1]), f"{root}/in", 6)
+    q = LV.start_live(read_envelope_files(spark, f"{root}/in", max_files_per_trigger=1), f"{root}/out",
+                      which, f"{root}/ck", trigger={"availableNow": True}, every=2)
     q.awaitTermination()
-    keys = ["location_id", "impression_hour"] if which == "flow" else ["location_id"]
+    again = scratch_path(spark, f"live-{which}-replayed")
+    spark.read.parquet(f"{root}/out/deltas/batch_id=5").write.parquet(again)
+    LV.upsert_batch(spark.read.parquet(again), 5, f"{root}/out", keys, every=2)
     return LV.read_current(spark, f"{root}/out", keys)
 
 

@@ -9,8 +9,9 @@ out sorted, like an encoder of a hash map.  Lines are written under
 ``topic=/year=/month=/day=/batch_id=`` folders (the day of the message
 timestamp, or of the write time when the timestamp is missing); a replayed
 batch overwrites only its own folder (dynamic partition overwrite).  A
-manifest row per (topic, partition, day) keeps the first/last offset the
-reference encodes in object names.
+manifest row per (topic, partition, day) and batch keeps the first/last offset;
+it lies in a folder per day, so a scan of one day reads that day's manifest and
+opens the folders it names, and nothing else of the archive is listed.
 """
 
 from __future__ import annotations
@@ -64,17 +65,18 @@ def write_archive_batch(env: DataFrame, batch_id: int, base: str) -> None:
     rec = enrich_records(env).persist()
     try:
         good = rec.where(F.col("error").isNull()).withColumn("batch_id", F.lit(batch_id))
-        # one file per (topic, day, partition) group inside the batch folder
-        (good.repartition("topic", "year", "month", "day", "partition")
-         .sortWithinPartitions("partition", "offset")
-         .select("record", "topic", "year", "month", "day", "batch_id")
+        # ranges of a day's partitions and offsets: a busy one is written by several tasks
+        folder = ["topic", "year", "month", "day"]
+        (good.repartitionByRange(*folder, "partition", "offset")
+         .sortWithinPartitions(*folder, "batch_id", "partition", "offset")
+         .select("record", *folder, "batch_id")
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("topic", "year", "month", "day", "batch_id").text(f"{b}/topics"))
-        (good.groupBy("topic", "partition", "year", "month", "day", "batch_id")
+         .partitionBy(*folder, "batch_id").text(f"{b}/topics"))
+        (good.groupBy("topic", "partition", F.concat_ws("-", "year", "month", "day").alias("date"), "batch_id")
          .agg(F.min("offset").alias("first_offset"), F.max("offset").alias("last_offset"),
               F.count(F.lit(1)).alias("records"))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id").parquet(f"{b}/_manifest"))
+         .partitionBy("date", "batch_id").parquet(f"{b}/_manifest"))
         (rec.where(F.col("error").isNotNull()).select("topic", "partition", "offset", "error")
          .withColumn("batch_id", F.lit(batch_id))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -102,16 +104,39 @@ def yesterday_utc() -> dt.date:
     return (dt.datetime.now(dt.timezone.utc) - dt.timedelta(days=1)).date()
 
 
-def read_archive_day(spark: SparkSession, base: str, day: dt.date | None = None,
-                     topic: str | None = None) -> DataFrame:
-    """NDJSON lines of one day (default yesterday, UTC); partition
-    pruning reads only that day's folders."""
-    d = day or yesterday_utc()
-    df = spark.read.text(f"{base.rstrip('/')}/topics")
-    cond = ((F.col("year") == d.year) & (F.col("month") == d.month) & (F.col("day") == d.day))
-    if topic:
-        cond = cond & (F.col("topic") == topic)
-    return df.where(cond)
+MANIFEST = "topic string, partition int, first_offset bigint, last_offset bigint, records bigint, batch_id bigint"
+
+
+def day_manifest(spark: SparkSession, base: str, day: dt.date, topic: str | None = None) -> DataFrame | None:
+    """The manifest rows of one day; None if nothing was archived on it."""
+    path = f"{base.rstrip('/')}/_manifest/date={day.isoformat()}"
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
+        return None
+    rows = spark.read.schema(MANIFEST).parquet(path)
+    return rows.where(F.col("topic") == topic) if topic else rows
+
+
+def read_archive_day(spark: SparkSession, base: str, day: dt.date | None = None, topic: str | None = None,
+                     partition: int | None = None) -> DataFrame:
+    """NDJSON lines of one day (default yesterday, UTC).  The day's manifest names
+    the folders to read, one per topic and batch; with ``partition``, only those of
+    batches that hold some of it, and of these its own lines."""
+    b, d = base.rstrip("/"), day or yesterday_utc()
+    manifest = day_manifest(spark, b, d, topic)
+    schema = "value string, topic string, year int, month int, day int, batch_id bigint"
+    if manifest is None:
+        return spark.createDataFrame([], schema)
+    if partition is not None:
+        manifest = manifest.where(F.col("partition") == partition)
+    # a row per topic and trigger of the day
+    folders = [f"{b}/topics/topic={r.topic}/year={d.year:04d}/month={d.month:02d}/day={d.day:02d}/batch_id={r.batch_id}"
+               for r in manifest.select("topic", "batch_id").distinct().orderBy("topic", "batch_id").collect()]
+    if not folders:
+        return spark.createDataFrame([], schema)
+    lines = spark.read.option("basePath", f"{b}/topics").text(folders)
+    lines = lines.select(*[F.col(c.split()[0]).cast(c.split()[1]) for c in schema.split(", ")])
+    return lines if partition is None else lines.where(F.get_json_object("value", "$._kafka_partition").cast("int") == partition)
 
 
 def read_archive(spark: SparkSession, base: str) -> DataFrame:
@@ -120,24 +145,20 @@ def read_archive(spark: SparkSession, base: str) -> DataFrame:
 
 def compact_day(spark: SparkSession, base: str, out: str, day: dt.date | None = None,
                 target_file_bytes: int = 256 * 1024 * 1024) -> dict:
-    """K4: rewrite one day's fragments as files of about ``target_file_bytes``
-    (never one task for a whole day).  Returns files and bytes read; an empty
-    day is a no-op."""
+    """K4: rewrite one day's fragments as files of about ``target_file_bytes``, each
+    topic's lines in the order of partition and offset, within a file and from file to
+    file (never one task for a whole day).  Returns files and bytes read; an empty day is a no-op."""
     d = day or yesterday_utc()
+    if day_manifest(spark, base, d) is None:
+        return {"day": str(d), "files": 0, "bytes": 0, "written": False}
     day_glob = f"{base.rstrip('/')}/topics/topic=*/year={d.year:04d}/month={d.month:02d}/day={d.day:02d}"
-    try:  # list only that day's folders, not the whole archive
-        frag = list_objects(spark, day_glob)
-    except Exception as e:  # noqa: BLE001 - no folder for that day
-        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
-            return {"day": str(d), "files": 0, "bytes": 0, "written": False}
-        raise
-    stats = frag.agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")).first()
+    stats = list_objects(spark, day_glob).agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")).first()
     files, nbytes = int(stats["files"]), int(stats["bytes"])
-    if files == 0:
-        return {"day": str(d), "files": 0, "bytes": 0, "written": False}
     n = max(1, math.ceil(nbytes / target_file_bytes))
-    lines = read_archive_day(spark, base, d)
-    (lines.repartition(n).select("value", "topic")
+    place = F.from_json("value", "_kafka_partition bigint, _kafka_offset bigint")
+    order = ["topic", "place._kafka_partition", "place._kafka_offset", "value"]
+    lines = read_archive_day(spark, base, d).withColumn("place", place)
+    (lines.repartitionByRange(n, *order).sortWithinPartitions(*order).select("value", "topic")
      .write.mode("overwrite").partitionBy("topic")
      .text(f"{out.rstrip('/')}/daily/year={d.year:04d}/month={d.month:02d}/day={d.day:02d}"))
     return {"day": str(d), "files": files, "bytes": nbytes, "written": True, "output_files": n}
