@@ -84,15 +84,19 @@ def test_empty_demographics_returns_nulls(star):
     (0, 10, []),
 ])
 def test_age_band_overlap(lo, hi, want):
-    assert C.overlapping_age_columns(lo, hi) == want
+    assert C.selected_columns(C.CampaignSpec(age_min=lo, age_max=hi)) == {"gender": [], "age": want, "class": []}
 
 
-def test_class_columns():
-    assert C.class_columns(["A", "B1"]) == ["class_a_count", "class_b1_count"]
-    assert len(C.class_columns(["A", "B1", "B2", "C1", "C2", "DE"])) == 6
-    assert C.class_columns(["X", "Z"]) == []
-    assert C.class_columns(["A", "X", "c2"]) == ["class_a_count", "class_c2_count"]
-    assert C.class_columns(["de", "b2"]) == ["class_de_count", "class_b2_count"]
+def test_selected_codes():
+    def classes(*codes):
+        return C.selected_columns(C.CampaignSpec(classes=codes))["class"]
+
+    assert classes("A", "B1") == ["class_a_count", "class_b1_count"]
+    assert len(classes("A", "B1", "B2", "C1", "C2", "DE")) == 6
+    assert classes("X", "Z") == classes() == []
+    assert classes("A", "X", "c2") == ["class_a_count", "class_c2_count"]
+    assert classes("de", "b2") == ["class_b2_count", "class_de_count"]
+    assert [C.selected_columns(C.CampaignSpec(gender=g))["gender"] for g in ("Female", "MALE", "x", None)] == [["feminine_count"], ["masculine_count"], [], []]
 
 
 def test_campaign_matches_pandas(star):
