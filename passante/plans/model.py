@@ -12,7 +12,7 @@ partition pruning and min/max pushdown on latitude/longitude.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from passante.functions.columns import try_double
@@ -58,3 +58,28 @@ def materialize_enriched(star: Star, path: str, mode: str = "overwrite") -> None
      .repartition("uf_estado", "location_id")
      .sortWithinPartitions("location_id")
      .write.mode(mode).partitionBy("uf_estado").parquet(path))
+
+
+def store_bucketed(star: Star, path: str, buckets: int = 64, prefix: str = "passante") -> dict[str, str]:
+    """J1 for back-fills: the five tables as bucketed and sorted tables of the catalogue,
+    all by the target they belong to.  The profile tables get their target's id (one
+    shuffle each, when they are stored), so that :func:`snowflake_bucketed` joins bucket to
+    bucket, however often it runs.  Returns the table names."""
+    links = star.target.select(F.col("id").alias("target_id"), "age_id", "gender_id", "social_class_id")
+    tables = {"geodata": star.geodata, "target": links}
+    for name in ("age", "gender", "social_class"):
+        tables[name] = star.as_dict()[name].withColumnRenamed("id", f"{name}_id").join(links.select("target_id", f"{name}_id"), f"{name}_id")
+    for name, table in tables.items():
+        # a task per bucket, so a bucket is one file
+        (table.repartition(buckets, "target_id").write.mode("overwrite").option("path", f"{path.rstrip('/')}/{name}")
+         .bucketBy(buckets, "target_id").sortBy("target_id").saveAsTable(f"{prefix}_{name}"))
+    return {name: f"{prefix}_{name}" for name in tables}
+
+
+def snowflake_bucketed(spark: SparkSession, names: dict[str, str]) -> DataFrame:
+    """J1 of the stored tables: a merge join per table, without an exchange."""
+    out = spark.table(names["geodata"])
+    for name in ("target", "gender", "age", "social_class"):
+        keyed = spark.table(names[name])
+        out = out.join(keyed.drop(*[c for c in keyed.columns if c.endswith("_id") and c != "target_id"]), "target_id")
+    return out

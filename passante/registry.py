@@ -18,9 +18,9 @@ from pyspark.sql import functions as F
 from passante import oracle as O
 from passante.operators import demographics as D
 from passante.operators.filters import GeoFilters
-from passante.plans.model import enriched, snowflake
+from passante.plans.model import enriched, snowflake, snowflake_bucketed, store_bucketed
 from passante.schemas import AGE_COLUMNS, AGE_FILTER_LABELS, CLASS_COLUMNS, CLASS_FILTER_LABELS
-from passante.session import apply_runtime_conf
+from passante.session import apply_runtime_conf, scratch_path
 from passante.sources.fixtures import fixture_star
 from passante.sources.testdata import Tables
 
@@ -94,6 +94,15 @@ def q_compare_age(spark, sf_dir):
     return D.compare(_j1(spark, sf_dir), "faixa_etaria", round_to=R6)
 
 
+@register("compare_age_backfill", _compare_sql(_AGE_CASE))
+def q_compare_age_backfill(spark, sf_dir):
+    """J1 over the five tables stored in buckets."""
+    _, star = _ctx(spark, sf_dir)
+    path = scratch_path(spark, "bucketed")
+    names = store_bucketed(star, path, 16, f"backfill_{path[-12:]}")
+    return D.compare(snowflake_bucketed(spark, names), "faixa_etaria", round_to=R6)
+
+
 @register("compare_gender", _compare_sql(_GENDER_CASE))
 def q_compare_gender(spark, sf_dir):
     return D.compare(_j1(spark, sf_dir), "genero", round_to=R6)
@@ -914,7 +923,6 @@ QUERIES["adhoc_sql_city_flow"] = (q_adhoc_sql, _fixture_sql(
 
 # ---------------------------------------------------------------- ingest round trip: N1 N3 N4 F14 S1 semantics
 from passante.plans import ingest as I  # noqa: E402
-from passante.session import scratch_path  # noqa: E402
 from passante.sources.testdata import Star, read_star  # noqa: E402
 
 
