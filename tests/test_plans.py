@@ -10,7 +10,7 @@ FORBIDDEN = ["BatchEvalPython", "ArrowEvalPython", "PythonUDF", "CartesianProduc
 # these run a stream or write files while building their plan; covered elsewhere
 SIDE_EFFECTS = {"stream_warehouse_ingest", "archive_daily_flow", "live_location_hour_flow",
                 "live_latest_per_location", "csv_lenient_roundtrip", "csv_bulk_load", "stream_quarantine",
-                "stream_enriched_view"}
+                "stream_enriched_view", "batch_counters", "flush_log", "archive_one_day", "compare_age_backfill", "uniques_panel_daily"}
 
 
 # the operators whose plans combine aggregates, joins, generators and top-k
@@ -18,7 +18,7 @@ SIDE_EFFECTS = {"stream_warehouse_ingest", "archive_daily_flow", "live_location_
 PLAN_SAMPLE = ["compare_age", "coverage_metadata", "campaign_topk_multi", "hex_color_classes",
                "radius_join", "screen_enrichment", "centre_ranking", "segment_density_domain",
                "joint_distribution", "class_share", "area_compare", "conversation_budget",
-               "embedding_centroid_topk", "place_reach"]
+               "embedding_centroid_topk", "place_reach", "place_search", "campaign_topk_table", "partition_lag"]
 
 
 @pytest.mark.parametrize("name", PLAN_SAMPLE)
