@@ -45,7 +45,8 @@ _SECRET_HEAD = rf"(?i:{_SECRET_NAME})[\x22\x27]?\s{{0,4}}[=:]\s{{0,4}}"
 _SECRET_VALUE = ("(?:" + "|".join(rf"{q}(?!.{{0,5}}(?<!\\){q})(?=.{{6,}}?(?<!\\){q}).*?(?=(?<!\\){q})" for q in (r"\x22", r"\x27"))
                  + r"|[\x22\x27]?(?=[^\s\x22\x27]{6})[^\s\x22\x27]*[\p{L}\p{N}+/_.-])")
 PATTERNS = {
-    "mail": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9](?:[A-Za-z0-9-]{0,62}\.)+[A-Za-z]{2,24}",
+    # a host has at most 126 labels before the last; an unbounded group would take a stack frame per label
+    "mail": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9](?:[A-Za-z0-9-]{0,62}\.){1,126}[A-Za-z]{2,24}",
     "phone": r"(?<![\w+])\+1[ .-]?(?:\(\d{3}\)|\d{3})[ .-]?[2-9]\d\d[ .-]?\d{4}(?!\d)",
     "ip": rf"(?<![\w.]){_OCTET}(?:\.{_OCTET}){{3}}(?![\w]|\.\d)",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",

@@ -128,3 +128,23 @@ def test_odd_rows(spark):
 def test_no_python_in_the_plan(spark):
     plan = pii.pseudonymise(docs(spark, [(1, "a")]).repartition(2), KEY)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_long_runs_of_every_prefix_do_not_break_the_patterns(spark):
+    size = 300_000
+    runs = ["a@" + "a." * 3000 + "com", "a@" + "a." * (size // 2), "a@" * (size // 2), "a@b." * (size // 4), "1." * (size // 2), "12-" * (size // 3),
+            "+1 " * (size // 3), "+1 (017) 555-" * (size // 13), "1234 " * (size // 5), "7" * size, "2024-" * (size // 5), "AKIA" * (size // 4),
+            "token=" * (size // 6), "password=\"" * (size // 10), "pwd: '" + "\\'" * (size // 2), "a" * size, "a-" * (size // 2) + "@b.com"]
+    tail = " mail bob.smith@example.com!"
+    got = run(spark, [r + tail for r in runs])
+    for r, g in zip(runs, got):
+        assert len(g) == len(r) + len(tail)
+    # what follows a run of plain text is still found
+    for k in (0, 1, 4, 5, 8, 9, 15):
+        assert re.search(r" mail (?!bob)[a-z]{3}\.[a-z]{5}@example\.com!$", got[k]), (k, got[k][-60:])
+
+
+def test_hosts_of_many_labels(spark):
+    good, long = "x.y@" + "a." * 126 + "com", "x.y@" + "a." * 127 + "com"
+    a, b = run(spark, [good, long])
+    assert a != good and a.endswith("@" + "a." * 126 + "com") and b == long
