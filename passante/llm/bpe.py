@@ -43,6 +43,8 @@ from passante.llm.common import local_file, text_slices, written
 
 #: Words the automaton holds at most.
 LEXICON_SIZE = 150_000
+#: Bytes of texts that a worker has at a time, about.
+SLICE = 1 << 20
 
 # White space of the vocabulary's regular expression engine (fixed values).
 _SPACE = r"\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -236,14 +238,16 @@ class Lexicon:
 
 class Encoder:
     """Vocabulary, lexicon and a bounded memory of the words met last: when the
-    newer half is full it becomes the older one, which is forgotten."""
+    newer half is full it becomes the older one, which is forgotten.  What counts is
+    characters and ids, and ``ENTRY`` for the objects that hold them."""
 
-    REMEMBERED = 250_000
+    REMEMBERED, ENTRY = 24 << 20, 150
 
     def __init__(self, vocabulary: Vocabulary, lexicon: Lexicon | None):
         self.vocabulary, self.lexicon = vocabulary, lexicon
         self.packed: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.held = 0
 
     def word(self, word: str) -> bytes:
         ids = self.lexicon.get(word) if self.lexicon else None
@@ -260,11 +264,12 @@ class Encoder:
                 continue
             words = words_of(part)
             distinct = set(words)
-            if len(self.packed) > self.REMEMBERED:
-                self.packed, self.older = {}, self.packed
+            if self.held > self.REMEMBERED:
+                self.packed, self.older, self.held = {}, self.packed, 0
             packed, older = self.packed, self.older
             for w in distinct.difference(packed):
-                packed[w] = older.get(w) or self.word(w)
+                packed[w] = found = older.get(w) or self.word(w)
+                self.held += len(w) + len(found) + self.ENTRY
             out.extend(map(packed.__getitem__, words))
         return b"".join(out)
 
@@ -303,11 +308,11 @@ def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())], ["word", "n"])
 
         held: Counter = Counter()
-        for batch in batches:
+        for batch in text_slices(batches, max_bytes=SLICE):
             for t in batch.column(0).to_pylist():
                 if t:
                     held.update(words_of(t))
-                if len(held) > 200_000:
+                if len(held) > 100_000:
                     yield emit(held)
                     held = Counter()
         if held:
@@ -336,9 +341,10 @@ def build_lexicon(docs: DataFrame, vocabulary: Vocabulary, text: str = "text",
 
 
 def encode(docs: DataFrame, vocabulary_path: str, text: str = "text", key: str = "doc_id",
-           lexicon_size: int = LEXICON_SIZE) -> DataFrame:
+           lexicon_size: int = LEXICON_SIZE, decoded: bool = False) -> DataFrame:
     """(key, token_ids): the ids of every whole text, packed as little-endian
-    unsigned 32-bit integers.
+    unsigned 32-bit integers; with ``decoded``, also what :func:`decode` makes of these
+    ids, by the same worker, so a task holds one and not two.
 
     ``vocabulary_path`` is a file of the driver; it is sent to the executors.
     """
@@ -349,12 +355,15 @@ def encode(docs: DataFrame, vocabulary_path: str, text: str = "text", key: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(vocabulary_file, lexicon_file)
-        for batch in text_slices(batches):
-            ids = pa.array([encoder.encode(t) for t in batch.column("text").to_pylist()], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0), ids], [key, "token_ids"])
+        for batch in text_slices(batches, max_bytes=SLICE):
+            packed = [encoder.encode(t) for t in batch.column("text").to_pylist()]
+            columns = [batch.column(0), pa.array(packed, pa.binary())]
+            if decoded:
+                columns.append(pa.array([encoder.decode(x) for x in packed], pa.string()))
+            yield pa.RecordBatch.from_arrays(columns, schema.names)
 
     source = docs.select(F.col(key), F.col(text).alias("text"))
-    schema = StructType([docs.schema[key], StructField("token_ids", BinaryType())])
+    schema = StructType([docs.schema[key], StructField("token_ids", BinaryType()), *[StructField("decoded", StringType())] * decoded])
     return source.mapInArrow(run, schema)
 
 
@@ -365,7 +374,7 @@ def decode(encoded: DataFrame, vocabulary_path: str, key: str = "doc_id") -> Dat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(vocabulary_file, None)
-        for batch in text_slices(batches, "token_ids"):
+        for batch in text_slices(batches, "token_ids", SLICE):
             texts = pa.array([encoder.decode(x) for x in batch.column("token_ids").to_pylist()], pa.string())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), texts], [key, "token_ids", "decoded"])
 

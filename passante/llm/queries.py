@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from passante.llm import bagminhash, bpe, chunks, embedding_pairs, fim, impact_search, importance, merkle, mixing, pii, toxicity, urlfilter, warc
 from passante.llm.common import read_table
 
-#: Folder of the vocabulary files (a parameter; the files are not part of the repository).
-TOKENIZERS = "/opt/tokenizers"
+#: Vocabulary file of the registered queries (a parameter; the files are not part of the repository).
+VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
@@ -25,9 +26,7 @@ def register(name: str, sql: str | None = None):
 
 @register("op9_bpe_transducer")
 def q_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = f"{TOKENIZERS}/word_bpe_49k.json"
-    encoded = bpe.encode(read_table(spark, sf_dir, "documents"), path)
-    return bpe.digests(bpe.decode(encoded, path))
+    return bpe.digests(bpe.encode(read_table(spark, sf_dir, "documents"), VOCABULARY, decoded=True))
 
 
 #: The key of the registered query; a deployment passes its own.

@@ -60,7 +60,19 @@ def test_whole_table(spark, library):
         want.append((i, struct.pack(f"<{len(ids)}I", *ids), library.decode(ids, skip_special_tokens=False)))
     key = lambda r: (r[0] is None, r[0] or 0, r[1])
     assert sorted(((r.doc_id, bytes(r.token_ids), r.decoded) for r in got), key=key) == sorted(want, key=key)
+    at_once = bpe.encode(docs(spark, rows), PATH, decoded=True).collect()
+    assert sorted(((r.doc_id, bytes(r.token_ids), r.decoded) for r in at_once), key=key) == sorted(want, key=key)
     assert bpe.digests(bpe.decode(bpe.encode(docs(spark, []), PATH), PATH)).count() == 0
+    assert bpe.digests(bpe.encode(docs(spark, []), PATH, decoded=True)).count() == 0
+
+
+def test_a_small_memory_of_words_changes_nothing(vocabulary):
+    small, large = bpe.Encoder(vocabulary, None), bpe.Encoder(vocabulary, None)
+    small.REMEMBERED = 2000
+    for k in range(60):
+        text = " ".join("abcdefghij"[(k * i) % 10] + "klmnopqrst"[i % 10] * (i % 7) for i in range(40))
+        assert small.encode(text) == large.encode(text)
+    assert len(small.packed) + len(small.older) < len(large.packed)
 
 
 def test_lexicon_bound_keeps_the_most_frequent(spark, vocabulary, tmp_path):
