@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from passante.llm import bagminhash, bpe, importance, mixing, pii
 from passante.llm.common import read_table, written
-from passante.llm.queries import PII_KEY, TOKENIZERS
+from passante.llm.queries import PII_KEY, VOCABULARY
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,10 +38,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, token_ids (packed) and the digests of ids and decoded text, per copy."""
-    path = f"{TOKENIZERS}/word_bpe_49k.json"
-    decoded = bpe.decode(bpe.encode(docs, path), path)
-    return bpe.digests(decoded)
+    """doc_id, the number of tokens and the digests of packed ids and decoded text, per copy."""
+    return bpe.digests(bpe.encode(docs, VOCABULARY, decoded=True))
 
 
 STAGES = [("quality", quality), ("near_dedup", near_dedup), ("pseudonyms", pseudonyms), ("mix", mix), ("token_ids", token_ids)]
