@@ -163,7 +163,7 @@ def _nodes(docs: DataFrame) -> DataFrame:
     smallest of its rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches):
+        for batch in text_slices(batches, max_bytes=1 << 20):
             texts = batch.column("text").to_pylist()
             registers = signatures(*shingles(texts), len(texts))
             keys = band_keys(registers)
@@ -204,7 +204,7 @@ class _Verifier:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             last, bag = None, None
-            for batch in text_slices(batches, "text_b"):
+            for batch in text_slices(batches, "text_b", 1 << 20):
                 out = []
                 for a, text_a, text_b in zip(batch.column("a").to_pylist(), batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist()):
                     if a != last:  # the join has sorted by a
