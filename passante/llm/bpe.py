@@ -241,7 +241,7 @@ class Encoder:
     newer half is full it becomes the older one, which is forgotten.  What counts is
     characters and ids, and ``ENTRY`` for the objects that hold them."""
 
-    REMEMBERED, ENTRY = 24 << 20, 150
+    REMEMBERED, ENTRY = 48 << 20, 150
 
     def __init__(self, vocabulary: Vocabulary, lexicon: Lexicon | None):
         self.vocabulary, self.lexicon = vocabulary, lexicon
