@@ -44,10 +44,10 @@ URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.exam
 
 _URL_SQL = f"""
 with rules(rule_host, rule_path, rule_verdict) as (values {", ".join(map(str, URL_RULES))}),
-rest as (select page_id, coalesce(regexp_extract(url, '(?s)^.*?://(.*)$', 1), '') as rest from pages),
-addresses as (select page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+rest as (select page_id, row_number() over () as row_no, coalesce(regexp_extract(url, '(?s)^.*?://(.*)$', 1), '') as rest from pages),
+addresses as (select page_id, row_no, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
   regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path from rest),
-fitting as (select a.*, r.*, row_number() over (partition by page_id order by length(rule_host || rule_path) desc) as n
+fitting as (select a.*, r.*, row_number() over (partition by row_no order by length(rule_host || rule_path) desc) as n
   from addresses a left join rules r on (host = rule_host or ends_with(host, '.' || rule_host)) and starts_with(path, rule_path))
 select page_id, host, path, rule_host || rule_path as rule, coalesce(rule_verdict, 'allow') as verdict from fitting where n = 1
 """
@@ -118,8 +118,8 @@ _WARC_SQL = """
 with payloads as (select page_id, encode(coalesce(html, '')) as payload from pages),
 seen as (select page_id, octet_length(payload)::bigint as payload_bytes, sha1(payload) as payload_digest from payloads),
 largest as (select payload_digest, max(page_id) as response from seen where payload_bytes >= 1000 group by 1)
-select page_id, payload_bytes, payload_digest, case when response <> page_id then 'revisit' else 'response' end as record_type,
-  case when response <> page_id then response end as refers_to
+select page_id, payload_bytes, payload_digest, case when response is not null and response is distinct from page_id then 'revisit' else 'response' end as record_type,
+  case when response is distinct from page_id then response end as refers_to
 from seen left join largest using (payload_digest)
 """
 
