@@ -735,8 +735,8 @@ def q_area_compare(spark, sf_dir):
     return _round_doubles(B.area_compare(_en(spark, sf_dir), AREA_A, AREA_B), ["share_a", "share_b", "pct_diff"])
 
 
-def _area_sql() -> str:
-    pairs = _dim_pairs("class")
+def _area_sql(dimension: str = "class") -> str:
+    pairs = _dim_pairs(dimension)
     ins = lambda a: O.haversine_sql("latitude", "longitude", repr(a[0]), repr(a[1])) + f" <= {a[2]!r}"
     sums = ", ".join(f"sum({col}) as s_{i}" for i, (_, col) in enumerate(pairs))
     tag = (f"select 'A' as area, * from enriched where latitude is not null and longitude is not null and {ins(AREA_A)} "
@@ -755,6 +755,17 @@ def _area_sql() -> str:
 QUERIES["area_compare"] = (q_area_compare, _fixture_sql(_area_sql()))
 
 
+def _area_query(dimension):
+    def fn(spark, sf_dir):
+        """A16 by another dimension."""
+        return _round_doubles(B.area_compare(_en(spark, sf_dir), AREA_A, AREA_B, dimension), ["share_a", "share_b", "pct_diff"])
+    return fn
+
+
+for _d in ("age", "gender"):
+    QUERIES[f"area_compare_{_d}"] = (_area_query(_d), _fixture_sql(_area_sql(_d)))
+
+
 def q_result_facets(spark, sf_dir):
     return B.result_facets(SAMPLE_FILTERS.apply(_j1(spark, sf_dir)))
 
