@@ -15,17 +15,17 @@ and the estimate is unbiased.
 
 Candidates are documents that agree in one of 25 bands of 5 registers (a pair
 at 0.8 is missed with a probability of 5e-5).  Equal word sequences are one node
-from the start.  Within a band bucket nobody compares all pairs: every member
-is verified against the bucket's leader, by the exact multisets; the members
-that are not similar to it go on among themselves (by about 8 sqrt(n) leaders
-of n, by pairs only when at most ``PAIRS_UP_TO`` are left).  What that leaves
-open is a link between a member of the leader's cluster and a member b outside.
-As 1 - similarity is a metric, it needs similarity(leader, b) >= 0.6.  The
-registers of such a b are compared with those of the cluster, in blocks of
-``MEMBERS``, inside a task; the likeliest two of each block are verified first,
-and a b that this does not link is verified against all members whose registers
-agree in at least ``LIKELY`` of 125 (a pair at 0.8 is missed with a probability
-below 1e-6).  So no link between bucket mates is lost but for that chance.
+from the start; texts of a task that were signed before are not signed again.
+Within a band bucket nobody compares all pairs: every member is verified against
+the bucket's least node, by the exact multisets.  What that leaves open are links
+between two other members.  The buckets' stars join their nodes into families; a
+family in which not all nodes hang on one head is dealt into blocks of about
+``MEMBERS`` nodes, and a task holds two of its blocks.  There the registers of
+nodes under different heads are compared, and those that agree in at least
+``LIKELY`` of 125 (a pair at 0.8 is missed with a probability below 1e-6) are
+verified exactly, the likeliest first; a link joins two heads, whose other pairs
+are then not needed.  A task emits only the links that join something, so no link
+that could change a group is lost but for that chance.
 
 Defined cases: a text of one to four words is one shingle of all its words; a
 null text or one without words is in no group.  Repeated rows and equal texts
@@ -37,6 +37,7 @@ id.  An empty table gives an empty result.  Further columns are not read by
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -53,10 +54,10 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 25, 5
 REGISTERS = BANDS * ROWS
-#: So many remaining members of a bucket are compared in pairs.
-PAIRS_UP_TO = 64
-#: Members of a cluster whose marks are compared in one block.
-MEMBERS = 512
+#: Nodes of a family that a block holds, and bytes of their texts, on average.
+MEMBERS, BLOCK_BYTES = 512, 8 << 20
+#: Digests of texts that a task remembers as signed.
+REMEMBERED = 100_000
 #: A pair at SIMILARITY agrees in a smaller share of its registers with a probability below 1e-6.
 LIKELY = 0.62
 
@@ -152,29 +153,47 @@ def register_marks(registers: np.ndarray) -> np.ndarray:
     return (_mix(registers.view(np.uint64)) >> np.uint64(48)).astype(np.uint16)
 
 
-def word_digest(text: str) -> Column:
-    """A 16-byte digest of the word sequence; null without words."""
-    words = F.trim(F.regexp_replace(F.col(text), r"[\x20\x09-\x0D]+", " "))
-    return F.when(words != "", F.unhex(F.md5(words.cast("binary"))))
+def word_digests(texts: list[str | None]) -> list[bytes | None]:
+    """A 16-byte digest of each word sequence; null without words."""
+    words = [b" ".join((t or "").encode("utf-8").split()) for t in texts]
+    return [hashlib.md5(w).digest() if w else None for w in words]
 
 
-def _nodes(docs: DataFrame) -> DataFrame:
-    """(node, doc_id, bands): one row per distinct word sequence; doc_id is the
-    smallest of its rows."""
+def _text_key() -> Column:
+    return F.xxhash64("text")
+
+
+def _has_words() -> Column:
+    return F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+
+
+def _signed(docs: DataFrame) -> DataFrame:
+    """(doc_id, key, node, bands, marks) for every row: the text's hash, the digest
+    of its words and, for the first text of a task with these words, its signature."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()
         for batch in text_slices(batches, max_bytes=1 << 20):
             texts = batch.column("text").to_pylist()
-            registers = signatures(*shingles(texts), len(texts))
-            keys = band_keys(registers)
-            offsets = np.arange(0, keys.size + 1, BANDS, dtype=np.int32)
-            bands = pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.reshape(-1)))
-            marks = pa.array([m.tobytes() for m in register_marks(registers)], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), bands, marks], ["node", "doc_id", "bands", "marks"])
-
-    schema = StructType([StructField("node", BinaryType()), docs.schema["doc_id"], StructField("bands", ArrayType(LongType())), StructField("marks", BinaryType())])
-    source = docs.select(word_digest("text").alias("node"), "doc_id", "text").where("node is not null")
-    return source.mapInArrow(run, schema).groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"), F.first("marks").alias("marks"))
+            nodes = word_digests(texts)
+            fresh = []
+            for i, node in enumerate(nodes):
+                if node is not None and node not in seen:
+                    if len(seen) >= REMEMBERED:
+                        seen.clear()
+                    seen.add(node)
+                    fresh.append(i)
+            bands, marks = [None] * len(nodes), [None] * len(nodes)
+            if fresh:
+                registers = signatures(*shingles([texts[i] for i in fresh]), len(fresh))
+                for i, keys, mark in zip(fresh, band_keys(registers), register_marks(registers)):
+                    bands[i], marks[i] = keys, mark.tobytes()
+            columns = [batch.column("doc_id"), batch.column("key"), pa.array(nodes, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(marks, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "key", "node", "bands", "marks"])
+
+    schema = StructType([docs.schema["doc_id"], StructField("key", LongType()), StructField("node", BinaryType()),
+                         StructField("bands", ArrayType(LongType())), StructField("marks", BinaryType())])
+    return docs.select("doc_id", _text_key().alias("key"), "text").mapInArrow(run, schema)
 
 
 def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -188,153 +207,123 @@ def _bag(text: str) -> tuple[np.ndarray, np.ndarray]:
     return shingles([text])[1:]
 
 
-class _Verifier:
-    """Exact similarities of node pairs from the texts of the nodes."""
-
-    #: Similarities below this are of no use to the search.
-    LEAST = 2 * SIMILARITY - 1
-
-    def __init__(self, texts: DataFrame):
-        self.texts = texts
-        self.known: DataFrame | None = None
-
-    def verify(self, pairs: DataFrame) -> None:
-        """Add the pairs {a, b} that are not yet there to ``known``: (a, b,
-        similarity) and (b, a, similarity) where it is at least LEAST."""
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            last, bag = None, None
-            for batch in text_slices(batches, "text_b", 1 << 20):
-                out = []
-                for a, text_a, text_b in zip(batch.column("a").to_pylist(), batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist()):
-                    if a != last:  # the join has sorted by a
-                        last, bag = a, _bag(text_a)
-                    out.append(weighted_jaccard(bag, _bag(text_b)))
-                yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(out, pa.float64())], ["a", "b", "similarity"])
-
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        if self.known is not None:
-            pairs = pairs.join(self.known.select("a", "b"), ["a", "b"], "left_anti")
-        pairs = written(pairs, "bag-pairs")
-        leaders = pairs.select("a").distinct().join(self.texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
-        members = pairs.join(self.texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
-        both = members.join(written(leaders, "bag-leaders"), "a").select("a", "b", "text_a", "text_b")
-        found = written(both.mapInArrow(run, "a binary, b binary, similarity double").where(F.col("similarity") >= self.LEAST - 1e-9), "bag-similar")
-        found = found.union(found.select(F.col("b").alias("a"), F.col("a").alias("b"), "similarity"))
-        self.known = found if self.known is None else self.known.union(found)
-
-    def links(self) -> DataFrame:
-        return self.known.where((F.col("similarity") >= SIMILARITY) & (F.col("a") < F.col("b"))).select(F.col("a").alias("u"), F.col("b").alias("v"))
-
-
-def _block(group: pd.DataFrame) -> pd.DataFrame:
-    return pd.DataFrame({"a": [group["a"].iloc[0]], "members": [b"".join(group["node"])], "member_marks": [b"".join(group["marks"])]})
-
-
-def _alike(most: int | None):
-    """For each row of a node and a block of members: the members that its marks
-    agree with in a share of at least LIKELY, at most the ``most`` best."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in batches:
-            for row in part.itertuples(index=False):
-                own = np.frombuffer(row.marks, np.uint16)
-                share = (np.frombuffer(row.member_marks, np.uint16).reshape(-1, REGISTERS) == own).mean(axis=1)
-                chosen = np.flatnonzero(share >= LIKELY)
-                if most is not None:
-                    chosen = chosen[np.argsort(-share[chosen], kind="stable")[:most]]
-                if len(chosen):
-                    yield pd.DataFrame({"a": [row.a] * len(chosen), "out": [row.out] * len(chosen), "in": [row.members[16 * i:16 * i + 16] for i in chosen]})
-    return run
-
-
-def _links_to_outside(check: _Verifier, led: DataFrame, parts: DataFrame, marks: DataFrame) -> bool:
-    """Verify what may link a leader's cluster with bucket mates outside of it;
-    True if there was anything to verify."""
-    scored = led.select("a", "b").distinct().join(check.known, ["a", "b"])
-    named = lambda node, name: parts.select(F.col("node").alias(node), F.col("component").alias(name))
-    outside = (scored.where(F.col("similarity") < SIMILARITY)
-               .join(named("a", "of_a"), "a", "left").join(named("b", "of_b"), "b", "left")
-               .where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", F.col("b").alias("out")))
-    outside = written(outside.join(marks, F.col("out") == F.col("node")).select("a", "out", "marks"), "bag-outside")
-    if outside.isEmpty():
-        return False
-    inside = (scored.where(F.col("similarity") >= SIMILARITY).select("a", F.col("b").alias("node"))
-              .join(outside.select("a").distinct(), "a", "left_semi"))
-    sizes = written(inside.groupBy("a").agg(F.ceil(F.count("*") / MEMBERS).alias("parts")), "bag-sizes")
-    blocks = (inside.join(sizes, "a").join(marks, "node")
-              .select("a", "node", "marks", F.pmod(F.xxhash64("node"), F.col("parts")).alias("part"))
-              .groupBy("a", "part").applyInPandas(_block, "a binary, members binary, member_marks binary"))
-    blocks = written(blocks, "bag-blocks")
-    schema = "a binary, out binary, in binary"
-    pair = [F.col("in").alias("a"), F.col("out").alias("b")]
-    # the likeliest members first: one link joins a node to the cluster
-    first = written(outside.join(blocks, "a").mapInPandas(_alike(2), schema), "bag-likely")
-    check.verify(first.select(*pair))
-    linked = check.known.where(F.col("similarity") >= SIMILARITY).select(*[F.col(x).alias(y) for x, y in (("a", "in"), ("b", "out"))])
-    joined = first.join(linked, ["in", "out"], "left_semi").select("a", "out").distinct()
-    rest = written(outside.join(joined, ["a", "out"], "left_anti"), "bag-rest")
-    check.verify(rest.join(blocks, "a").mapInPandas(_alike(None), schema).select(*pair))
-    return True
-
-
-def _components(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose texts are similar."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, bag = None, None
+        for batch in text_slices(batches, "text_b", 1 << 20):
+            similar = []
+            for a, text_a, text_b in zip(batch.column("a").to_pylist(), batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist()):
+                if a != last:  # neighbours often share it
+                    last, bag = a, _bag(text_a)
+                similar.append(weighted_jaccard(bag, _bag(text_b)) >= SIMILARITY)
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(similar, pa.bool_()))
+
+    members = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
+    both = members.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
+    return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a binary, b binary")
+
+
+def _joining_links(group: pd.DataFrame) -> pd.DataFrame:
+    """Links between nodes under different heads, of one block or of two blocks of a
+    family: enough of them to join all heads that any link joins."""
+    nodes, parts = group["node"].tolist(), group["part"].to_numpy()
+    two = parts.min() != parts.max()
+    if not two and group["i"].iloc[0] != group["j"].iloc[0]:  # the other block is empty
+        return pd.DataFrame({"a": [], "b": []}, dtype=object)
+    marks = np.stack([np.frombuffer(m, np.uint16) for m in group["marks"]])
+    under = pd.factorize(group["head"])[0]
+    owner, items, weights = shingles(group["text"].tolist())
+    ends = np.searchsorted(owner, np.arange(len(nodes) + 1))
+    total = np.add.reduceat(weights, ends[:-1])
+    out = []
+    for r in np.flatnonzero(parts == parts.min()):
+        partners = np.flatnonzero(parts != parts[r]) if two else np.arange(r + 1, len(nodes))
+        partners = partners[under[partners] != under[r]]
+        if not len(partners):
+            continue
+        share = (marks[partners] == marks[r]).mean(axis=1)
+        likely = share >= LIKELY
+        partners = partners[likely][np.argsort(-share[likely], kind="stable")]
+        own, own_weights = items[ends[r]:ends[r + 1]], weights[ends[r]:ends[r + 1]]
+        step = 4
+        while len(partners):
+            tried, partners = partners[:step], partners[step:]
+            step = min(2 * step, 64)
+            held = np.concatenate([np.arange(ends[c], ends[c + 1]) for c in tried])
+            starts = np.cumsum([0, *(ends[tried + 1] - ends[tried])[:-1]])
+            place = np.minimum(np.searchsorted(own, items[held]), len(own) - 1)
+            both = np.add.reduceat(np.where(own[place] == items[held], np.minimum(own_weights[place], weights[held]), 0), starts)
+            similarity = both / (total[r] + total[tried] - both)
+            for c in tried[similarity >= SIMILARITY]:
+                if under[c] != under[r]:
+                    out.append((nodes[r], nodes[c]))
+                    under[under == under[c]] = under[r]
+            partners = partners[under[partners] != under[r]]
+    return pd.DataFrame(out, columns=["a", "b"], dtype=object)
+
+
+def _family_links(pairs: DataFrame, links: DataFrame, marks: DataFrame, texts: DataFrame) -> DataFrame:
+    """The links that ``links``, those with the least nodes of buckets, leave open."""
+    families = connected_components(pairs.select(F.col("a").alias("u"), F.col("b").alias("v"))).withColumnRenamed("component", "family")
+    heads = written(links.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("head")), "bag-heads")
+    higher = heads.select(F.col("node").alias("head"), F.col("head").alias("above"))
+    heads = heads.join(higher, "head", "left").select("node", F.coalesce("above", "head").alias("head"))
+    members = written(families.join(heads, "node", "left").select("family", "node", F.coalesce("head", "node").alias("head"))
+                      .join(texts.select("node", F.octet_length("text").alias("size")), "node"), "bag-members")
+    parts = F.ceil(F.greatest(F.count("*") / MEMBERS, F.sum("size") / BLOCK_BYTES)).cast("int")
+    open_ones = written(members.groupBy("family").agg(F.count("*").alias("n"), F.min("head").alias("least"), F.max("head").alias("last"), parts.alias("parts"))
+                        .where("n > 2 and least <> last").select("family", "parts"), "bag-families")
+    dealt = (members.join(open_ones, "family").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))))
+    dealt = dealt.join(marks, "node").join(texts, "node").select(
+        "family", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "node", "head", "part", "marks", "text")
+    return dealt.groupBy("family", "i", "j").applyInPandas(_joining_links, "a binary, b binary")
+
+
+def _components(docs: DataFrame, rows: DataFrame) -> DataFrame:
     """(node, component) of the nodes that have a link."""
-    entries = nodes.select("node", F.explode("bands").alias("bucket"))
-    led = written(entries.groupBy("bucket").agg(F.min("node").alias("a"), F.count("*").alias("n")).where("n > 1").select("bucket", "a"), "bag-buckets")
-    led = written(entries.join(led, "bucket").where("node <> a").select("bucket", "a", F.col("node").alias("b")), "bag-entries")
+    signed = rows.where("bands is not null")
+    entries = signed.select("node", F.explode("bands").alias("bucket"))
+    hashed = F.xxhash64("node")  # repeated nodes are one
+    shared = written(entries.groupBy("bucket").agg(F.min(hashed).alias("least"), F.max(hashed).alias("last")).where("least <> last").select("bucket"), "bag-buckets")
+    entries = written(entries.join(shared, "bucket").distinct(), "bag-entries")
+    leaders = written(entries.groupBy("bucket").agg(F.min("node").alias("a")), "bag-leaders")
+    pairs = written(entries.join(leaders, "bucket").where("node <> a").select("a", F.col("node").alias("b")).distinct(), "bag-pairs")
     # the texts of the nodes that have a bucket mate, one row each
-    asked = led.select(F.col("a").alias("node")).union(led.select(F.col("b").alias("node"))).distinct()
-    chosen = nodes.join(asked, "node", "left_semi").select(F.col("node").alias("c_node"), F.col("doc_id").alias("c_id"))
-    sourced = docs.select("doc_id", "text", word_digest("text").alias("node"))
-    texts = (sourced.join(chosen, (F.col("node") == F.col("c_node")) & F.col("doc_id").eqNullSafe(F.col("c_id")))
+    asked = written(pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct(), "bag-asked")
+    chosen = rows.join(asked, "node").groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key")).alias("first"), F.max("marks").alias("marks"))
+    chosen = written(chosen.select("node", "marks", F.col("first.doc_id").alias("c_id"), F.col("first.key").alias("c_key")), "bag-chosen")
+    texts = (docs.select("doc_id", "text", _text_key().alias("key"))
+             .join(chosen.select("node", "c_id", "c_key"), (F.col("key") == F.col("c_key")) & F.col("doc_id").eqNullSafe(F.col("c_id")))
              .select("node", "text").dropDuplicates(["node"]))
-    check = _Verifier(written(texts, "bag-texts"))
-
-    check.verify(led.select("a", "b"))
-    all_led, turn = led, 0
-    while True:
-        near = check.known.where(F.col("similarity") >= SIMILARITY).select("a", "b")
-        # members that no leader of their bucket attracts; leaders themselves are done
-        tied = led.join(near, ["a", "b"], "left_semi").select("bucket", F.col("b").alias("node")).union(led.select("bucket", F.col("a").alias("node"))).distinct()
-        loose = written(led.select("bucket", F.col("b").alias("node")).distinct().join(tied, ["bucket", "node"], "left_anti"), "bag-loose")
-        heads = written(loose.groupBy("bucket").agg(F.min("node").alias("a"), F.count("*").alias("n")).where("n > 1"), "bag-heads")
-        if heads.isEmpty():
-            break
-        few = loose.join(heads.where(F.col("n") <= PAIRS_UP_TO).select("bucket"), "bucket")
-        pairs = (few.select("bucket", F.col("node").alias("a")).join(few.select("bucket", F.col("node").alias("b")), "bucket")
-                 .where("a < b").select("a", "b"))
-        # a larger bucket has about 8 sqrt(n) leaders, others in each round, and its least member as one
-        many = loose.join(heads.where(F.col("n") > PAIRS_UP_TO), "bucket")
-        turn += 1
-        chance = F.pmod(F.xxhash64(F.lit(turn), "bucket", "node"), F.ceil(F.sqrt("n") / 8)) == 0
-        leaders = written(many.where((F.col("node") == F.col("a")) | chance).select("bucket", F.col("node").alias("a")), "bag-leaders")
-        led = written(loose.join(leaders, "bucket").where("node <> a").select("bucket", "a", F.col("node").alias("b")), "bag-entries")
-        check.verify(pairs.union(led.select("a", "b")))
-        all_led = all_led.union(led)
-    parts = written(connected_components(check.links()), "bag-components")
-
-    if not _links_to_outside(check, all_led, parts, nodes.select("node", "marks")):
-        return parts
-    return connected_components(check.links())
-
-
-def _named(docs: DataFrame) -> DataFrame:
-    """(node, class_id, class_node): the smallest id of each node's component, and the node it is of."""
-    nodes = written(_nodes(docs.select("doc_id", "text")), "bag-nodes")
-    parts = written(_components(docs, nodes), "bag-components")
-    all_nodes = (nodes.select("node", "doc_id").join(parts, "node", "left")
-                 .select("node", F.coalesce("component", "node").alias("component"), F.struct(F.col("doc_id").isNull(), "doc_id", "node").alias("first")))
-    first = written(all_nodes.groupBy("component").agg(F.min("first").alias("first")), "bag-first")
-    return (all_nodes.select("node", "component").join(first, "component")
-            .select("node", F.col("first.doc_id").alias("class_id"), F.col("first.node").alias("class_node")))
+    texts = written(texts, "bag-texts")
+    links = written(_verified(pairs, texts), "bag-links")
+    more = written(_family_links(pairs, links, chosen.select("node", "marks"), texts), "bag-more")
+    return connected_components(links.union(more).select(F.col("a").alias("u"), F.col("b").alias("v")))
+
+
+def _named(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The signed rows, and (node, class_id, class_key, class_node): the first row of
+    each node's component (smallest id; its text's hash) and its node."""
+    rows = written(_signed(docs.select("doc_id", "text")), "bag-rows")
+    parts = written(_components(docs, rows), "bag-components")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "node", "key"))
+    nodes = written(rows.where("node is not null").groupBy("node").agg(first.alias("first")), "bag-nodes")
+    # only the nodes that have a link are grouped
+    joined = nodes.join(parts, "node")
+    least = written(joined.groupBy("component").agg(F.min("first").alias("least")), "bag-first")
+    linked = written(parts.join(least, "component").select(F.col("node").alias("l_node"), "least"), "bag-linked")
+    named = nodes.join(linked, F.col("node") == F.col("l_node"), "left").select("node", F.coalesce("least", "first").alias("first"))
+    return rows, named.select("node", F.col("first.doc_id").alias("class_id"), F.col("first.key").alias("class_key"), F.col("first.node").alias("class_node"))
 
 
 def classes(docs: DataFrame) -> DataFrame:
     """(doc_id, class_id, kept) for every row: the group's smallest id, and whether
     it is this row's.  A text without words is a group of its own."""
-    named = written(_named(docs), "bag-classes")
-    rows = docs.select("doc_id", word_digest("text").alias("node")).join(named, "node", "left")
+    rows, named = _named(docs)
+    rows = rows.select("doc_id", "node").join(written(named, "bag-classes"), "node", "left")
     class_id = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("class_id"))
     return rows.select("doc_id", class_id.alias("class_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(False)))
 
@@ -342,10 +331,11 @@ def classes(docs: DataFrame) -> DataFrame:
 def deduplicated(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` with one of each group: its smallest id (one of equal
     rows).  Texts without words all stay."""
-    named = _named(docs)
-    first = written(named.where(F.col("node") == F.col("class_node")).select(F.col("node").alias("__bag_first"), F.col("class_id").alias("__bag_id")), "bag-first")
-    marked = docs.withColumn("__bag_node", word_digest("text"))
+    named = _named(docs)[1]
+    first = written(named.where(F.col("node") == F.col("class_node")).select(
+        F.col("node").alias("__bag_node"), F.col("class_id").alias("__bag_id"), F.col("class_key").alias("__bag_first")), "bag-first")
+    marked = docs.withColumn("__bag_key", _text_key())
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    kept = (marked.join(first, (F.col("__bag_node") == F.col("__bag_first")) & F.col("doc_id").eqNullSafe(F.col("__bag_id")))
-            .drop("__bag_first", "__bag_id").dropDuplicates(["__bag_node"]))
-    return kept.select(*columns).union(marked.where("__bag_node is null").select(*columns))
+    kept = (marked.join(first, (F.col("__bag_key") == F.col("__bag_first")) & F.col("doc_id").eqNullSafe(F.col("__bag_id")))
+            .dropDuplicates(["__bag_node"]))
+    return kept.select(*columns).union(docs.where(~_has_words()))
