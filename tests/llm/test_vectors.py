@@ -1,4 +1,8 @@
+import math
+from fractions import Fraction
+
 import numpy as np
+import pandas as pd
 import pytest
 
 from passante.llm import embedding_pairs as pairs
@@ -101,11 +105,37 @@ def test_bounds_stop_early_and_never_lose_a_member():
     rng = np.random.default_rng(1)
     vectors = np.floor(1024 * rng.standard_normal((3000, 32)) / 6).astype(np.int64)
     ids = np.arange(3000)
-    postings = np.argsort(vectors, axis=0, kind="stable").T
-    ordered = np.take_along_axis(vectors.T, postings, axis=1)
+    index = impact._shard(pd.DataFrame({"vec_id": ids, "embedding": list((vectors + 0.5) / 1024), "wide": False, "shard": 0})).iloc[0]
+    assert (np.frombuffer(index.vectors, np.int32).reshape(vectors.shape) == vectors).all()
+    shard = impact.Shard(ids, vectors, index.bits, np.frombuffer(index.postings, np.int32), np.frombuffer(index.segments, np.int64).reshape(3, -1))
+    assert shard.length.sum() == vectors.size and np.bincount(shard.dimension).max() <= impact.LEVELS + 1
+    one = np.zeros(32, np.int64)
+    one[3] = 700  # a single dimension: its highest segments are enough
+    assert shard.best(one, -1, 10)[2] <= vectors.size // 4
     for q in range(40):
-        rows, scores = impact.best(vectors[q], q, ids, vectors, postings, ordered, 10)
+        rows, scores, _ = shard.best(vectors[q], q, 10)
         exact = vectors @ vectors[q]
         exact[q] = exact.min() - 1
         want = np.lexsort((ids, -exact))[:10]
         assert rows.tolist() == want.tolist() and scores.tolist() == exact[want].tolist()
+
+
+def test_components_of_any_size_and_repeated_queries(spark):
+    rng = np.random.default_rng(2)
+    held = [(i, [float(np.float32(x)) for x in rng.standard_normal(3)], 1) for i in range(30)]
+    held += [(30, [20000.0, -1.5, 0.25], 1), (31, [-1e6, 2e5, 3.0], 1), (32, [3e38, 1.0, -3e38], 1), (33, [16384.0, 0.0, 0.1], 1)]
+    held = [(i, [float(np.float32(x)) for x in v], label) for i, v, label in held]
+    vectors = table(spark, held)
+    got = impact.search(impact.build_index(vectors, shard=8), vectors.where("vec_id % 5 = 0 or vec_id > 29"), 6).collect()
+    whole = {i: [math.floor(1024 * Fraction(x)) for x in v] for i, v, _ in held}
+    want = []
+    for q in whole:
+        if q % 5 == 0 or q > 29:
+            exact = {i: sum(a * b for a, b in zip(whole[q], v)) for i, v in whole.items() if i != q}
+            # a score beyond 64 bits counts as the nearest 64-bit integer
+            scores = sorted((-min(max(s, -2**63), 2**63 - 1), i) for i, s in exact.items())[:6]
+            want += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scores)]
+    assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got) == sorted(want)
+    twice = table(spark, [held[0], held[0], held[1], held[2]])
+    found = impact.search(impact.build_index(twice), twice.where("vec_id = 0"), 6).collect()
+    assert sorted(r.vec_id for r in found) == [1, 1, 2, 2] and {r["rank"] for r in found} == {1, 2, 3, 4}
