@@ -58,6 +58,8 @@ LABEL_BOUND = 20_000
 SHRINK = 3.0
 #: Levels of evidence at which words are counted.
 LEVELS = (0.7, 1.2, 1.7, 2.2, 2.7)
+#: Tasks that count the features of the unlabelled, per core.
+TASKS_PER_CORE = 2
 #: Score from which a document is predicted toxic.
 TOXIC = 0.7
 
@@ -155,8 +157,10 @@ def confirmed_counts(confirmed: DataFrame, least: int = MIN_DOCS, most: int = FE
     return hashes[order], n[order].astype(np.float64)
 
 
-def unlabelled_counts(docs: DataFrame, hashes: np.ndarray) -> np.ndarray:
-    """In how many documents each of ``hashes`` occurs, over all ``docs``."""
+def seen_by_task(docs: DataFrame, hashes: np.ndarray) -> DataFrame:
+    """(place, n) of the ``hashes`` that a task's documents have, a row per task and
+    feature.  The splits are dealt over ``TASKS_PER_CORE`` tasks a core, so these rows
+    grow with the cluster and the features, not with the number of splits."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon, seen = Lexicon(hashes), np.zeros(len(hashes), np.int64)
@@ -167,7 +171,13 @@ def unlabelled_counts(docs: DataFrame, hashes: np.ndarray) -> np.ndarray:
         held = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(seen[held])], ["place", "n"])
 
-    counts = docs.select("text").mapInArrow(count, "place bigint, n bigint").groupBy("place").agg(F.sum("n").alias("n")).toArrow()
+    tasks = TASKS_PER_CORE * docs.sparkSession.sparkContext.defaultParallelism
+    return docs.select("text").coalesce(tasks).mapInArrow(count, "place bigint, n bigint")
+
+
+def unlabelled_counts(docs: DataFrame, hashes: np.ndarray) -> np.ndarray:
+    """In how many documents each of ``hashes`` occurs, over all ``docs``."""
+    counts = seen_by_task(docs, hashes).groupBy("place").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(len(hashes))
     out[counts.column("place").to_numpy()] = counts.column("n").to_numpy()
     return out

@@ -111,3 +111,14 @@ def test_slices_do_not_change_scores(spark, corpus):
     a = {r.doc_id: r.score for r in toxicity.Classifier(table.repartition(1), marks, learn()).scores().collect()}
     b = {r.doc_id: r.score for r in toxicity.Classifier(table.repartition(13), marks, learn()).scores().collect()}
     assert a == pytest.approx(b)
+
+
+def test_rows_of_unlabelled_counts_do_not_grow_with_the_splits(spark):
+    """A row per feature and task, of a number of tasks that the cores fix; the counts stay exact."""
+    texts = ["alpha beta", "beta gamma", "gamma delta alpha", None, ""] * 80
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(300)
+    _, starts, lengths, sums = toxicity.words(["alpha beta gamma delta"])
+    hashes = np.sort(next(toxicity.features(starts, lengths, sums))[1])
+    tasks = toxicity.TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+    assert toxicity.seen_by_task(docs, hashes).count() <= tasks * len(hashes)
+    assert sorted(toxicity.unlabelled_counts(docs, hashes)) == [80, 160, 160, 160]
