@@ -1,20 +1,21 @@
 """Places found by free text, with misspellings and without accents.
 
 Names and queries are folded (case, accents, white space).  A query of n letters may
-be off by ``allowed(n)`` edits.  Names are found by an inverted table of their pairs of
-neighbouring letters: one edit changes at most two of a text's pairs, so a name within d
-edits shares one of the 2d + 1 rarest pairs of the query with its own 2d + 1 rarest ones
-(prefix filter; pairs are told apart by how often they came before in the text, and a
-text that may be off by d edits has more than 2d pairs).  The equi-join on these pairs
-gives the candidates, and the edit distance decides.
-
-Names are made distinct first, so events add nothing to the index; a pair that many names
-have is rare in no prefix of theirs.  Null and empty queries and names find nothing.
+be off by ``allowed(n)`` edits.  Names are found by an inverted table of their texts with
+letters removed: a query of l letters and a name of l + k within d edits are the same text
+once d - |k| letters, and -k more of the query or k more of the name, are removed from each.
+Each pair of lengths thus asks for one number of removed letters on either side.  The
+equi-join on the hashes of what is left gives the candidates, and the edit distance decides.
+Names that share most of their letters (numbered ones) are told apart by it, so the
+candidates grow with the names that lie about two edits away, not with the pairs of names.
+
+Names are made distinct first, so events add nothing to the index.  Null and empty queries
+and names find nothing.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # --- fixed values: accented letters of Portuguese and its neighbours, and what they fold to ---
@@ -35,20 +36,35 @@ def allowed(text: Column) -> Column:
     return F.least(F.lit(MOST_EDITS), F.floor(F.length(text) / LETTERS_PER_EDIT)).cast("int")
 
 
-def letter_pairs(text: Column) -> Column:
-    """Neighbouring letters, the ends marked, each with the number of the same before it."""
-    marked = F.concat(F.lit("\x02"), text, F.lit("\x03"))
-    pairs = F.transform(F.sequence(F.lit(1), F.length(text) + 1), lambda i: F.substr(marked, i, F.lit(2)))
-    return F.transform(pairs, lambda p, i: F.concat(p, F.size(F.filter(F.slice(pairs, F.lit(1), i + 1), lambda x: x == p)).cast("string")))
+def without(text: Column, letters: Column) -> Column:
+    """The different texts that are left when 0, 1 or 2 ``letters`` are removed from ``text``."""
+    n = F.length(text)
+
+    def cut(i: Column, j: Column) -> Column:
+        return F.concat(F.substr(text, F.lit(1), i - 1), F.substr(text, i + 1, j - i - 1), F.substr(text, j + 1))
+
+    one = F.transform(F.sequence(F.lit(1), n), lambda i: F.concat(F.substr(text, F.lit(1), i - 1), F.substr(text, i + 1)))
+    two = F.flatten(F.transform(F.sequence(F.lit(1), n - 1), lambda i: F.transform(F.sequence(i + 1, n), lambda j: cut(i, j))))
+    return F.array_distinct(F.when(letters == 0, F.array(text)).when((letters == 1) & (n >= 1), one).when((letters == 2) & (n >= 2), two)
+                            .otherwise(F.array().cast("array<string>")))
 
 
-def _rarest(texts: DataFrame, frequency: DataFrame, edits: Column) -> DataFrame:
-    """(text, pair): the 2 * edits + 1 rarest pairs of every text; pairs that no name
-    has are the rarest."""
-    exploded = texts.select("text", edits.alias("edits"), F.explode(letter_pairs(F.col("text"))).alias("pair"))
-    rank = F.row_number().over(Window.partitionBy("text").orderBy(F.coalesce("names", F.lit(0)), "pair"))  # a text's letters
-    return (exploded.join(frequency, "pair", "left").withColumn("rank", rank)
-            .where(F.col("rank") <= 2 * F.col("edits") + 1).select("text", "pair"))
+def candidates(texts: DataFrame, names: DataFrame) -> DataFrame:
+    """(text, __text): pairs of a folded query of ``texts`` and a folded name of ``names``
+    that may be close, each as often as they share a text with letters removed."""
+    more = F.explode(F.sequence(-F.col("edits"), F.col("edits")))
+    rest = F.col("edits") - F.abs("more")
+    shapes = (texts.select(F.length("text").alias("letters"), allowed(F.col("text")).alias("edits")).distinct().select("letters", "edits", more.alias("more"))
+              .select("letters", (F.col("letters") + F.col("more")).alias("name_letters"),
+                      (rest + F.greatest(F.lit(0), -F.col("more"))).alias("cut"), (rest + F.greatest(F.lit(0), F.col("more"))).alias("name_cut")))
+    # a row or some per length of a text that there is
+    shapes = shapes.join(F.broadcast(names.select(F.length("__text").alias("name_letters")).distinct()), "name_letters")
+    wanted = texts.withColumn("letters", F.length("text")).join(F.broadcast(shapes), "letters")
+    wanted = wanted.select("text", "name_cut", F.explode(without(F.col("text"), F.col("cut"))).alias("left"))
+    index = names.withColumn("name_letters", F.length("__text")).join(F.broadcast(shapes.select("name_letters", "name_cut").distinct()), "name_letters")
+    index = index.select("__text", "name_cut", F.explode(without(F.col("__text"), F.col("name_cut"))).alias("left"))
+    key = F.xxhash64("name_cut", "left").alias("key")
+    return wanted.select("text", key).join(index.select("__text", key), "key").select("text", "__text")
 
 
 def find_places(queries: DataFrame, places: DataFrame, query: str = "query", name: str = "name") -> DataFrame:
@@ -56,11 +72,7 @@ def find_places(queries: DataFrame, places: DataFrame, query: str = "query", nam
     distance, and the columns of ``places``)."""
     asked = queries.select(query).distinct().withColumn("text", folded(F.col(query))).where("text <> ''")
     known = places.withColumn("__text", folded(F.col(name))).where("__text <> ''")
-    names, texts = known.select(F.col("__text").alias("text")).distinct(), asked.select("text").distinct()
-    frequency = names.select(F.explode(letter_pairs(F.col("text"))).alias("pair")).groupBy("pair").agg(F.count("*").alias("names"))
-    index = _rarest(names, frequency, F.lit(MOST_EDITS)).withColumnRenamed("text", "__text")
-    wanted = _rarest(texts, frequency, allowed(F.col("text")))
     close = F.levenshtein("text", "__text", MOST_EDITS)  # -1 beyond
-    matched = (wanted.join(index, "pair").select("text", "__text").distinct()
-               .withColumn("distance", close).where((F.col("distance") >= 0) & (F.col("distance") <= allowed(F.col("text")))))
+    matched = (candidates(asked.select("text").distinct(), known.select("__text").distinct()).withColumn("distance", close)
+               .where((F.col("distance") >= 0) & (F.col("distance") <= allowed(F.col("text")))).distinct())
     return asked.join(matched, "text").join(known, "__text").select(query, "distance", *places.columns)

@@ -70,3 +70,21 @@ def test_candidates_come_from_an_equi_join(spark):
 @pytest.mark.parametrize("empty", ["queries", "names"])
 def test_empty_sides(spark, empty):
     assert search(spark, [] if empty == "queries" else ["rua"], [] if empty == "names" else ["rua"]) == []
+
+
+def test_candidates_of_numbered_names_grow_with_the_names(spark):
+    """Numbered names share nearly all pairs of letters; their pairs are not candidates."""
+    def count(n):
+        names = spark.range(n).select(F.format_string("customer#%09d", "id").alias("__text"))
+        asked = names.select(F.regexp_replace("__text", "#", "").alias("text"))
+        return places.candidates(asked, names).count()
+
+    assert count(4000) < 6 * count(1000)
+
+
+@pytest.mark.parametrize("text", ["", "a", "ab", "aab", "abcde"])
+def test_texts_with_letters_removed(spark, text):
+    import itertools
+    for k in range(3):
+        found = spark.createDataFrame([(text, k)], "t string, k int").select(places.without(F.col("t"), F.col("k"))).first()[0]
+        assert sorted(found) == sorted({"".join(c) for c in itertools.combinations(text, len(text) - k)} if len(text) >= k else set())
