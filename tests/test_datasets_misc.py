@@ -100,3 +100,38 @@ def test_fan_out_two_streams(spark, tmp_dir):
     fake = [{"batchId": 4, "sources": [{"endOffset": '{"geodata": {"0": 10, "1": 7}}',
                                         "latestOffset": '{"geodata": {"0": 15, "1": 7}}'}]}]
     assert sorted(source_lag(fake)) == [(4, "geodata", 0, 10, 15, 5), (4, "geodata", 1, 7, 7, 0)]
+
+
+def test_messages_are_those_of_the_joined_tables(spark, tmp_dir):
+    """Also of repeated ids, of events without an id or a time; built by one exchange of the events by id."""
+    import json
+
+    from passante.sources import fixtures as X
+    from passante.sources.testdata import Tables
+    from conftest import SF_SMALL
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet").where("event_id < 300")
+    odd = (ev.unionByName(ev.where("event_id in (3, 96)").withColumn("ts", F.expr("ts + interval 7 hours")))
+           .unionByName(ev.where("event_id = 5").withColumn("ts", F.lit(None).cast(ev.schema["ts"].dataType)))
+           .unionByName(ev.where("event_id = 6").withColumn("event_id", F.lit(None).cast("bigint"))))
+    odd.coalesce(1).write.parquet(f"{tmp_dir}/events.parquet")
+    for name in ("customer", "nation", "region"):
+        spark.read.parquet(f"{SF_SMALL}/{name}.parquet").write.parquet(f"{tmp_dir}/{name}.parquet")
+    t = Tables(spark, tmp_dir)
+    messages = X.fx_messages(t)
+    profile = X.fx_target(t).select(F.col("id").alias("target_id"), "age_id", "gender_id").join(
+        X.fx_gender(t).withColumnRenamed("id", "gender_id"), "gender_id").join(X.fx_age(t).withColumnRenamed("id", "age_id"), "age_id").join(
+        X.fx_social_class(t).select(F.concat(F.lit("t"), F.substring("id", 2, 20)).alias("target_id"), "a_class"), "target_id")
+    g, env = X.fx_geodata(t), X.fx_envelope(t)
+    want = (g.join(profile.select("target_id", "feminine", "x18_19", "a_class"), "target_id", "left")
+            .join(env, g.id == F.concat(F.lit("g"), env.event_id.cast("string"))))
+    want = sorted((r.kafka_partition, r.kafka_offset, str(r.kafka_timestamp), r.high_watermark, r.location_id, r.feminine, r.x18_19, r.a_class)
+                  for r in want.collect())
+    found = []
+    for r in messages.collect():
+        v = json.loads(r.value)
+        p = v.get("target") or {"genero": {}, "idade": {}, "classe_social": {}}
+        found.append((r.partition, r.offset, str(r.timestamp), r.high_watermark, v["location_id"], p["genero"].get("F"), p["idade"].get("18-19"), p["classe_social"].get("A")))
+    key = lambda x: tuple((v is None, v or 0) if not isinstance(v, str) else (False, v) for v in x)
+    assert sorted(found, key=key) == sorted(want, key=key)
+    # the profile tables are no longer joined: customer, nation, region and the ends of the polls are
+    assert messages._jdf.queryExecution().optimizedPlan().toString().count("Join ") <= 4
