@@ -12,18 +12,26 @@ def _directed(edges: DataFrame) -> DataFrame:
     return edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
-    """Each node links its larger neighbours to the least of its neighbours and itself."""
+def _least(edges: DataFrame) -> DataFrame:
+    """(u, m, settled) of each node: the least of its neighbours and itself, and
+    whether it is the least itself or has one neighbour."""
     both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = written(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), "cc-least")
-    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    nodes = both.groupBy("u").agg(F.min("v").alias("low"), F.max("v").alias("high"))
+    return written(nodes.select("u", F.least("u", "low").alias("m"), F.expr("low > u or low = high").alias("settled")), "cc-least")
+
+
+def _large_star(edges: DataFrame, least: DataFrame) -> DataFrame:
+    """Each node links its larger neighbours to the least of its neighbours and itself.
+    Edges may be repeated, but are no more than before."""
+    moved = edges.select(F.col("v").alias("u"), F.col("u").alias("larger")).join(least.select("u", "m"), "u")
+    return written(moved.select(F.col("larger").alias("u"), F.col("m").alias("v")), "cc-large")
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Each node links itself and its smaller neighbours to the least of them."""
     least = written(edges.groupBy("u").agg(F.min("v").alias("m")), "cc-least")
     moved = edges.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return moved.union(least.select("u", F.col("m").alias("v"))).distinct()
+    return written(moved.union(least.select("u", F.col("m").alias("v"))).distinct(), "cc-edges")
 
 
 def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
@@ -32,18 +40,16 @@ def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
 
     Least neighbours are found by grouped minima, which are pre-aggregated, and
     written before they are joined back, so that the join can split a hub.
-    Every round is written to the shared folder; the number of rounds grows with
-    the logarithm of the number of nodes.  No edges give no rows.
+    Every step is written to the shared folder and so done once; the number of
+    rounds grows with the logarithm of the number of nodes.  The rounds end when
+    each component is a star around its least node: every node is smaller than all
+    its neighbours or has only one.  Edges that are stars from the start need no
+    round.  No edges give no rows.
     """
     now = written(_directed(edges), "cc-edges")
-    state = None
     for _ in range(rounds):
-        now = written(_small_star(_large_star(now)), "cc-edges")
-        seen = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
-        if (seen.n, seen.h) == state or not seen.n:
-            break
-        state = (seen.n, seen.h)
-    else:
-        raise RuntimeError(f"components are not stable after {rounds} rounds")
-    return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
-        now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+        least = _least(now)
+        if not least.where("not settled").count():
+            return least.select(F.col("u").alias("node"), F.col("m").alias("component"))
+        now = _small_star(_large_star(now, least))
+    raise RuntimeError(f"components are not stable after {rounds} rounds")

@@ -5,6 +5,7 @@ from collections import Counter
 import numpy as np
 
 from passante.llm import bagminhash as bag
+from passante.llm import components
 from passante.llm.components import connected_components
 from tests.llm.helpers import docs, odd_rows, words
 
@@ -102,3 +103,23 @@ def test_components(spark):
                 least[u] = least[v] = min(least[u], least[v])
     assert got == least
     assert connected_components(spark.createDataFrame([], "u bigint, v bigint")).count() == 0
+
+
+def test_components_store_each_step_once_and_end_at_stars(spark, monkeypatch):
+    kept, stored = components.written, []
+    monkeypatch.setattr(components, "written", lambda df, name: stored.append(name) or kept(df, name))
+
+    def found(edges):
+        stored.clear()
+        frame = spark.createDataFrame([(b"%04d" % u, b"%04d" % v) for u, v in edges], "u binary, v binary")
+        return {int(r.node): int(r.component) for r in connected_components(frame).collect()}
+
+    # stars, with repeated and turned edges and loops: no round
+    stars = [(10 * c, 10 * c + j) for c in range(1, 20) for j in range(1, 9)]
+    assert found(stars + [(v, u) for u, v in stars] + stars[:5] + [(3, 3)]) == {x: x // 10 * 10 for e in stars for x in e}
+    assert len(stored) == 2
+    # a chain, a star whose centre is its largest node, and two stars that share a leaf
+    others = [(i, i + 1) for i in range(100, 140)] + [(300, i) for i in range(200, 230)] + [(400, 450), (401, 450), (400, 440)]
+    want = {x: 100 for x in range(100, 141)} | {x: 200 for x in [*range(200, 230), 300]} | dict.fromkeys([400, 401, 440, 450], 400)
+    assert found(others) == want
+    assert len(stored) <= 2 + 4 * 6  # rounds: the logarithm of 41 nodes
