@@ -44,7 +44,7 @@ def test_a_csv_load_leaves_the_tables_only(spark, tmp_dir):
     assert geo.join(target.withColumnRenamed("id", "target_id"), "target_id").join(age.withColumnRenamed("id", "age_id"), "age_id").count() == 200
 
 
-@pytest.mark.parametrize("mode", ["lenient"])
+@pytest.mark.parametrize("mode", ["lenient", "bulk"])
 def test_a_csv_query_keeps_no_texts(spark, mode):
     name = {"lenient": "csv_lenient_roundtrip", "bulk": "csv_bulk_load"}[mode]
     before, found = scratch_of(spark, f"csv-{mode}"), []
